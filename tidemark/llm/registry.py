@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import op7_decontaminate
 from tidemark.llm.ngram_join import op1_ngram_jaccard_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op7_decontaminate": op7_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
