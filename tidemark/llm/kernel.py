@@ -56,7 +56,7 @@ LINES = table(b"\n", False)
 _powers: list[np.ndarray] = []
 
 
-def _pow_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + 1)
         out = []
@@ -99,7 +99,7 @@ def split_words(buf: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> Wor
     last[tails] = inside[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     if len(starts):
-        up, down = _pow_tables(n)
+        up, down = powers(n)
         v *= up[:n]
         h = np.add.reduceat(v, starts)
         h *= down[starts]

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from tidemark.llm.decontaminate import op7_decontaminate
 from tidemark.llm.ngram_join import op1_ngram_jaccard_join
+from tidemark.llm.source_mix import OP4_SQL, op4_mix_sources
+from tidemark.llm.token_output import op5_token_output
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_mix_sources": op4_mix_sources,
+    "op5_token_output": op5_token_output,
     "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mix_sources": OP4_SQL,
+}
