@@ -201,17 +201,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     """
     spark = docs.sparkSession
     ship(spark)
-    store = Stored(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    windows = store.put("windows", items.mapInArrow(_item_windows(window), "item_id string, hash long, width int, shingles array<long>"))
-    blocks = max(1, -(-windows.select("hash", "width").distinct().count() // BLOCK_WINDOWS))
-    passes = []
-    for block in range(blocks):
-        own = windows.where(F.pmod(F.xxhash64("hash", "width"), F.lit(blocks)) == block)
-        own = own.groupBy("hash", "width").agg(F.first("shingles").alias("shingles"), F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed"))
-        index = own.toPandas()  # at most BLOCK_WINDOWS rows
-        passes.append(docs.mapInArrow(_scan(spark.sparkContext.broadcast(_build(spark, docs, index)), blocks > 1), "doc_id long, n_words long, text_key binary, hit binary, items array<string>"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    indexes = list(_blocks_of(Stored(spark), benchmark, window))
+    blocks = len(indexes)
+    passes = [docs.mapInArrow(_scan(spark.sparkContext.broadcast(_build(spark, docs, index)), blocks > 1), "doc_id long, n_words long, text_key binary, hit binary, items array<string>") for index in indexes]
     if blocks == 1:
         return passes[0].mapInArrow(_finish, _OUT)
     merged = passes[0]
@@ -222,6 +215,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     return merged.select("doc_id", "n_words", F.unhex("hit").alias("hit"), "items").mapInArrow(_finish, _OUT)
 
 
+def _blocks_of(store: Stored, benchmark: DataFrame, window: int):
+    """The distinct windows of all items with the items that have them, at most BLOCK_WINDOWS or so at a time."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    windows = store.put("windows", items.mapInArrow(_item_windows(window), "item_id string, hash long, width int, shingles array<long>"))
+    blocks = max(1, -(-windows.select("hash", "width").distinct().count() // BLOCK_WINDOWS))
+    for block in range(blocks):
+        own = windows.where(F.pmod(F.xxhash64("hash", "width"), F.lit(blocks)) == block)
+        yield own.groupBy("hash", "width").agg(F.first("shingles").alias("shingles"), F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed")).toPandas()
+
+
 def _build(spark, docs: DataFrame, index):
     """The arrays of an _Index: each window's rarest shingle in the documents, and the shingle's offset."""
     hashes = index["hash"].to_numpy(np.int64).view(U64) if len(index) else np.zeros(0, U64)
@@ -245,3 +248,28 @@ def _build(spark, docs: DataFrame, index):
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Ten-word windows of all benchmark items in all documents."""
     return decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _clean(shared, text: str):
+    def run(batches):
+        index = _Index(*shared.value)
+        for b in batches:
+            keep = np.ones(b.num_rows, bool)
+            for lo, hi, buf, off in K.text_slices(b.column(b.schema.get_field_index(text))):
+                w = K.split_words(buf, off, K.ALNUM_FOLDED)
+                start, _ = index.hits(w)
+                keep[lo + np.searchsorted(w.rows, start, "right") - 1] = False
+            yield b.filter(pa.array(keep))
+
+    return run
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of docs, with all their columns, in which no benchmark window occurs."""
+    spark = docs.sparkSession
+    ship(spark)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    out = docs
+    for index in _blocks_of(Stored(spark), benchmark, window):
+        out = out.mapInArrow(_clean(spark.sparkContext.broadcast(_build(spark, texts, index)), "text"), docs.schema)
+    return out

@@ -184,3 +184,18 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
         hi = min(hi, n)
         yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
         lo = hi
+
+
+def affixes(buf: np.ndarray, words: Words, values: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of each word's first bytes (size > 0) or last bytes (size < 0), whole for shorter words."""
+    up, down = powers(len(buf))
+    total = np.zeros(len(buf) + 1, U64)
+    np.cumsum(values[buf] * up[: len(buf)], out=total[1:])
+    out = []
+    for n in sizes:
+        if n > 0:
+            a, b = words.starts, np.minimum(words.starts + n, words.ends)
+        else:
+            a, b = np.maximum(words.ends + n, words.starts), words.ends
+        out.append(mix((total[b] - total[a]) * down[a] if len(a) else np.zeros(0, U64)))
+    return out

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import kernel as K
 from tidemark.llm.components import components
@@ -374,21 +375,12 @@ def _blocks(members: DataFrame, sets: DataFrame, task) -> DataFrame:
     return sent.join(sets.select("rid", "toks"), "rid").groupBy("task").applyInArrow(lambda t: task(t), "u long, v long")
 
 
-def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
-    """Exact near-duplicate components over word shingles.
-
-    Returns a row for each input row: doc_id, n_shingles (size of its set),
-    component_id (smallest id in the component of 100 * |A & B| >= percent * |A | B| links).
-    Null, empty and wordless texts have empty sets and link with nothing; texts of
-    fewer than ``width`` words have one shingle, the whole sequence.  Rows with the
-    same id or the same text each get their row; rows with a null id are linked as
-    any other and keep their null, which is never a component's smallest id unless
-    the component has no other.  Other columns of ``docs`` are not looked at.
-    """
+def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For docs (doc_id, text): (doc_id, n_shingles, fp_hi, fp_lo, row) of all rows, and
+    (fp_hi, fp_lo, doc_id, label) of all classes with words; label is one a component."""
     spark = docs.sparkSession
     ship(spark)
     store, shards = Stored(spark), partitions(spark)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     all_rows = store.put("sketch", docs.mapInArrow(_sketches(width), _SKETCH).withColumn("row", F.monotonically_increasing_id()))
     shared = docs.select("text").mapInArrow(_asks(width, shards), _ASK).groupBy("shard").applyInArrow(_shared(shards), "part int, fps binary, counts binary")
     shared = store.put("shared", shared.groupBy("part").applyInArrow(lambda t: _sum_shared(t), "fp_lo long, shared long"))
@@ -405,13 +397,62 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     family = components(store, stars, "family")
     edges = _region_join(store, family, sets, percent)
     links = components(store, edges, "links")
-    named = classes.join(links, classes.rid == links.node, "left").select("fp_hi", "fp_lo", "doc_id", F.coalesce("label", "rid").alias("label"))
+    return all_rows, classes.join(links, classes.rid == links.node, "left").select("fp_hi", "fp_lo", "doc_id", F.coalesce("label", "rid").alias("label"))
+
+
+def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
+    """Exact near-duplicate components over word shingles.
+
+    Returns a row for each input row: doc_id, n_shingles (size of its set),
+    component_id (smallest id in the component of 100 * |A & B| >= percent * |A | B| links).
+    Null, empty and wordless texts have empty sets and link with nothing; texts of
+    fewer than ``width`` words have one shingle, the whole sequence.  Rows with the
+    same id or the same text each get their row; rows with a null id are linked as
+    any other and keep their null, which is never a component's smallest id unless
+    the component has no other.  Other columns of ``docs`` are not looked at.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    all_rows, named = _linked_classes(docs, width, percent)
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = store.put("named", named.join(smallest, "label").select("fp_hi", "fp_lo", "component_id"))
+    named = Stored(docs.sparkSession).put("named", named.join(smallest, "label").select("fp_hi", "fp_lo", "component_id"))
     out = all_rows.join(named, ["fp_hi", "fp_lo"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _with_sketch(width: int, text: str):
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            words, hi, lo = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for i, s in _sets(b.column(b.schema.get_field_index(text)), width):
+                words[i] = True
+                hi[i], lo[i] = _fingerprint(s)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words), pa.array(hi), pa.array(lo)], names=[*b.schema.names, "__words", "__hi", "__lo"])
+
+    return run
+
+
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of docs, with all their columns, less all but one row of each component.
+
+    What stays of a component is a row with its smallest id; rows without words all stay.
+    """
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    all_rows, named = _linked_classes(plain, width, percent)
+    best = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp_hi", "fp_lo")).alias("b")).select("b.doc_id", "b.fp_hi", "b.fp_lo")
+    times = all_rows.where("n_shingles > 0").groupBy("fp_hi", "fp_lo", "doc_id").count()
+    same = (F.col("b.fp_hi") == F.col("t.fp_hi")) & (F.col("b.fp_lo") == F.col("t.fp_lo")) & F.col("b.doc_id").eqNullSafe(F.col("t.doc_id"))
+    kept = best.alias("b").join(times.alias("t"), same).select(F.col("b.fp_hi").alias("k_hi"), F.col("b.fp_lo").alias("k_lo"), F.col("b.doc_id").alias("k_id"), F.col("count").alias("k_n"))
+    kept = Stored(docs.sparkSession).put("kept", kept)
+    schema = T.StructType([*docs.schema.fields, T.StructField("__words", T.BooleanType()), T.StructField("__hi", T.LongType()), T.StructField("__lo", T.LongType())])
+    rows = docs.mapInArrow(_with_sketch(width, "text"), schema)
+    on = (rows["__hi"] == kept["k_hi"]) & (rows["__lo"] == kept["k_lo"]) & rows["doc_id"].cast("long").eqNullSafe(kept["k_id"])
+    rows = rows.join(kept, on, "left").where("not __words or k_n is not null")
+    once = rows.where("not __words or k_n = 1").select(*docs.columns)
+    again = rows.where("__words and k_n > 1").dropDuplicates(["__hi", "__lo", "k_id"]).select(*docs.columns)
+    return once.union(again)
+
+
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Five-word shingles at 75 % over all documents."""
     return ngram_jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
