@@ -45,9 +45,10 @@ def without_copies(texts: list[str], y: list[int], width: int = 5, share: float
     for lo, hi, buf, off in K.text_slices(pa.array(texts, pa.large_string())):
         w = K.split_words(buf, off, K.SPACED_FOLDED)
         h, at = K.windows(w, width)
-        h, cut = h.tolist(), np.searchsorted(at, w.rows)
+        cut = np.searchsorted(at, w.rows)
         for i in range(hi - lo):
-            own = set(h[cut[i] : cut[i + 1]])
+            own = h[cut[i] : cut[i + 1]]
+            own = set(own[own % np.uint64(8) == 0].tolist())  # an eighth of the shingles tells
             if not own or len(own & seen) <= share * len(own):
                 keep.append(lo + i)
             seen |= own
