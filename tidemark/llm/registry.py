@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import oracles
 from tidemark.llm.decontaminate import op7_decontaminate
 from tidemark.llm.license_scan import op3_license_scan
 from tidemark.llm.ngram_join import op1_ngram_jaccard_join
@@ -9,7 +10,7 @@ from tidemark.llm.phrase_dedup import op2_phrase_dedup
 from tidemark.llm.pii import op8_personal_data
 from tidemark.llm.quality_crf import op9_quality_classifier
 from tidemark.llm.rule_forest import op6_quality_rules
-from tidemark.llm.source_mix import OP4_SQL, op4_mix_sources
+from tidemark.llm.source_mix import op4_mix_sources
 from tidemark.llm.token_output import op5_token_output
 from tidemark.llm.toxic_crf import op10_toxicity
 
@@ -27,6 +28,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op2_phrase_dedup": op2_phrase_dedup,
-    "op4_mix_sources": OP4_SQL,
+    "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op2_phrase_dedup": oracles.PHRASE_DEDUP,
+    "op4_mix_sources": oracles.MIX_SOURCES,
+    "op7_decontaminate": oracles.DECONTAMINATE,
 }
