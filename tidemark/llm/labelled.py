@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,12 +20,11 @@ def held_out(mod: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == remainder, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, remainder: int, most: dict[int, int]) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most most[y] documents with each label, none of them held out,
-    less near copies among them.
+def train(fit, docs: DataFrame, labels: DataFrame, label: str, mod: int, remainder: int, most: dict[int, int]):
+    """fit(texts, labels) of at most most[y] documents with each label, none of them held out, less near copies among them.
 
-    Documents are taken in the order of a hash of their ids.  The sample is collected
-    by the driver: its size is bounded by ``most`` and MOST_CHARS.
+    Documents are taken in the order of a hash of their ids.  The model is trained in a task, on a
+    sample whose size is bounded by ``most`` and MOST_CHARS, and only the model comes to the driver.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where(~held_out(mod, remainder)).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -32,9 +33,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, remainder:
     for p in parts[1:]:
         ids = ids.union(p)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= MOST_CHARS)
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
-    rows.sort(key=lambda r: r.doc_id)
-    return without_copies([r.text for r in rows], [r.y for r in rows])
+    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).coalesce(1)
+
+    def run(batches):
+        own = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), key=lambda r: r[0])
+        model = fit(*without_copies([t for _, _, t in own], [y for _, y, _ in own]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return pickle.loads(rows.mapInArrow(run, "model binary").first()[0])
 
 
 def without_copies(texts: list[str], y: list[int], width: int = 5, share: float = 0.3) -> tuple[list[str], list[int]]:

@@ -217,7 +217,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int
     """
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast(fit(*labelled.sample(docs, labels, label, mod, remainder, SAMPLE)))
+    model = spark.sparkContext.broadcast(labelled.train(fit, docs, labels, label, mod, remainder, SAMPLE))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.mapInArrow(_score(model), "doc_id long, score double, predicted int")
     return rows.select("doc_id", labelled.held_out(mod, remainder).alias("held_out"), "score", "predicted")

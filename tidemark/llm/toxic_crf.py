@@ -201,7 +201,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int
     """
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast(fit(*labelled.sample(docs, labels, label, mod, remainder, SAMPLE)))  # 1 MB of weights
+    model = spark.sparkContext.broadcast(labelled.train(fit, docs, labels, label, mod, remainder, SAMPLE))  # 1 MB of weights
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_score(model), _DDL)
     return rows.select("doc_id", labelled.held_out(mod, remainder).alias("held_out"), "score", "predicted", "spans")
 
@@ -232,5 +232,5 @@ def without_toxic(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod:
     """The rows of docs, with all their columns, that are not predicted toxic."""
     spark = docs.sparkSession
     ship(spark)
-    model = spark.sparkContext.broadcast(fit(*labelled.sample(docs, labels, label, mod, remainder, SAMPLE)))
+    model = spark.sparkContext.broadcast(labelled.train(fit, docs, labels, label, mod, remainder, SAMPLE))
     return docs.mapInArrow(_keep(model, "text"), docs.schema)
