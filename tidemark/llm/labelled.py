@@ -40,7 +40,8 @@ def train(fit, docs: DataFrame, labels: DataFrame, label: str, mod: int, remaind
         model = fit(*without_copies([t for _, _, t in own], [y for _, y, _ in own]))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    return pickle.loads(rows.mapInArrow(run, "model binary").first()[0])
+    row = rows.mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit([], [])
 
 
 def without_copies(texts: list[str], y: list[int], width: int = 5, share: float = 0.3) -> tuple[list[str], list[int]]:

@@ -28,6 +28,8 @@ SAMPLE = {1: 700, 0: 1400}
 CLEAN_CHAINS = 300
 THRESHOLD = 0.7
 AFFIXES = (4, 5, 6)
+#: Lower marginals say nothing, however many a long text has.
+LEAST_MARGINAL = 0.1
 #: A feature is learnt if so many training documents have it.
 FEATURE_DOCS = 10
 _SLOT_BITS = 20
@@ -87,7 +89,8 @@ def _stands_out(n1: np.ndarray, n0: np.ndarray, all1: int, all0: int) -> np.ndar
     e0 = n - e1
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (n1 * np.log(n1 / e1) + np.where(n0 > 0, n0 * np.log(n0 / e0), 0))
-    return (n1 >= 4) & (g >= 8 + 2 * np.log(len(n) + 1)) & (n1 / all1 >= 10 * n0 / all0)
+    tested = n1 >= 4
+    return tested & (g >= 8 + 2 * np.log(tested.sum() + 1)) & (n1 / all1 >= 10 * n0 / all0)
 
 
 def fit(texts: list[str], y: list[int]) -> Model:
@@ -135,8 +138,7 @@ def fit(texts: list[str], y: list[int]) -> Model:
     expected = []
     for keys, rows, _, _ in parts:
         first = _first(rows, len(keys[0]))
-        total = np.concatenate(([0.0], np.cumsum(_marginals(model, (features.find(k) for k in _features(keys, first)), first))))
-        expected.append(np.maximum(total[rows[1:]] - total[rows[:-1]], 0))
+        expected.append(_expected(_marginals(model, (features.find(k) for k in _features(keys, first)), first), rows))
     model.slope, model.offset = crf.platt(np.log(np.concatenate(expected) + _FLOOR), y)
     return model
 
@@ -154,6 +156,12 @@ def _marginals(model: Model, feats, first: np.ndarray) -> np.ndarray:
     return crf.forward_backward(u, first, model.factors).marginal
 
 
+def _expected(m: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The expected number of toxic words of each row, over words that have some chance to be one."""
+    total = np.concatenate(([0.0], np.cumsum(np.where(m >= LEAST_MARGINAL, m, 0))))
+    return np.maximum(total[rows[1:]] - total[rows[:-1]], 0)
+
+
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("spans", pa.list_(pa.list_(pa.int64())))])
 _DDL = "doc_id long, score double, predicted int, spans array<array<long>>"
 
@@ -176,9 +184,7 @@ def _score(shared):
                 w = K.split_words(buf, off, K.ALNUM_FOLDED)
                 first = _first(w.rows, len(w.hashes))
                 m = _marginals(model, [model.features.find(k) for k in _features(_keys(buf, w), first)], first)
-                total = np.concatenate(([0.0], np.cumsum(m)))
-                expected = np.maximum(total[w.rows[1:]] - total[w.rows[:-1]], 0)
-                score = crf.logistic(model.slope * np.log(expected + _FLOOR) + model.offset)
+                score = crf.logistic(model.slope * np.log(_expected(m, w.rows) + _FLOOR) + model.offset)
                 hot = np.flatnonzero(m >= 0.5)
                 cut = np.searchsorted(hot, w.rows)
                 for i in range(hi - lo):
@@ -220,9 +226,7 @@ def _keep(shared, text: str):
                 w = K.split_words(buf, off, K.ALNUM_FOLDED)
                 first = _first(w.rows, len(w.hashes))
                 m = _marginals(model, [model.features.find(k) for k in _features(_keys(buf, w), first)], first)
-                total = np.concatenate(([0.0], np.cumsum(m)))
-                expected = np.maximum(total[w.rows[1:]] - total[w.rows[:-1]], 0)
-                keep.append(crf.logistic(model.slope * np.log(expected + _FLOOR) + model.offset) < THRESHOLD)
+                keep.append(crf.logistic(model.slope * np.log(_expected(m, w.rows) + _FLOOR) + model.offset) < THRESHOLD)
             yield b.filter(pa.array(np.concatenate(keep))) if keep else b
 
     return run
