@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = None
+from tidemark.queries import cdc, control, retrieval, streams
+
+QUERIES = cdc.QUERIES | control.QUERIES | retrieval.QUERIES | streams.QUERIES
+ORACLES = cdc.ORACLES | control.ORACLES | retrieval.ORACLES | streams.ORACLES
+FLAGSHIP = retrieval.hybrid_search
