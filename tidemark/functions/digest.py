@@ -68,7 +68,8 @@ def vector_hex(v: pd.Series) -> pd.Series:
         a = np.asarray(x, np.float64)
         if not np.isfinite(a).all():
             raise ValueError("a vector with a value that is not finite has no digest")
-        return f"{len(a):016X}" + "".join([TAGS["double"] + b.hex().upper() for b in (y.tobytes() for y in a.astype(">f8"))])
+        raw = a.astype(">f8").tobytes().hex().upper()
+        return f"{len(a):016X}" + "".join([TAGS["double"] + raw[i : i + 16] for i in range(0, len(raw), 16)])
 
     return v.map(one)
 

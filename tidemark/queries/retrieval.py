@@ -52,7 +52,7 @@ def candidates_seen(spark, sf):
 
 def normalised_rows(spark, sf):
     v = tables.vectors(spark, sf)
-    return v.select("record_id", F.round(V.norm(F.col("vector")), 9).alias("norm"), F.round(V.norm(V.normalised(F.col("vector"))), 9).alias("unit"))
+    return v.select("record_id", F.round(V.norm(F.col("vector")), 6).alias("norm"), F.round(V.norm(V.normalised(F.col("vector"))), 6).alias("unit"))
 
 
 def centroid_assign(spark, sf):
@@ -248,7 +248,7 @@ ORACLES |= {
     "default_projection": sql("SELECT lang, source, count(*) AS n, max(n_chars) AS longest FROM d WHERE NOT is_deleted GROUP BY ALL", "d"),
     "knn_filtered": sql(_knn_sql("l2", 5, "NOT v.is_deleted AND v.label <= 4"), "v", "q"),
     "candidates_seen": sql("SELECT count(vector) AS candidates, count(*) FILTER (len(list_filter(vector, lambda z: isnan(z) OR isinf(z))) > 0) AS not_finite, count(*) FILTER (len(vector) <> 64) AS wrong_size FROM v", "v"),
-    "normalised_rows": sql(f"SELECT record_id, round({_NORM.format('vector')}, 9) AS norm, CASE WHEN {_NORM.format('vector')} > 0 THEN 1.0 ELSE 0.0 END AS unit FROM v", "v"),
+    "normalised_rows": sql(f"SELECT record_id, round({_NORM.format('vector')}, 6) AS norm, CASE WHEN {_NORM.format('vector')} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS unit FROM v", "v"),
     "centroid_assign": sql(_PLACED, "v", "c"),
     "partition_histogram": sql(f"SELECT pid, count(*) AS n FROM ({_PLACED}) GROUP BY pid", "v", "c"),
     "salted_partitions": sql(f",, pl AS ({_PLACED}), h AS (SELECT pid, CAST(ceil(count(*) / 40) AS INTEGER) AS salts FROM pl GROUP BY pid) SELECT record_id, pid, CAST(CAST('0x' || substr(sha256(CAST(record_id AS VARCHAR)), 1, 8) AS BIGINT) % salts AS INTEGER) AS salt FROM pl JOIN h USING (pid)", "v", "c"),
