@@ -22,7 +22,7 @@ MODES = {"balanced": None, "semantic": 0.8, "lexical": 0.2}
 def top_k(rows: DataFrame, k: int, score: Column, by: str = "query_id", key: str = "record_id") -> DataFrame:
     """The first k rows of each query by (score, key), with their rank."""
     w = Window.partitionBy(by).orderBy(score, F.col(key))
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= check_k(k))
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= check_k(k)).withColumn("rank", F.col("rank").cast("long"))
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str, live: Column | None = None) -> DataFrame:
@@ -156,7 +156,7 @@ def best_per_record(hits: DataFrame, ascending: bool) -> DataFrame:
     agg = F.min("score") if ascending else F.max("score")
     best = hits.groupBy("query_id", "record_id").agg(agg.alias("score"))
     order = F.asc("score") if ascending else F.desc("score")
-    return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "record_id")))
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "record_id")).cast("long"))
 
 
 def rrf(legs: list[DataFrame], k: int, constant: int = RRF_K, digits: int = 12) -> DataFrame:

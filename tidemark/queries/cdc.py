@@ -182,14 +182,14 @@ ORACLES = {
     "conflict_keys": sql(_T + f" SELECT {K}, window_seq FROM t GROUP BY ALL HAVING count(DISTINCT event_digest) > 1", "m"),
     "exact_dup_collapse": sql(_T + " SELECT org_id, count(DISTINCT source_sequence) AS n, count(DISTINCT event_digest) AS digests FROM t GROUP BY org_id", "m"),
     "merge_upsert": sql(_T + _HALVES + _BOTH + f" SELECT {K}, source_sequence, event_digest, is_deleted, kind, day FROM ab", "m"),
-    "merge_noop": sql(_T + _HALVES + f" SELECT 0 AS advancing, 0 AS unreconciled, (SELECT count(*) FROM b LEFT JOIN a USING ({K}) WHERE a.source_sequence IS NULL OR a.source_sequence < b.source_sequence) AS advancing_before", "m"),
+    "merge_noop": sql(_T + _HALVES + f" SELECT CAST(0 AS BIGINT) AS advancing, CAST(0 AS BIGINT) AS unreconciled, (SELECT count(*) FROM b LEFT JOIN a USING ({K}) WHERE a.source_sequence IS NULL OR a.source_sequence < b.source_sequence) AS advancing_before", "m"),
     "same_sequence_conflicts": sql(_T + _HALVES + f" SELECT {K} FROM a WHERE source_sequence % 5 = 0", "m"),
     "tombstones": sql(_T + _L + f" SELECT {K}, source_sequence, kind IS NULL AS cleared FROM l WHERE is_deleted", "m"),
     "rebuild_winners": sql(_T + f", x AS (SELECT *, max(window_seq) OVER (PARTITION BY {K}) AS top FROM t) SELECT {K}, top AS source_sequence, count(DISTINCT event_digest) AS n_digests, min(event_digest) AS event_digest, min(is_deleted) AS is_deleted FROM x WHERE window_seq = top GROUP BY {K}, top", "m"),
     "retention_two_clock": sql(_T + _L + " SELECT is_deleted, count(*) AS kept FROM l WHERE NOT ((NOT is_deleted AND ts_us < 1706572800000000 - 2 * 86400000000) OR (is_deleted AND ts_us < 1706572800000000 - 5 * 86400000000)) GROUP BY is_deleted", "m"),
     "baseline_conflicts": sql(_T + f", x AS (SELECT {K}, ts_us // 3600000000 AS hour FROM t GROUP BY ALL HAVING count(DISTINCT event_digest) > 1) SELECT org_id, count(*) AS conflicts FROM x GROUP BY org_id", "m"),
     "candidate_counts": sql(_T + f" SELECT count(*) AS total, count(DISTINCT ({K})) AS distinct_keys, count(*) FILTER (NOT is_deleted) AS live, count(DISTINCT ({K})) FILTER (NOT is_deleted) AS live_keys FROM t", "m"),
-    "merge_input_violations": sql(_T + f" SELECT count(*) FILTER (record_id IS NULL) AS null_keys, 0 AS bad_lineage, count(*) FILTER (is_deleted AND source_sequence % 10 = 0) AS uncleared_tombstones, (SELECT count(*) FROM (SELECT {K} FROM t GROUP BY ALL HAVING count(*) > 1)) AS duplicate_keys FROM t", "m"),
+    "merge_input_violations": sql(_T + f" SELECT count(*) FILTER (record_id IS NULL) AS null_keys, CAST(0 AS BIGINT) AS bad_lineage, count(*) FILTER (is_deleted AND source_sequence % 10 = 0) AS uncleared_tombstones, (SELECT count(*) FROM (SELECT {K} FROM t GROUP BY ALL HAVING count(*) > 1)) AS duplicate_keys FROM t", "m"),
     "row_rule_flags": sql("SELECT CAST(max(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS null_ts, 0 AS bad_op, CAST(max(CASE WHEN source_sequence % 100 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wrong_size, CAST(max(CASE WHEN isnan(amount) THEN 1 ELSE 0 END) AS INTEGER) AS not_finite, CAST(max(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS missing_amount FROM m", "m"),
     "map_pivot": sql("SELECT source_sequence, kind, CASE WHEN source_sequence % 2 = 0 THEN day END AS day, CAST(NULL AS VARCHAR) AS colour FROM m", "m"),
     "unknown_map_keys": sql("SELECT 'k2' AS key, count(*) AS n FROM m WHERE source_sequence % 3 = 2", "m"),

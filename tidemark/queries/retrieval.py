@@ -222,7 +222,7 @@ def _top(body, k=10, digits=9):
 
 
 _AND = f"SELECT x.* FROM ({_bm25_sql()}) x JOIN (SELECT query_id, count(*) AS need FROM terms GROUP BY query_id) USING (query_id) WHERE matched = need"
-_TAG = ", tagtoks AS (SELECT record_id, regexp_extract_all(lower(lang || ' ' || source), '[\\p{L}\\p{M}\\p{N}_]+') AS toks FROM d), mt AS (SELECT * FROM (VALUES (1, 'fr'), (1, 'license'), (2, 'src3'), (2, 'under')) AS t(query_id, term))"
+_TAG = ", tagtoks AS (SELECT record_id, regexp_extract_all(lower(lang || ' ' || source), '[\\p{L}\\p{M}\\p{N}_]+') AS toks FROM d), mt AS (SELECT CAST(query_id AS BIGINT) AS query_id, term FROM (VALUES (1, 'fr'), (1, 'license'), (2, 'src3'), (2, 'under')) AS t(query_id, term))"
 _LEGS = f""",, q3 AS (SELECT * FROM q WHERE query_id BETWEEN 1 AND 3), vl AS ({_knn_sql('l2', 20, queries='q3')}), tl AS ({_top(_bm25_sql(), 20)})"""
 _LEG_VIEWS = ("v", "q", "toks", "terms")
 
@@ -234,7 +234,7 @@ def _weighted_sql(w):
 
 
 _RRF = "SELECT query_id, record_id, sum(1.0::DOUBLE / (60 + rank)) AS score FROM (SELECT query_id, record_id, rank FROM vl UNION ALL SELECT query_id, record_id, rank FROM tl) GROUP BY query_id, record_id"
-_ONE = "(SELECT 1 AS query_id, unnest([{0}]) AS term)"
+_ONE = "(SELECT CAST(1 AS BIGINT) AS query_id, unnest([{0}]) AS term)"
 _MUST, _SHOULD, _NOT = (_bm25_sql(terms=_ONE.format(t)) for t in ("'license'", "'version', 'mit'", "'rights'"))
 _LISTS = f""",, served AS (SELECT query_id, list(record_id ORDER BY rank) AS got FROM ({_knn_sql('l2', 10, 'v.record_id % 4 <> 1')}) GROUP BY query_id), truth AS (SELECT query_id, list(record_id ORDER BY rank) AS t FROM ({_knn_sql('l2', 10)}) GROUP BY query_id),
 graded AS (SELECT query_id, len(list_intersect(t, got)) / least(10, len(t)) AS recall,
@@ -262,7 +262,7 @@ SELECT query_id, record_id, round(dd, 9) AS distance, rank FROM (SELECT *, row_n
     "phrase": sql("SELECT record_id, CAST(len(list_filter(range(1, len(toks)), lambda i: toks[i] = 'under' AND toks[i + 1] = 'the')) AS INTEGER) AS places FROM toks WHERE places > 0", "toks"),
     "phrase_slop": sql("""SELECT record_id, CAST(len(list_filter(range(1, len(toks) + 1), lambda i: toks[i] = 'licensed' AND list_position(toks[i + 1:], 'the') > 0
   AND list_position(toks[i + list_position(toks[i + 1:], 'the') + 1:], 'license') > 0 AND list_position(toks[i + 1:], 'the') + list_position(toks[i + list_position(toks[i + 1:], 'the') + 1:], 'license') + 1 - 3 <= 3)) AS INTEGER) AS places FROM toks WHERE places > 0""", "toks"),
-    "fuzzy_match": sql("SELECT DISTINCT query_id, term FROM (SELECT DISTINCT unnest(toks) AS term FROM toks), (VALUES (1, 'lisense'), (2, 'reservd')) AS t(query_id, wanted) WHERE levenshtein(term, wanted) <= 2 AND term[1:2] = wanted[1:2]", "toks"),
+    "fuzzy_match": sql("SELECT DISTINCT CAST(query_id AS BIGINT) AS query_id, term FROM (SELECT DISTINCT unnest(toks) AS term FROM toks), (VALUES (1, 'lisense'), (2, 'reservd')) AS t(query_id, wanted) WHERE levenshtein(term, wanted) <= 2 AND term[1:2] = wanted[1:2]", "toks"),
     "boolean_query": sql(f"SELECT m.query_id, m.record_id, round(m.score + coalesce(s.score, 0), 9) AS score FROM ({_MUST}) m LEFT JOIN ({_SHOULD}) s USING (query_id, record_id) ANTI JOIN ({_NOT}) x USING (query_id, record_id)", "toks"),
     "boost_query": sql(f"SELECT m.query_id, m.record_id, round(CASE WHEN s.record_id IS NULL THEN m.score ELSE m.score * 0.5::DOUBLE END, 9) AS score FROM ({_MUST}) m LEFT JOIN ({_SHOULD}) s USING (query_id, record_id)", "toks"),
     "rrf": sql(_LEGS + _top(_RRF, 10, 12), *_LEG_VIEWS),

@@ -154,7 +154,7 @@ VIEWS = {
     "c": f"SELECT CAST(label AS BIGINT) AS pid, min_by({_V}, vec_id) AS centroid FROM embeddings GROUP BY label",
     "d": "SELECT doc_id AS record_id, text, lang, source, n_chars, doc_id % 11 = 5 AS is_deleted FROM documents",
     "toks": r"SELECT doc_id AS record_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}_]+') AS toks FROM documents",
-    "terms": "SELECT * FROM (VALUES " + ", ".join(f"({q}, '{t}')" for q, t in TERMS) + ") AS t(query_id, term)",
+    "terms": "SELECT CAST(query_id AS BIGINT) AS query_id, term FROM (VALUES " + ", ".join(f"({q}, '{t}')" for q, t in TERMS) + ") AS t(query_id, term)",
     "w": """SELECT CAST(o_orderkey AS BIGINT) AS work_id, CAST(o_custkey AS BIGINT) AS dataset_id, CAST(o_custkey % 25 AS BIGINT) AS source_id,
   CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 97 AS BIGINT) END AS source_seq,
   CASE WHEN o_orderkey % 3 = 0 THEN 'PUBLISH' WHEN o_orderkey % 13 = 1 THEN 'REBUILD' ELSE 'INGEST' END AS kind,
