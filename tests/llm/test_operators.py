@@ -1,0 +1,380 @@
+import hashlib
+import os
+import random
+import sys
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import helpers as H  # noqa: E402
+
+from tidemark.llm import crf, decontaminate, kernel, license_scan, ngram_join, phrase_dedup, pii, quality_crf, rule_forest, source_mix, token_output, toxic_crf  # noqa: E402
+
+LABELS = "doc_id long, quality int, toxic int, score string"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return H.corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return H.awkward(spark, rows).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], H.SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids, an id twice with different texts, and a row twice."""
+    t = " ".join(f"w{i}" for i in range(50))
+    return spark.createDataFrame([(None, t, None, None, 1), (None, None, None, None, 0), (7, t, "en", "s", 1), (7, "other words here", "en", "s", 1), (3, t + " more", "en", "s", 1), (3, t + " more", "en", "s", 1)], H.SCHEMA)
+
+
+def by_id(df, *cols):
+    return {r.doc_id: tuple(r[c] for c in cols) for r in df.collect()}
+
+
+# kernel
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_words_are_those_of_the_pattern(most):
+    texts = ["a b  c\n\nd", "", None, "Größe x y", "  ", "ab ab\x0babc", "x" * 50, "A-b_C9 é,ö"]
+    for values, pattern, fold in ((kernel.SPACED, H.SPACED, False), (kernel.SPACED_FOLDED, H.SPACED, True), (kernel.ALNUM_FOLDED, H.ALNUM, True)):
+        seen = {}
+        for lo, hi, buf, off in kernel.text_slices(pa.array(texts), most):
+            w = kernel.split_words(buf, off, values)
+            for i in range(lo, hi):
+                a, b = w.rows[i - lo : i - lo + 2]
+                want = pattern.findall((texts[i] or "").translate(H.LOWER) if fold else texts[i] or "")
+                got = [bytes(buf[x:y]).decode() for x, y in zip(w.starts[a:b], w.ends[a:b])]
+                assert [g.translate(H.LOWER) if fold else g for g in got] == want
+                for word, h in zip(want, w.hashes[a:b].tolist()):
+                    assert seen.setdefault(word, h) == h
+        assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5, 8, 10, 35])
+def test_window_hashes(k):
+    h = np.random.default_rng(0).integers(0, 1 << 63, 80).astype(np.uint64)
+    r, want = int(kernel._WINDOW_RADIX), []
+    for i in range(len(h) - k + 1):
+        a = 0
+        for x in h[i : i + k].tolist():
+            a = (a * r + x) % (1 << 64)
+        want.append(a)
+    assert kernel.window_hashes(h, k).tolist() == want
+
+
+def test_slices_of_an_array_with_an_offset():
+    a = pa.array(["skip", "a b", None, "c"]).slice(1)
+    got = [(lo, hi, bytes(buf)) for lo, hi, buf, _ in kernel.text_slices(a)]
+    assert got == [(0, 3, b"a bc")]
+
+
+# 1
+
+
+def test_join_against_all_pairs(rows, docs):
+    assert by_id(ngram_join.ngram_jaccard_join(docs), "n_shingles", "component_id") == H.components(rows)
+
+
+def test_join_with_many_regions(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rows = H.corpus(11)
+    assert by_id(ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, H.SCHEMA)), "n_shingles", "component_id") == H.components(rows)
+
+
+def test_region_links_are_all_links():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 60, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 90, replace=False), rng.integers(0, 1 << 60, rng.integers(0, 25)).astype(np.uint64)])) for _ in range(40)]
+    forest = ngram_join._Forest(40)
+    for a, b in ngram_join.region_links(list(range(40)), sets, [None] * 40, 75):
+        forest.join(a, b)
+    want = ngram_join._Forest(40)
+    for a in range(40):
+        for b in range(a):
+            n = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+                want.join(a, b)
+    assert [forest.find(i) for i in range(40)] == [want.find(i) for i in range(40)]
+
+
+def test_join_of_odd_and_empty_tables(odd, empty):
+    got = sorted((tuple(r) for r in ngram_join.ngram_jaccard_join(odd).collect()), key=str)
+    assert got == sorted([(None, 46, 3), (None, 0, None), (7, 46, 3), (7, 1, 7), (3, 47, 3), (3, 47, 3)], key=str)
+    assert ngram_join.ngram_jaccard_join(empty).count() == 0
+
+
+def test_one_document_of_each_group_stays(rows, docs, odd, empty):
+    want = H.components(rows)
+    kept = ngram_join.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (n, c) in want.items() if not n or i == c)
+    assert sorted(((r.doc_id, r.text) for r in ngram_join.without_near_duplicates(odd).collect()), key=str) == sorted([(None, None), (7, "other words here"), (3, odd.where("doc_id = 3").first().text)], key=str)
+    assert ngram_join.without_near_duplicates(empty).count() == 0
+
+
+# 2
+
+
+@pytest.mark.parametrize("chunk", [2000, 1 << 22])
+def test_phrases_against_all_windows(rows, docs, monkeypatch, chunk):
+    monkeypatch.setattr(phrase_dedup, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(phrase_dedup, "PATTERN_WINDOWS", 10)
+    assert by_id(phrase_dedup.remove_repeated_phrases(docs), "n_words", "n_removed", "kept_sha256") == H.phrases(rows)
+
+
+def test_kept_text_and_odd_tables(spark, odd, empty):
+    assert phrase_dedup.remove_repeated_phrases(empty).count() == 0
+    got = {(r.doc_id, r.n_words): r.n_removed for r in phrase_dedup.remove_repeated_phrases(odd).collect()}
+    assert got == {(None, 50): 50, (None, 0): 0, (7, 50): 50, (7, 3): 0, (3, 51): 51}
+    long = "x" * 1000
+    t = " ".join([long] * 40)
+    rows = [(1, f"a {t} b", None, None, 1), (2, f"c {t}", None, None, 1)]
+    assert {r.doc_id: r.kept for r in phrase_dedup.remove_repeated_phrases(spark.createDataFrame(rows, H.SCHEMA)).collect()} == {1: "a b", 2: "c"}
+
+
+# 3
+
+
+def test_license_base_and_templates(spark, rows, docs, empty):
+    more = [
+        (1, "Released under the MIT license. And the MIT License; CC-BY", None, None, 1),
+        (2, "x Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without any restriction y", None, None, 1),
+        (3, None, None, None, 0), (4, "all\nrights reserved", None, None, 1), (5, "cc", None, None, 0), (5, "Licensed under CC BY-NC 4.0.", None, None, 0),
+    ]
+    for r in license_scan.scan_licenses(spark.createDataFrame(more[:4], H.SCHEMA)).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == H.license_base(dict((m[0], m[1]) for m in more)[r.doc_id])
+    got = [(r.doc_id, r.labels) for r in license_scan.scan_licenses(spark.createDataFrame(more, H.SCHEMA)).collect()]
+    assert sorted(got) == [(1, "cc-by,mit"), (2, "mit"), (3, ""), (4, "all-rights-reserved"), (5, ""), (5, "cc-by,cc-by-nc")]
+    for r in license_scan.scan_licenses(docs).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == H.license_base(rows[r.doc_id][1]) and 0 <= r.score <= 1
+    assert license_scan.scan_licenses(empty).count() == 0
+
+
+# 4
+
+
+def test_targets_and_words_taken(spark, docs, empty):
+    got = source_mix.mix_sources(docs).collect()
+    total = sum(r["size"] for r in got)
+    by = {}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r["size"] and (not r["size"] or r.taken % r["size"] == 0)
+        by.setdefault((r.source_size, r.target), []).append(r)
+    assert abs(sum(t for _, t in by) - 1.5 * total) < 1e-6 * total
+    for (size, target), own in by.items():
+        assert target <= 2 * size and abs(sum(r.taken for r in own) - target) <= max(r["size"] for r in own)
+    again = source_mix.mix_sources(docs).collect()
+    assert sorted((r.doc_id, r.taken) for r in got) == sorted((r.doc_id, r.taken) for r in again)
+    assert source_mix.mix_sources(empty).count() == 0
+    taken = source_mix.mixed_documents(docs)
+    assert taken.columns == docs.columns and taken.count() == sum(r.taken // r["size"] for r in got if r["size"])
+
+
+def test_mixing_odd_rows(odd):
+    got = source_mix.mix_sources(odd).collect()
+    assert len(got) == 6 and all(r.taken <= 2 * r["size"] for r in got)
+
+
+def test_bands_of_one_row_change_nothing(docs, monkeypatch):
+    want = by_id(source_mix.mix_sources(docs), "taken")
+    monkeypatch.setattr(source_mix, "BAND_ROWS", 1)
+    assert by_id(source_mix.mix_sources(docs), "taken") == want
+
+
+# 5
+
+
+def _tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def test_encoder_is_the_tokenizer(monkeypatch):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        enc = token_output.Encoder(f.read())
+    rng, t = random.Random(1), _tokenizer()
+    parts = [" ", "\n", "  ", "\t", "a", "É", "1", "'s", "'", "don't", "_", "<|endoftext|>", "!", "ー", " ", "\x00", "½", "á", "\r\n", ".", "\x1c", "\x85", "…", "×", "a,", "b.", "-", "　"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    for cache in (1 << 12, 50):
+        monkeypatch.setattr(token_output, "CACHE", cache)
+        enc._empty()
+        got = []
+        for _, _, buf, off in kernel.text_slices(pa.array(texts), 4000):
+            ids, ends = enc.encode(buf, off)
+            got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+        assert got == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_token_files_round_trip(spark, rows, docs, odd, empty, tmp_path):
+    t, path = _tokenizer(), f"file://{tmp_path}/tokens"
+    token_output.write_tokens(docs, path)
+    got, start = by_id(token_output.read_tokens(spark, path), "start", "n_tokens", "ids_crc32"), 0
+    for i, text, *_ in rows:
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        assert got[i] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    some = {r.doc_id: list(r.ids) for r in token_output.fetch_tokens(spark, path, [3, 0]).collect()}
+    assert some == {3: t.encode("one", add_special_tokens=False).ids + [2], 0: [2]}
+    assert token_output.token_store(empty).count() == 0
+    assert [r.doc_id for r in token_output.token_store(odd).orderBy("start").collect()] == [None, None, 3, 3, 7, 7]
+
+
+# 6
+
+
+def test_rules_against_their_definition(spark, rows, docs, empty):
+    labels = spark.createDataFrame([(i, i % 2, 0, "x") for i in range(0, 60, 3)] + [(None, 1, 1, "")], LABELS)
+    got = rule_forest.quality_rules(docs, labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = H.rules(rows[r.doc_id][1])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == want
+        assert not (r.base_failed and r.kept)
+    assert rule_forest.quality_rules(empty, labels.limit(0)).count() == 0
+
+
+def test_forest_finds_what_lies_where_no_row_was():
+    rng = np.random.default_rng(0)
+    good = np.column_stack([rng.normal(5, 1, 500), np.zeros(500)])
+    odd = np.column_stack([rng.normal(5, 1, 30), np.ones(30)])
+    both = np.concatenate([good, odd])
+    forest = rule_forest.grow(good, both)
+    assert forest.scores(odd).min() > np.quantile(forest.scores(good), 0.95)
+    s = forest.scores(both)
+    assert rule_forest.calibrate(s, np.arange(530) < 500) <= s[500:].max()
+
+
+# 7
+
+
+@pytest.mark.parametrize("block", [3, 500_000])
+def test_contamination_against_all_windows(spark, rows, docs, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    w = rows[10][1].split()
+    items = [(1, " ".join(w[5:40])), (2, "One, TWO!"), (3, None), (4, "..."), (12, " ".join(w[30:42]).upper()), (5, "absent words of an item that no document has at all here"), (None, " ".join(rows[45][1].split()[:10])), (12, " ".join(w[5:15]))]
+    if block == 3:
+        items = items[:5]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
+    got = decontaminate.decontaminate(docs, bench)
+    assert by_id(got, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == H.contamination(rows, items)
+    clean = decontaminate.without_contaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted(r.doc_id for r in clean.collect()) == [i for i, x in H.contamination(rows, items).items() if not x[4]]
+
+
+def test_contamination_of_odd_and_empty_tables(spark, docs, odd, empty):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert not any(r.contaminated for r in decontaminate.decontaminate(docs, none).collect())
+    bench = spark.createDataFrame([(1, "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9")], "item_id long, text string")
+    assert decontaminate.decontaminate(empty, bench).count() == 0
+    assert sorted(((r.doc_id, r.n_hit) for r in decontaminate.decontaminate(odd, bench).collect()), key=str) == sorted([(None, 10), (None, 0), (7, 10), (7, 0), (3, 10), (3, 10)], key=str)
+
+
+# 8
+
+
+def test_base_spans_against_the_patterns():
+    rng = random.Random(3)
+    parts = ["a", "b@", "@", "c.d", "12", "3", "4111111111111111", "1.2.3.4", "300.1", ".", " ", "-", "+1 (555) 123-4567", "+", "é", "\n", "(", ")", "a@b.co", "%"]
+    for _ in range(8000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(1, 10)))
+        assert sorted((k, a, b) for k, a, b, ok in pii.looked_at(t) if ok) == sorted(tuple(x.split(":")[:1]) + tuple(map(int, x.split(":")[1:])) for x in H.personal(t)[1].split(",") if x)
+    assert pii.looked_at("9" * 200_000 + "@" + "a" * 200_000)[0][0] == "card"
+
+
+def test_personal_data_table(spark, empty):
+    rng = random.Random(4)
+    texts = [None, "", "mail me: jo@site.example.org or +1 (555) 123-4567", "host 10.0.0.300 and 10.0.0.1", "card 4111 1111 1111 1111, not 4111 1111 1111 1112"]
+    texts += [f"call 555 {rng.randint(100, 999)}, at u{i}@mail{i}.example.com, ip {i}.2.3.4, no {rng.randint(10**15, 10**16)}" for i in range(60)]
+    df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
+    for r in pii.find_personal_data(df).collect():
+        n, base = H.personal(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == n and r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+    assert pii.find_personal_data(empty).count() == 0
+
+
+# 9 and 10
+
+
+def test_field_against_all_labelings():
+    import itertools
+
+    rng = np.random.default_rng(0)
+    u, first, t = rng.normal(0, 2, 9), np.array([1, 0, 0, 0, 1, 0, 0, 0, 0], bool), np.exp(rng.normal(0, 1, (2, 2)))
+    total, m, pairs = 0.0, np.zeros(9), np.zeros((2, 2))
+    for y in itertools.product((0, 1), repeat=9):
+        s = np.exp(np.dot(u, y)) * np.prod([t[y[i - 1], y[i]] for i in range(1, 9) if not first[i]])
+        total, m = total + s, m + s * np.array(y)
+        for i in range(1, 9):
+            if not first[i]:
+                pairs[y[i - 1], y[i]] += s
+    p = crf.forward_backward(u, first, t)
+    assert np.allclose(m / total, p.marginal) and np.allclose(pairs / total, crf.pair_counts(u, first, t, p))
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    """Texts with bad words or bad lines, and their labels."""
+    rng, rows, labels = random.Random(9), [], []
+    for i in range(400):
+        w = H.words(rng, rng.randint(20, 60))
+        toxic, bad = i % 4 == 0, i % 3 == 0
+        if toxic:
+            for _ in range(3):
+                w[rng.randrange(len(w))] = rng.choice(["grukkel", "grukkin", "zompf"])
+        lines = [" ".join(w[j : j + 10]) for j in range(0, len(w), 10)]
+        if bad:
+            lines = [x.replace(" ", "%%% ") + " $$$" for x in lines]
+        rows.append((i, "\n".join(lines), "en", "s", 1))
+        labels.append((i, int(not bad), int(toxic), "z"))
+    return H.awkward(spark, rows + [(1000, None, "en", "s", 0), (1001, "", "en", "s", 0), (None, "plain words", "en", "s", 0)]), spark.createDataFrame(labels + [(None, 1, 1, ""), (3, None, None, "")], LABELS), labels
+
+
+@pytest.mark.parametrize("operator, column, held", [(toxic_crf.toxicity, 2, lambda i: zlib.crc32(str(i).encode()) % 3 == 1), (quality_crf.quality, 1, lambda i: zlib.crc32(str(i).encode()) % 4 == 2)])
+def test_held_out_accuracy(spark, judged, empty, operator, column, held):
+    docs, labels, truth = judged
+    got = operator(docs, labels).collect()
+    assert len(got) == 403 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    by = {r.doc_id: r for r in got}
+    assert all(by[i].held_out == held(i) for i in range(400)) and by[None].held_out is False
+    mine = [t for t in truth if held(t[0])]
+    assert sum(by[t[0]].predicted == t[column] for t in mine) >= 0.95 * len(mine)
+    assert operator(empty, labels.limit(0)).count() == 0
+    one = operator(docs, labels.where("doc_id is null"))  # nothing to learn from
+    assert len({round(r.score, 9) for r in one.collect()}) == 1
+
+
+def test_toxic_spans_and_filter(judged):
+    docs, labels, truth = judged
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in toxic_crf.toxicity(docs, labels).where("predicted = 1").collect():
+        assert all(any(s in text[r.doc_id][a:b] for s in ("grukk", "zompf")) for a, b in r.spans) and r.spans
+    kept = toxic_crf.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {i for i, _, t, _ in truth if not t} | {1000, 1001, None}
+
+
+def test_labels_of_held_out_rows_change_nothing(judged):
+    docs, labels, _ = judged
+    flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert by_id(toxic_crf.toxicity(docs, labels), "score") == by_id(toxic_crf.toxicity(docs, flipped), "score")
