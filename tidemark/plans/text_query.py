@@ -1,0 +1,96 @@
+"""A text query tree compiled to a plan of clause scores.
+
+Nodes: {"match": {"column"?, "query", "operator"?, "boost"?, "fuzziness"?, "prefix_length"?}},
+{"multi_match": {"columns": {name: boost}, "query"}}, {"phrase": {"column"?, "query", "slop"?}},
+{"boost": {"positive", "negative", "factor"?}}, {"boolean": {"must"?, "should"?, "must_not"?}} with
+lists of nodes.  A missing column is the default text column.
+"""
+
+from __future__ import annotations
+
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.predicates import MAX_DEPTH
+from tidemark.operators import search
+
+_KEYS = ["query_id", "record_id"]
+
+
+class TextQueryError(ValueError):
+    """A query tree that can't be compiled."""
+
+
+def query_terms(text: str) -> list[str]:
+    """Distinct terms of a query, in order."""
+    return list(dict.fromkeys(re.findall(r"\w+", (text or "").lower())))
+
+
+def _fuzziness(term: str, fuzziness) -> int:
+    """``auto`` allows no edit for short terms, one for middling and two for long ones."""
+    if fuzziness == "auto":
+        return 0 if len(term) < 3 else 1 if len(term) < 6 else 2
+    return int(fuzziness or 0)
+
+
+def _sum(parts: list[DataFrame]) -> DataFrame:
+    rows = reduce(DataFrame.unionByName, [p.select(*_KEYS, "score") for p in parts])
+    return rows.groupBy(*_KEYS).agg(F.sum("score").alias("score"))
+
+
+def _meet(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.join(b.select(*_KEYS, F.col("score").alias("_s")), _KEYS).select(*_KEYS, (F.col("score") + F.col("_s")).alias("score")), [p.select(*_KEYS, "score") for p in parts])
+
+
+def _match(docs: DataFrame, spec: dict, column: str) -> DataFrame:
+    terms = query_terms(spec.get("query"))
+    if not terms:
+        raise TextQueryError("a match without terms")
+    column = spec.get("column", column)
+    spark = docs.sparkSession
+    boost = float(spec.get("boost", 1.0))
+    wanted = spark.createDataFrame([(1, t) for t in terms], "query_id long, term string")
+    if spec.get("fuzziness"):
+        vocabulary = search.postings(docs, column).select("term").distinct()
+        near = [search.fuzzy_terms(vocabulary, wanted.where(F.col("term") == t), _fuzziness(t, spec["fuzziness"]), int(spec.get("prefix_length", 0))) for t in terms]
+        clauses = [search.bm25_scores(docs, n, column) for n in near]  # a clause a query term, met by any of its variants
+        scores = _meet(clauses) if spec.get("operator") == "and" else _sum(clauses)
+    else:
+        scores = search.bm25_scores(docs, wanted, column)
+        if spec.get("operator") == "and":
+            scores = scores.where(F.col("matched") == len(terms))
+    return scores.select(*_KEYS, (F.col("score") * boost).alias("score"))
+
+
+def compile_text_query(docs: DataFrame, node: dict, column: str = "text", depth: int = 0) -> DataFrame:
+    """(query_id, record_id, score) of the documents that a tree matches; query_id is 1."""
+    if depth > MAX_DEPTH or not isinstance(node, dict) or len(node) != 1:
+        raise TextQueryError("a node has one key, and trees are not that deep")
+    ((kind, spec),) = node.items()
+    below = lambda n: compile_text_query(docs, n, column, depth + 1)
+    if kind == "match":
+        return _match(docs, spec, column)
+    if kind == "multi_match":
+        if not spec.get("columns"):
+            raise TextQueryError("a multi_match without columns")
+        terms = docs.sparkSession.createDataFrame([(1, t) for t in query_terms(spec.get("query"))], "query_id long, term string")
+        return search.multi_match(docs, terms, spec["columns"])
+    if kind == "phrase":
+        own = spec.get("column", column)
+        terms = query_terms(spec.get("query"))
+        hits = search.phrase(docs, terms, int(spec.get("slop", 0)), own).select("record_id")
+        return _match(docs, {"query": spec.get("query"), "column": own}, column).join(hits, "record_id", "left_semi").select(*_KEYS, "score")
+    if kind == "boost":
+        return search.boost(below(spec["positive"]), below(spec["negative"]), float(spec.get("factor", 0.5)))
+    if kind == "boolean":
+        parts = {k: [below(n) for n in spec.get(k, [])] for k in ("must", "should", "must_not")}
+        if not any(parts.values()):
+            raise TextQueryError("a boolean query without clauses")
+        joined = {"must": _meet(parts["must"]) if parts["must"] else None, "should": _sum(parts["should"]) if parts["should"] else None, "must_not": _sum(parts["must_not"]) if parts["must_not"] else None}
+        if joined["must"] is None and joined["should"] is None:
+            raise TextQueryError("must_not alone matches nothing")
+        return search.boolean(joined)
+    raise TextQueryError(f"unknown node {kind!r}")

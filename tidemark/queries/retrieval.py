@@ -9,6 +9,7 @@ from tidemark.functions import vectors as V
 from tidemark.functions.predicates import compile_filter, projection, serving_predicate
 from tidemark.operators import audit, layout, search
 from tidemark.plans.hybrid import hybrid_search as hybrid_plan
+from tidemark.plans.text_query import compile_text_query
 from tidemark.sources import tables
 from tidemark.sources.tables import sql
 
@@ -137,6 +138,12 @@ def _legs(spark, sf, k):
     return search.knn(tables.vectors(spark, sf), queries, k, "l2"), search.bm25(tables.texts(spark, sf), tables.terms(spark), k)
 
 
+def text_query_tree(spark, sf):
+    m = lambda q: {"match": {"query": q}}
+    tree = {"boolean": {"must": [m("license")], "should": [m("version mit")], "must_not": [m("rights")]}}
+    return compile_text_query(tables.texts(spark, sf), tree).select("query_id", "record_id", F.round("score", 9).alias("score"))
+
+
 def rrf(spark, sf):
     return search.rrf(list(_legs(spark, sf, 20)), 10)
 
@@ -190,7 +197,7 @@ QUERIES = {name: _filter(node) for name, (node, _) in FILTERS.items()}
 QUERIES |= {f"knn_{m}": _knn(m) for m in V.METRICS}
 QUERIES |= {"knn_filtered": _knn("l2", live=lambda v: serving_predicate({"op": "compare", "column": "label", "cmp": "le", "value": 4}, v.columns))}
 QUERIES |= {"bm25_or": _bm25("or"), "bm25_and": _bm25("and")}
-QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_recall, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
+QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_recall, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
 
 _DIST = {
     "l2": "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))",
@@ -276,3 +283,4 @@ SELECT CASE grouping(org, probes) WHEN 1 THEN 'org' WHEN 2 THEN 'probes' ELSE 'o
 FROM g GROUP BY GROUPING SETS ((), (org), (probes))""", "v", "q"),
     "param_buckets": f"SELECT {_BUCKET.format('x', 'default')} AS bucket, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 90 - 5 <> 50 THEN o_orderkey % 90 - 5 END AS x FROM orders) GROUP BY 1",
 }
+ORACLES["text_query_tree"] = ORACLES["boolean_query"]
