@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Letters, marks, numbers and the underscore; the ranges written out are those the regex engine looks up in a bit set.
+WORD = "[a-z0-9_\u00e0-\u00f6\u00f8-\u00ff\u00df\\p{L}\\p{M}\\p{N}]+"
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased Unicode words; null has none."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)(\w+)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def parameter_bucket(value: Column, absent: str) -> Column:

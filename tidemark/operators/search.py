@@ -97,20 +97,26 @@ def bm25(docs: DataFrame, terms: DataFrame, k: int, operator: str = "or", text:
 def phrase(docs: DataFrame, words: list[str], slop: int = 0, text: str = "text") -> DataFrame:
     """(record_id, places) of documents where the words stand in order, with at most ``slop`` words between them in all."""
     toks = docs.select("record_id", T.tokens(F.col(text)).alias("toks"))
-    wanted = F.array(*[F.lit(w) for w in words])
-    toks = toks.where(F.size(F.array_except(wanted, F.col("toks"))) == 0)
-    at = F.filter(F.sequence(F.lit(1), F.size("toks")), lambda i: F.element_at("toks", i) == words[0])
+
+    def at(word: str) -> Column:
+        return F.filter(F.transform("toks", lambda t, i: F.when(t == word, i)), lambda i: i.isNotNull())
+
+    def after(places: str, end: Column) -> Column:
+        return F.array_min(F.filter(places, lambda x: x > end))
+
+    places = [at(w).alias(f"p{n}") for n, w in enumerate(words)]
+    rows = toks.select("record_id", *places)
+    for n in range(len(words)):
+        rows = rows.where(F.size(f"p{n}") > 0)
 
     def fits(i: Column) -> Column:
         # the place of each next word is the first after the one before
         end = i
-        for w in words[1:]:
-            rest = F.slice("toks", (end + 1).cast("int"), F.greatest(F.size("toks") - end, F.lit(0)).cast("int"))
-            step = F.array_position(rest, w)
-            end = F.when(step > 0, end + step)
+        for n in range(1, len(words)):
+            end = after(f"p{n}", end)
         return F.coalesce((end - i + 1 - len(words)) <= slop, F.lit(False))
 
-    return toks.select("record_id", F.size(F.filter(at, fits)).alias("places")).where("places > 0")
+    return rows.select("record_id", F.size(F.filter("p0", fits)).alias("places")).where("places > 0")
 
 
 def fuzzy_terms(vocabulary: DataFrame, terms: DataFrame, distance: int, prefix: int = 0) -> DataFrame:
