@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import Stored
 
 
+def _contract(batches):
+    """Replace a partition's edges by a star to the smallest node of each of its components."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while up.setdefault(root, root) != root:
+            root = up[root]
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            a, c = find(u), find(v)
+            if a != c:
+                up[max(a, c)] = min(a, c)
+    star = [(find(x), x) for x in up]
+    star = [(r, x) for r, x in star if r != x]
+    yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in star], pa.int64()), pa.array([x for _, x in star], pa.int64())], names=["u", "v"])
+
+
 def components(store: Stored, edges: DataFrame, name: str) -> DataFrame:
     """(node, label) for edges (u long, v long); the label is the smallest node that is reachable.
 
-    Each round takes the smallest label among neighbours and then the label's own
+    Each partition's edges, of the size that adaptive execution gives a partition, are contracted
+    first.  Each round takes the smallest label among neighbours and then the label's own
     label, so paths shrink geometrically; rounds end when nothing changes.  Every
     round is a written table, so lost executors cost one round at most.
     """
-    pairs = store.put(f"{name}-edges", edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    pairs = edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    pairs = store.put(f"{name}-edges", pairs.mapInArrow(_contract, "u long, v long").distinct())
     both = pairs.union(pairs.select("v", "u"))
     labels = store.put(f"{name}-0", both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("label")))
     step = 0

@@ -40,6 +40,8 @@ U64 = np.uint64
 BLOCK = 1024
 PIVOTS = 8
 LEVELS = 4
+#: A cut that leaves more of the rows than this in regions beyond BLOCK is the last one.
+STALLED = 0.7
 #: Shingles gathered in a task before they are dealt to shards.
 GATHER = 4_000_000
 
@@ -348,9 +350,13 @@ def _region_join(store: Stored, family: DataFrame, sets: DataFrame, percent: int
     few = sized.where(f"size <= {BLOCK}").select("rid", F.pmod(F.xxhash64("label"), F.lit(bins)).alias("bin"), F.lit(None).cast("long").alias("linked"))
     out = few.join(sets.select("rid", "toks"), "rid").select("bin", "rid", "linked", "toks").groupBy("bin").applyInArrow(lambda t: task(t), "u long, v long")
     many = sized.where(f"size > {BLOCK}").select(F.col("label").alias("region"), "rid", F.lit(True).alias("home"), F.lit(None).cast("long").alias("linked"))
+    left = None
     for level in range(LEVELS):
-        if many.isEmpty():
+        before, left = left, many.count()
+        if not left:
             return out
+        if before and left > STALLED * before:  # windows that hold everything: no cut makes regions smaller
+            break
         done, links = _cut(store, many, sets, radius, level)
         out = out.union(links)
         big = done.where("home").groupBy("region").count().where(f"count > {BLOCK}").select("region")
