@@ -403,6 +403,7 @@ def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     family = components(store, stars, "family")
     edges = _region_join(store, family, sets, percent)
     links = components(store, edges, "links")
+    store.drop(*[n for n in store.paths if n != "sketch" and not n.startswith("links-")])  # all else is worked up in these
     return all_rows, classes.join(links, classes.rid == links.node, "left").select("fp_hi", "fp_lo", "doc_id", F.coalesce("label", "rid").alias("label"))
 
 
