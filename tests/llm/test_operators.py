@@ -188,8 +188,11 @@ def test_mixing_odd_rows(odd):
     assert len(got) == 6 and all(r.taken <= 2 * r["size"] for r in got)
 
 
-def test_bands_of_one_row_change_nothing(docs, monkeypatch):
+def test_bands_of_one_row_and_salted_sources_change_nothing(docs, monkeypatch):
     want = by_id(source_mix.mix_sources(docs), "taken")
+    monkeypatch.setattr(source_mix, "BROADCAST_SOURCES", 0)
+    assert by_id(source_mix.mix_sources(docs), "taken") == want
+    assert source_mix.mixed_documents(docs).count() == sum(r.taken // r["size"] for r in source_mix.mix_sources(docs).collect() if r["size"])
     monkeypatch.setattr(source_mix, "BAND_ROWS", 1)
     assert by_id(source_mix.mix_sources(docs), "taken") == want
 

@@ -23,6 +23,9 @@ SHARE = 1.5
 MOST = 2
 #: Rows that a band of the rank holds on average.
 BAND_ROWS = 1000
+#: Sources that are broadcast at most, about 100 bytes each.
+BROADCAST_SOURCES = 50_000
+SALTS = 64
 _UNIT = float(1 << 52)
 
 
@@ -38,6 +41,19 @@ def uniform(id_col: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / F.lit(_UNIT)
 
 
+def _with_source(rows: DataFrame, sources: DataFrame, of: str, source: Column) -> DataFrame:
+    """Rows with the columns of their source's row in a stored table.
+
+    Up to BROADCAST_SOURCES sources are broadcast, so that a source that has most rows stays where it
+    is read; beyond that, each source is dealt over SALTS partitions."""
+    same = source.eqNullSafe(F.col(of))
+    if sources.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(sources), same)
+    salted = sources.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__own", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, same & (F.col("__own") == F.col("__salt"))).drop("__own", "__salt")
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """(source, n, source_size, target) for rows (source, size).
 
@@ -74,14 +90,14 @@ def source_cuts(store: Stored, sized: DataFrame, weights: tuple = WEIGHTS, share
     s = s.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
     s = store.put("sources", s.withColumn("bands", F.ceil(F.col("n") / BAND_ROWS)))
     open_ = s.where("rest > 0").withColumnRenamed("source", "of")
-    ranked = sized.join(open_, F.col("source").eqNullSafe(F.col("of"))).withColumn("rank", _odds(F.col("u"), F.col("rest"), F.col("source_size")))
+    ranked = _with_source(sized, open_, "of", F.col("source")).withColumn("rank", _odds(F.col("u"), F.col("rest"), F.col("source_size")))
     ranked = ranked.withColumn("band", F.floor(F.col("bands") * (F.col("rank") / (1 + F.col("rank")))))
     bands = ranked.groupBy("source", "band").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("source").orderBy("band")
     bands = bands.withColumn("before", F.sum("words").over(upto) - F.col("words"))
     held = bands.where("before + words > rest").groupBy("source").agg(F.min(F.struct("band", "before")).alias("b"))
     held = held.select(F.col("source").alias("of2"), F.col("b.band").alias("cut_band"), F.col("b.before").alias("before"))
-    inside = ranked.join(held, F.col("source").eqNullSafe(F.col("of2")) & (F.col("band") == F.col("cut_band")))
+    inside = _with_source(ranked, store.put("held", held), "of2", F.col("source")).where("band = cut_band")
     inside = inside.groupBy("source", "rank").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("before").alias("before"))
     inside = inside.withColumn("start", F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("rank")) - F.col("words"))
     # the rank at the cut is taken if that comes nearer to the target
@@ -112,8 +128,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
     store = Stored(docs.sparkSession)
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of("text").alias("size"), uniform("doc_id").alias("u"))
     sized = store.put("sized", sized)
-    cuts = source_cuts(store, sized, weights, share, most).withColumnRenamed("source", "of")
-    out = sized.join(cuts, F.col("source").eqNullSafe(F.col("of")))
+    cuts = store.put("cuts", source_cuts(store, sized, weights, share, most).withColumnRenamed("source", "of"))
+    out = _with_source(sized, cuts, "of", F.col("source"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("copies") + _extra())).cast("long").alias("taken"))
 
 
@@ -124,7 +140,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     sized = docs.select(F.col("source").cast("string").alias("source"), size_of("text").alias("size"), uniform("doc_id").alias("u"))
     cuts = source_cuts(store, store.put("sized", sized), weights, share, most)
     cuts = store.put("cuts", cuts).select(F.col("source").alias("__of"), F.struct("source_size", "copies", "rest", "cut", "least", "cut_inside").alias("__cut"))
-    rows = docs.withColumns({"__size": size_of("text"), "__u": uniform("doc_id")}).join(cuts, F.col("source").cast("string").eqNullSafe(F.col("__of")))
+    rows = _with_source(docs.withColumns({"__size": size_of("text"), "__u": uniform("doc_id")}), cuts, "__of", F.col("source").cast("string"))
     rank = _odds(F.col("__u"), F.col("__cut.rest"), F.col("__cut.source_size"))
     below = F.when(F.col("__cut.cut").isNotNull(), rank <= F.col("__cut.cut")).otherwise(rank < F.col("__cut.least"))
     extra = F.when(F.col("__cut.rest") <= 0, F.lit(0)).when(F.col("__cut.cut_inside").isNull(), F.lit(1)).otherwise(below.cast("int"))
