@@ -128,20 +128,18 @@ def _shared(parts: int):
 
     def run(t: pa.Table) -> pa.Table:
         keys, fps = joined(t.column("keys"), np.uint32), joined(t.column("fps"), np.int64)
-        owner = np.repeat(fps, joined(t.column("counts"), np.int32))
+        counts = joined(t.column("counts"), np.int32)
+        once = np.zeros(len(fps), bool)
+        once[np.unique(fps, return_index=True)[1]] = True  # a set may have come from several tasks
+        keys, owner = keys[np.repeat(once, counts)], np.repeat(fps[once], counts[once])
         order = np.argsort(keys, kind="stable")
         k, o = keys[order], owner[order]
         at = _runs(k)
         both = np.minimum.reduceat(o, at) != np.maximum.reduceat(o, at)
-        hit = np.repeat(both, np.diff(np.append(at, len(k))))
-        own = o[hit]
-        if len(own):  # a set may have come from several tasks: count a shingle once
-            pair = np.unique(np.stack([k[hit].astype(np.int64), own]), axis=1) if len(np.unique(fps)) < len(fps) else np.stack([k[hit].astype(np.int64), own])
-            own, n = np.unique(pair[1], return_counts=True)
-        else:
-            n = own
+        own, n = np.unique(o[np.repeat(both, np.diff(np.append(at, len(k))))], return_counts=True)
         order, cut = by_shard((own.view(U64) % U64(parts)).astype(np.int32), parts)
-        rows = [(p, blob(own[order][cut[p] : cut[p + 1]]), blob(n[order][cut[p] : cut[p + 1]].astype(np.int64))) for p in range(parts) if cut[p] < cut[p + 1]]
+        own, n = own[order], n[order].astype(np.int64)
+        rows = [(p, blob(own[cut[p] : cut[p + 1]]), blob(n[cut[p] : cut[p + 1]])) for p in range(parts) if cut[p] < cut[p + 1]]
         return pa.Table.from_batches([table(pa.schema([("part", pa.int32()), ("fps", pa.binary()), ("counts", pa.binary())]), rows)])
 
     return run
@@ -219,7 +217,8 @@ def _prefixes(percent: int, shards: int):
         pick = spans(at, take)
         owner, keys = owner[pick], keys[pick]
         order, cut = by_shard(((keys >> U64(32)) % U64(shards)).astype(np.int32), shards)
-        rows = [(s, blob(owner[order][cut[s] : cut[s + 1]]), blob(keys[order][cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
+        owner, keys = owner[order], keys[order]
+        rows = [(s, blob(owner[cut[s] : cut[s + 1]]), blob(keys[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
         return pa.Table.from_batches([table(pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("keys", pa.binary())]), rows)])
 
     return run
