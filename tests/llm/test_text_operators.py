@@ -255,6 +255,25 @@ def test_rules_against_their_definition(spark, rows, docs, empty):
     assert rule_forest.quality_rules(empty, labels.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("labelled", [300, 20])
+def test_splits_range_over_rows_outside_the_sample(spark, monkeypatch, labelled):
+    monkeypatch.setattr(rule_forest, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(rule_forest, "LABELLED_ROWS", 300)
+    seen, grow = [], rule_forest.grow
+    monkeypatch.setattr(rule_forest, "grow", lambda x, everything: seen.append(everything) or grow(x, everything))
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join(H.words(rng, 6)) for _ in range(8)) for _ in range(600)]
+    texts[599] = "\n".join([*texts[599].split("\n"), *texts[599].split("\n")[:4:2]])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], H.SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(labelled)], LABELS)
+    score = by_id(rule_forest.quality_rules(docs, labels), "n_dup_lines", "base_failed", "anomaly")
+    assert score[599][:2] == (2, False) and score[599][2] > max(a for i, (_, _, a) in score.items() if i != 599)
+    buf = [x for _, _, b, off in kernel.text_slices(pa.array(texts, pa.large_string())) for x in [rule_forest.statistics(b, off)]]
+    every = rule_forest.features({n: np.concatenate([x[j] for x in buf]) for j, n in enumerate(rule_forest.STATS + rule_forest.EXTRA)})
+    assert (seen[0].min(0) == every.min(0)).all() and (seen[0].max(0) == every.max(0)).all()
+    assert len(rule_forest.box(spark.createDataFrame([], rule_forest._DDL))) == 0
+
+
 def test_forest_finds_what_lies_where_no_row_was():
     rng = np.random.default_rng(0)
     good = np.column_stack([rng.normal(5, 1, 500), np.zeros(500)])
