@@ -49,6 +49,11 @@ def vector_queries(spark: SparkSession, sf_dir: str, n: int = 20) -> DataFrame:
     return vectors(spark, sf_dir).where(F.col("record_id") < n).select(F.col("record_id").alias("query_id"), "vector")
 
 
+def query_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole query set, which grows with the table: the vectors whose ids are divisible by 100."""
+    return vectors(spark, sf_dir).where(F.col("record_id") % 100 == 0).select(F.col("record_id").alias("query_id"), "vector")
+
+
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One a label: the vector with the smallest id."""
     v = vectors(spark, sf_dir)
