@@ -1,8 +1,11 @@
 """Queries over the whole query set and the whole vocabulary."""
 
 import pytest
+from oracle import compare, connect
 
 from tidemark import registry
+from tidemark.operators import search
+from tidemark.sources import tables
 
 ROOT = "/root/testdata"
 
@@ -15,3 +18,23 @@ def test_index_search_finds_nine_in_ten_of_the_whole_query_set(spark, sf):
     (r,) = registry.QUERIES["ivf_recall"](spark, f"{ROOT}/{sf}").first()
     print(sf, r)
     assert r >= 0.9
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(registry.ORACLES) if n.endswith("_all")])
+def test_whole_query_set_in_blocks_matches_its_sql(spark, monkeypatch, name):
+    monkeypatch.setattr(search, "QUERY_BLOCK", 7)
+    sf = f"{ROOT}/sf0.1"
+    assert "vec_id % 100 = 0" in registry.ORACLES[name] and "vec_id < 20" not in registry.ORACLES[name]
+    compare(spark, connect(sf), registry.QUERIES[name], registry.ORACLES[name], sf)
+
+
+def test_many_queries_are_not_broadcast(spark, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    v, q = tables.vectors(spark, f"{ROOT}/sf0.01"), tables.vectors(spark, f"{ROOT}/sf0.01").selectExpr("record_id AS query_id", "vector")
+    want = {tuple(r) for r in search.knn(v, q, 3, "l2").collect()}
+    monkeypatch.setattr(search, "QUERY_BLOCK", 90)
+    got = search.knn(v, q, 3, "l2")
+    assert "CartesianProduct" in plan(got) and "Broadcast" not in plan(got)
+    assert {tuple(r) for r in got.collect()} == want and len(want) == 1500
+    probed = search.ivf_knn(v, tables.centroids(spark, f"{ROOT}/sf0.01"), q, 3, 10)
+    assert {tuple(r) for r in probed.collect()} == want

@@ -14,6 +14,8 @@ from tidemark.functions import vectors as V
 from tidemark.functions.predicates import check_k
 
 RRF_K = 60
+#: Rows of a query set that meet the vectors in one task, and that are broadcast at most.
+QUERY_BLOCK = 1_000
 K1, B = 1.2, 0.75
 #: Weight of the vector leg by mode; None fuses by reciprocal ranks.
 MODES = {"balanced": None, "semantic": 0.8, "lexical": 0.2}
@@ -25,16 +27,23 @@ def top_k(rows: DataFrame, k: int, score: Column, by: str = "query_id", key: str
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= check_k(k)).withColumn("rank", F.col("rank").cast("long"))
 
 
+def in_blocks(queries: DataFrame) -> DataFrame:
+    """A query set to join with vectors: broadcast while it is one block, else dealt into blocks of about
+    QUERY_BLOCK rows, each of which meets each part of the vectors in a task of its own."""
+    blocks = -(-queries.count() // QUERY_BLOCK)
+    return F.broadcast(queries) if blocks <= 1 else queries.repartition(blocks, "query_id").hint("shuffle_replicate_nl")
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str, live: Column | None = None) -> DataFrame:
     """(query_id, record_id, distance, rank) of each query's k nearest vectors.
 
-    Null vectors are passed over.  The queries are the small, given side and every vector is
-    compared with all of them, as an exact scan must; each task keeps k rows a query (a partial
-    group limit), so little is shuffled.
+    Null vectors are passed over.  Every vector is compared with all queries, as an exact scan must,
+    a block of queries at a time; each task keeps k rows a query (a partial group limit), so little
+    is shuffled.
     """
     rows = vectors if live is None else vectors.where(live)
     rows = rows.where("vector is not null").select("record_id", "vector")
-    pairs = rows.join(F.broadcast(queries.select("query_id", F.col("vector").alias("query_vector"))))
+    pairs = rows.join(in_blocks(queries.select("query_id", F.col("vector").alias("query_vector"))))
     scored = pairs.select("query_id", "record_id", V.distance(metric, F.col("vector"), F.col("query_vector")).alias("distance"))
     return top_k(scored, k, F.col("distance"))
 
@@ -54,7 +63,7 @@ def ivf_knn(vectors: DataFrame, centroids: DataFrame, queries: DataFrame, k: int
     placed = vectors.join(nearest_centroid(vectors, centroids, metric), "record_id")
     near = knn(centroids.select(F.col("pid").alias("record_id"), F.col("centroid").alias("vector")), queries, probes, metric)
     wanted = near.select("query_id", F.col("record_id").alias("pid")).join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-    pairs = placed.join(F.broadcast(wanted), "pid")  # probes rows a query
+    pairs = placed.join(in_blocks(wanted), "pid")  # probes rows a query
     return top_k(pairs.select("query_id", "record_id", V.distance(metric, F.col("vector"), F.col("query_vector")).alias("distance")), k, F.col("distance"))
 
 

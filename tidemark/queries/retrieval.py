@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -39,11 +41,11 @@ def default_projection(spark, sf):
     return d.where(serving_predicate(None, d.columns)).select(*projection(d.columns, [], "record_id", "is_deleted", set())).groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest"))
 
 
-def _knn(metric, **more):
+def _knn(metric, queries=tables.vector_queries, **more):
     def run(spark, sf):
         v = tables.vectors(spark, sf)
         live = more["live"](v) if more else None
-        hits = search.knn(v, tables.vector_queries(spark, sf), 5, metric, live)
+        hits = search.knn(v, queries(spark, sf), 5, metric, live)
         return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
     return run
@@ -176,25 +178,25 @@ def hybrid_search(spark, sf):
     return hybrid_plan(tables.vectors(spark, sf), tables.texts(spark, sf), queries, tables.terms(spark), 10)
 
 
-def dedup_hits(spark, sf):
+def dedup_hits(spark, sf, queries=tables.vector_queries):
     v = tables.vectors(spark, sf)
-    hits = search.knn(v, tables.vector_queries(spark, sf), 6, "l2").select("query_id", (F.col("record_id") % 50).alias("record_id"), F.round("distance", 9).alias("score"))
+    hits = search.knn(v, queries(spark, sf), 6, "l2").select("query_id", (F.col("record_id") % 50).alias("record_id"), F.round("distance", 9).alias("score"))
     return search.best_per_record(hits, True)
 
 
-def _audit(spark, sf):
-    v, q = tables.vectors(spark, sf), tables.vector_queries(spark, sf)
+def _audit(spark, sf, queries):
+    v, q = tables.vectors(spark, sf), queries(spark, sf)
     ids = lambda h: h.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "record_id"))), lambda x: x["record_id"]).alias("ids"))
     served = ids(search.knn(v, q, 10, "l2", F.col("record_id") % 4 != 1))
     return audit.ranking_quality(served, ids(search.knn(v, q, 10, "l2")), 10)
 
 
-def ranking_quality(spark, sf):
-    return _audit(spark, sf).select("query_id", *[F.round(c, 9).alias(c) for c in ("recall", "ndcg", "mrr")])
+def ranking_quality(spark, sf, queries=tables.vector_queries):
+    return _audit(spark, sf, queries).select("query_id", *[F.round(c, 9).alias(c) for c in ("recall", "ndcg", "mrr")])
 
 
-def report_grouping_sets(spark, sf):
-    rows = _audit(spark, sf).select("recall", (F.col("query_id") % 3).alias("org"), T.parameter_bucket(F.col("query_id"), "none").alias("probes"))
+def report_grouping_sets(spark, sf, queries=tables.vector_queries):
+    rows = _audit(spark, sf, queries).select("recall", (F.col("query_id") % 3).alias("org"), T.parameter_bucket(F.col("query_id"), "none").alias("probes"))
     return audit.report(rows, "recall", ["org", "probes"])
 
 
@@ -205,7 +207,11 @@ def param_buckets(spark, sf):
 
 QUERIES = {name: _filter(node) for name, (node, _) in FILTERS.items()}
 QUERIES |= {f"knn_{m}": _knn(m) for m in V.METRICS}
-QUERIES |= {"knn_filtered": _knn("l2", live=lambda v: serving_predicate({"op": "compare", "column": "label", "cmp": "le", "value": 4}, v.columns))}
+_LIVE = lambda v: serving_predicate({"op": "compare", "column": "label", "cmp": "le", "value": 4}, v.columns)
+QUERIES |= {"knn_filtered": _knn("l2", live=_LIVE)}
+#: The same over the whole query set.
+QUERIES |= {f"knn_{m}_all": _knn(m, tables.query_set) for m in V.METRICS} | {"knn_filtered_all": _knn("l2", tables.query_set, live=_LIVE)}
+QUERIES |= {f"{f.__name__}_all": partial(f, queries=tables.query_set) for f in (dedup_hits, ranking_quality, report_grouping_sets)}
 QUERIES |= {"bm25_or": _bm25("or"), "bm25_and": _bm25("and")}
 QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
 
@@ -294,3 +300,4 @@ FROM g GROUP BY GROUPING SETS ((), (org), (probes))""", "v", "q"),
     "param_buckets": f"SELECT {_BUCKET.format('x', 'default')} AS bucket, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 90 - 5 <> 50 THEN o_orderkey % 90 - 5 END AS x FROM orders) GROUP BY 1",
 }
 ORACLES["text_query_tree"] = ORACLES["boolean_query"]
+ORACLES |= {f"{name}_all": tables.over_query_set(ORACLES[name]) for name in (*(f"knn_{m}" for m in V.METRICS), "knn_filtered", "dedup_hits", "ranking_quality", "report_grouping_sets")}

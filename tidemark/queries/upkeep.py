@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance
@@ -29,8 +31,8 @@ def trained_partitions(spark, sf):
     return maintenance.search.nearest_centroid(v, maintenance.train_centroids(v, 8)).groupBy("pid").agg(F.count("*").alias("n"))
 
 
-def captured_samples(spark, sf):
-    hits = maintenance.search.knn(tables.vectors(spark, sf), tables.vector_queries(spark, sf), 3, "l2").withColumn("distance", F.round("distance", 9))
+def captured_samples(spark, sf, queries=tables.vector_queries):
+    hits = maintenance.search.knn(tables.vectors(spark, sf), queries(spark, sf), 3, "l2").withColumn("distance", F.round("distance", 9))
     kept = samples.capture(hits, 3)
     return kept.select("query_id", "k", F.array_join(F.transform("result_ids", lambda x: x.cast("string")), ",").alias("ids"))
 
@@ -44,6 +46,7 @@ def sample_reasons(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (streamed_source_digest, clustered_layout, trained_partitions, captured_samples, sample_reasons)}
+QUERIES |= {"captured_samples_all": partial(captured_samples, queries=tables.query_set)}
 _KNN = "list_sum(list_transform(list_zip(v.vector, q.vector), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
 ORACLES = {
     "streamed_source_digest": sql(Q._T + Q._L + f" SELECT sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l WHERE tenant_id = '{ROUTE[0]}' AND namespace = '{ROUTE[1]}' AND org_id = '{ROUTE[2]}'", "m"),
@@ -51,3 +54,4 @@ ORACLES = {
     "sample_reasons": """SELECT CASE WHEN event_id % 50 = 1 THEN 'unparsable' WHEN event_id % 10 < 1 THEN 'bad_k' WHEN event_id % 4 <> 0 AND event_id % 40 = 1 THEN 'unknown_type'
   WHEN event_id % 4 <> 0 AND event_id % 3 = 0 THEN 'missing_vector' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY 1""",
 }
+ORACLES["captured_samples_all"] = tables.over_query_set(ORACLES["captured_samples"])

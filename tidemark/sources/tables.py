@@ -188,3 +188,8 @@ def sql(body: str, *views: str, recursive: bool = False) -> str:
     """A query over the named views."""
     heads = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in views)
     return f"WITH {'RECURSIVE ' if recursive else ''}{heads}{',' if body.lstrip().startswith(',,') else ''}\n{body.lstrip().removeprefix(',,')}" if heads else body
+
+
+def over_query_set(text: str) -> str:
+    """A query over the view q with the whole query set in its place."""
+    return text.replace(f"q AS ({VIEWS['q']})", "q AS (" + VIEWS["q"].replace("vec_id < 20", "vec_id % 100 = 0") + ")")
