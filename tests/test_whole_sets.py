@@ -38,3 +38,11 @@ def test_many_queries_are_not_broadcast(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == want and len(want) == 1500
     probed = search.ivf_knn(v, tables.centroids(spark, f"{ROOT}/sf0.01"), q, 3, 10)
     assert {tuple(r) for r in probed.collect()} == want
+
+
+def test_all_terms_are_counted(spark):
+    got = {r.term: (r.n, r.df) for r in registry.QUERIES["term_stats"](spark, f"{ROOT}/sf0.01").collect()}
+    often = {r.term: (r.n, r.df) for r in registry.QUERIES["token_freq"](spark, f"{ROOT}/sf0.01").collect()}
+    assert {t: v for t, v in got.items() if v[1] >= 5} == often and min(df for _, df in got.values()) == 1
+    compare(spark, connect(f"{ROOT}/sf0.01"), registry.QUERIES["term_stats"], registry.ORACLES["term_stats"], f"{ROOT}/sf0.01")
+    print(len(often), len(got))

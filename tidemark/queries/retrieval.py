@@ -93,8 +93,14 @@ def ivf_recall(spark, sf):
     return each.toDF("recall").agg(F.round(F.avg("recall"), 9).alias("recall"))
 
 
+def term_stats(spark, sf):
+    """Occurrences and document frequency of every term."""
+    return search.postings(tables.texts(spark, sf)).groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
+
+
 def token_freq(spark, sf):
-    return search.postings(tables.texts(spark, sf)).groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df")).where("df >= 5")
+    """Of the terms in five documents at least, as its SQL says; ``term_stats`` has them all."""
+    return term_stats(spark, sf).where("df >= 5")
 
 
 def corpus_stats(spark, sf):
@@ -213,7 +219,7 @@ QUERIES |= {"knn_filtered": _knn("l2", live=_LIVE)}
 QUERIES |= {f"knn_{m}_all": _knn(m, tables.query_set) for m in V.METRICS} | {"knn_filtered_all": _knn("l2", tables.query_set, live=_LIVE)}
 QUERIES |= {f"{f.__name__}_all": partial(f, queries=tables.query_set) for f in (dedup_hits, ranking_quality, report_grouping_sets)}
 QUERIES |= {"bm25_or": _bm25("or"), "bm25_and": _bm25("and")}
-QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
+QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, term_stats, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
 
 _DIST = {
     "l2": "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))",
@@ -301,3 +307,4 @@ FROM g GROUP BY GROUPING SETS ((), (org), (probes))""", "v", "q"),
 }
 ORACLES["text_query_tree"] = ORACLES["boolean_query"]
 ORACLES |= {f"{name}_all": tables.over_query_set(ORACLES[name]) for name in (*(f"knn_{m}" for m in V.METRICS), "knn_filtered", "dedup_hits", "ranking_quality", "report_grouping_sets")}
+ORACLES["term_stats"] = sql("SELECT term, count(*) AS n, count(DISTINCT record_id) AS df FROM (SELECT record_id, unnest(toks) AS term FROM toks) GROUP BY term", "toks")
