@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import helpers as H  # noqa: E402
 
-from tidemark.llm import crf, decontaminate, kernel, license_scan, ngram_join, phrase_dedup, pii, quality_crf, rule_forest, source_mix, token_output, toxic_crf  # noqa: E402
+from tidemark.llm import crf, decontaminate, kernel, labelled, license_scan, ngram_join, phrase_dedup, pii, quality_crf, rule_forest, source_mix, token_output, toxic_crf  # noqa: E402
 
 LABELS = "doc_id long, quality int, toxic int, score string"
 
@@ -400,3 +400,11 @@ def test_labels_of_held_out_rows_change_nothing(judged):
     docs, labels, _ = judged
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert by_id(toxic_crf.toxicity(docs, labels), "score") == by_id(toxic_crf.toxicity(docs, flipped), "score")
+
+
+def test_toxicity_learns_from_its_whole_sample(spark):
+    rng = random.Random(11)
+    docs = spark.createDataFrame([(i, " ".join(H.words(rng, 20)), "en", "s", 1) for i in range(3_600)], H.SCHEMA)
+    labels = spark.createDataFrame([(i, 0, int(i < 1_200), "x") for i in range(3_600)], LABELS)
+    seen = labelled.train(lambda texts, y: (sum(y), len(y)), docs, labels, "toxic", 10**9, -1, toxic_crf.SAMPLE)
+    assert seen == (1_000, 3_000) and toxic_crf.CLEAN_CHAINS >= 400

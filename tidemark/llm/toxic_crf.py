@@ -23,9 +23,9 @@ from tidemark.llm.runtime import ship, table
 
 U64 = np.uint64
 #: Training documents of each label at most.
-SAMPLE = {1: 700, 0: 1400}
+SAMPLE = {1: 1000, 0: 2000}
 #: Documents without toxic tokens that the field itself is trained on.
-CLEAN_CHAINS = 300
+CLEAN_CHAINS = 400
 THRESHOLD = 0.7
 AFFIXES = (4, 5, 6)
 #: Lower marginals say nothing, however many a long text has.
