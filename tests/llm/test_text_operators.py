@@ -408,3 +408,10 @@ def test_toxicity_learns_from_its_whole_sample(spark):
     labels = spark.createDataFrame([(i, 0, int(i < 1_200), "x") for i in range(3_600)], LABELS)
     seen = labelled.train(lambda texts, y: (sum(y), len(y)), docs, labels, "toxic", 10**9, -1, toxic_crf.SAMPLE)
     assert seen == (1_000, 3_000) and toxic_crf.CLEAN_CHAINS >= 400
+
+
+@pytest.mark.parametrize("n", [20, 128, 129, 5_000, 1_000_000])
+def test_long_secrets_are_proposed_whole(n):
+    token = ("aB3_x-9Z" * (n // 8 + 1))[:n]
+    assert pii.proposals(f"token = {token}.") == [("secret", 8, 8 + n)]
+    assert ("secret", 8, 8 + n, -1) in pii.candidates(f"token = {token}.")

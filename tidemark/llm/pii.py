@@ -39,7 +39,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _AT_WORDS = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?[\[(]?\s?(?:@|\bat\b|\bAT\b)\s?[\])]?\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[A-Za-z]{2,24}){1,3}")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
-_SECRET = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,128}(?![A-Za-z0-9_-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+")
 _CONTEXT = re.compile(r"(?i)\b(e-?mail|mail|contact|phone|tel|call|mobile|fax|card|visa|credit|account|iban|ip|address|host|server|key|token|secret|password)\W{0,3}(?:\w+\W{1,3}){0,2}\Z")
 
 
