@@ -46,3 +46,10 @@ def test_all_terms_are_counted(spark):
     assert {t: v for t, v in got.items() if v[1] >= 5} == often and min(df for _, df in got.values()) == 1
     compare(spark, connect(f"{ROOT}/sf0.01"), registry.QUERIES["term_stats"], registry.ORACLES["term_stats"], f"{ROOT}/sf0.01")
     print(len(often), len(got))
+
+
+def test_every_route_has_its_streamed_digest(spark):
+    sf = f"{ROOT}/sf0.001"
+    rows = registry.QUERIES["streamed_source_digests"](spark, sf).collect()
+    assert len(rows) == 8 and registry.QUERIES["streamed_source_digest"](spark, sf).first().digest in {r.digest for r in rows}
+    compare(spark, connect(sf), registry.QUERIES["streamed_source_digests"], registry.ORACLES["streamed_source_digests"], sf)

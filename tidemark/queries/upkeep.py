@@ -21,6 +21,19 @@ def streamed_source_digest(spark, sf):
     return spark.createDataFrame([(maintenance.streamed_source_digest(rows, "record_id", "source_sequence", "event_digest", 4),)], "digest string")
 
 
+def streamed_source_digests(spark, sf):
+    """The streamed digest of every route."""
+    columns = ("tenant_id", "namespace", "org_id")
+    rows = Q.cdc.latest(Q._terminal(spark, sf), Q.KEYS)
+    out = []
+    for route in rows.select(*columns).distinct().orderBy(*columns).collect():  # a row a route
+        own = rows
+        for c in columns:
+            own = own.where(F.col(c).eqNullSafe(route[c]))
+        out.append((*route, maintenance.streamed_source_digest(own, "record_id", "source_sequence", "event_digest", 4)))
+    return spark.createDataFrame(out, "tenant_id string, namespace string, org_id string, digest string")
+
+
 def clustered_layout(spark, sf):
     rows = maintenance.clustered(tables.vectors(spark, sf), tables.centroids(spark, sf), 60)
     return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("pid").alias("first"), F.max("pid").alias("last"), F.max("salt").alias("salt"))
@@ -45,7 +58,7 @@ def sample_reasons(spark, sf):
     return samples.reasons(samples.parse(e))
 
 
-QUERIES = {f.__name__: f for f in (streamed_source_digest, clustered_layout, trained_partitions, captured_samples, sample_reasons)}
+QUERIES = {f.__name__: f for f in (streamed_source_digest, streamed_source_digests, clustered_layout, trained_partitions, captured_samples, sample_reasons)}
 QUERIES |= {"captured_samples_all": partial(captured_samples, queries=tables.query_set)}
 _KNN = "list_sum(list_transform(list_zip(v.vector, q.vector), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
 ORACLES = {
@@ -55,3 +68,4 @@ ORACLES = {
   WHEN event_id % 4 <> 0 AND event_id % 3 = 0 THEN 'missing_vector' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY 1""",
 }
 ORACLES["captured_samples_all"] = tables.over_query_set(ORACLES["captured_samples"])
+ORACLES["streamed_source_digests"] = sql(Q._T + Q._L + f" SELECT tenant_id, namespace, org_id, sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l GROUP BY tenant_id, namespace, org_id", "m")
