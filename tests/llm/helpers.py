@@ -16,6 +16,12 @@ def words(rng, n):
     return ["".join(rng.choice(SYLLABLES) for _ in range(rng.randint(2, 4))) for _ in range(n)]
 
 
+def thue_morse(n):
+    """A word of a and b whose polynomial hash modulo a power of two is that of its complement, and that."""
+    t = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return t, t.translate(str.maketrans("ab", "ba"))
+
+
 def corpus(seed=5):
     """Copies, near copies, shared passages, nulls, blanks, ties and a very long text."""
     rng = random.Random(seed)
@@ -31,6 +37,10 @@ def corpus(seed=5):
         texts.append(" ".join(words(rng, rng.randint(5, 80)) + shared + words(rng, rng.randint(5, 80))))
     texts += [" ".join(words(rng, rng.randint(1, 200))) for _ in range(25)]
     texts += ["same " * 400, " ".join(words(rng, 30_000)), "\n".join(["a line of text here"] * 12), "nbsp a b　c end  double  space"]
+    one, other = thue_morse(2048)
+    lead = words(rng, 20)
+    texts += [" ".join([*lead, x, *lead[::-1]]) for x in (one, other)] + [one, other]
+    texts += [" ".join([x, *(f"u{j}" for j in range(4))]) for x in (one, other)]
     return [(i, t, "en", None if i % 9 == 4 else f"src{i % 5}", len(t or "")) for i, t in enumerate(texts)]
 
 

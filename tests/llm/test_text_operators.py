@@ -64,15 +64,31 @@ def test_words_are_those_of_the_pattern(most):
 
 
 @pytest.mark.parametrize("k", [1, 2, 3, 5, 8, 10, 35])
-def test_window_hashes(k):
-    h = np.random.default_rng(0).integers(0, 1 << 63, 80).astype(np.uint64)
-    r, want = int(kernel._WINDOW_RADIX), []
-    for i in range(len(h) - k + 1):
-        a = 0
-        for x in h[i : i + k].tolist():
-            a = (a * r + x) % (1 << 64)
-        want.append(a)
-    assert kernel.window_hashes(h, k).tolist() == want
+def test_window_hashes_tell_sequences_apart(k):
+    h = np.random.default_rng(0).integers(0, 1 << 63, 3).astype(np.uint64)[np.random.default_rng(k).integers(0, 3, 4000)]
+    got, name = kernel.window_hashes(h, k).tolist(), {}
+    assert len(got) == len(h) - k + 1
+    for i, x in enumerate(got):
+        assert name.setdefault(tuple(h[i : i + k].tolist()), x) == x
+    assert len(set(name.values())) == len(name)
+
+
+def test_words_that_a_polynomial_confuses():
+    """Thue-Morse words and their complements, and words that differ in one place."""
+    texts = [x for n in range(3, 13) for x in H.thue_morse(1 << n)] + ["x" * n for n in range(1, 200)] + ["x" * 70 + c + "x" * 70 for c in "abc"]
+    for cut in (kernel.SPACED, kernel.SPACED_FOLDED, kernel.ALNUM_FOLDED):
+        for seed in (kernel.SEED, kernel.SECOND_SEED):
+            names = set()
+            for _, _, buf, off in kernel.text_slices(pa.array(texts)):
+                w = kernel.split_words(buf, off, cut)
+                names |= set(kernel.hash_spans(buf, w.starts, w.ends, seed).tolist())
+            assert len(names) == len(texts)
+
+
+def test_same_spans():
+    a, b = (np.frombuffer(x, np.uint8) for x in (b"abcdefgh" * 20 + b"q", b"abcdefgh" * 20 + b"z"))
+    starts, size = np.array([0, 0, 160, 3, 8, 0]), np.array([0, 160, 1, 5, 153, 161])
+    assert kernel.same_spans(a, starts, b, starts, size).tolist() == [True, True, False, True, False, False]
 
 
 def test_slices_of_an_array_with_an_offset():
@@ -204,9 +220,7 @@ def _tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_encoder_is_the_tokenizer(monkeypatch):
@@ -217,6 +231,7 @@ def test_encoder_is_the_tokenizer(monkeypatch):
     rng, t = random.Random(1), _tokenizer()
     parts = [" ", "\n", "  ", "\t", "a", "É", "1", "'s", "'", "don't", "_", "<|endoftext|>", "!", "ー", " ", "\x00", "½", "á", "\r\n", ".", "\x1c", "\x85", "…", "×", "a,", "b.", "-", "　"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    texts += ["hello <|endoftext|> world", "<|endoftext", "|>", *H.thue_morse(2048), *(" ".join(H.thue_morse(n)) for n in (8, 16, 32, 64))]
     for cache in (1 << 12, 50):
         monkeypatch.setattr(token_output, "CACHE", cache)
         enc._empty()
@@ -227,6 +242,36 @@ def test_encoder_is_the_tokenizer(monkeypatch):
         assert got == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_tokenizer_that_must_not_be_cut_sees_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        enc = token_output.Encoder(f.read())
+    texts = ["Hello, World  it's", "", "ÀÉ n\u0303 <|endoftext|> x", " a\tb "]
+    ids, ends = enc.encode(*next(kernel.text_slices(pa.array(texts)))[2:])
+    assert not enc.cuts and [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("samples, kind", [([], "raw"), ([b"ab"] * 5, "raw"), ([b"\1\0" * 2000] * 100, None), ([np.random.default_rng(i).integers(0, 300, 900).astype("<u2").tobytes() for i in range(400)], "trained")])
+def test_there_is_always_a_dictionary(samples, kind):
+    import zstandard
+
+    data, got = token_output.train_dictionary(samples, 2)
+    assert data and got == (kind or got)
+    d = zstandard.ZstdCompressionDict(data)
+    for x in [b"", b"xy", *samples[:3]]:
+        assert zstandard.ZstdDecompressor(dict_data=d).decompress(zstandard.ZstdCompressor(dict_data=d).compress(x)) == x
+
+
+def test_dictionary_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(token_output, "SAMPLE_DOCS", 50)
+    docs = spark.range(5000).selectExpr("if(id % 3 = 0, null, id) doc_id", "concat('text ', id) text")
+    assert 25 <= token_output._sample(docs, 5000).count() <= 50
+    assert token_output._sample(docs.limit(30), 30).count() == 30
+
+
 def test_token_files_round_trip(spark, rows, docs, odd, empty, tmp_path):
     t, path = _tokenizer(), f"file://{tmp_path}/tokens"
     token_output.write_tokens(docs, path)
@@ -237,6 +282,9 @@ def test_token_files_round_trip(spark, rows, docs, odd, empty, tmp_path):
         start += len(ids)
     some = {r.doc_id: list(r.ids) for r in token_output.fetch_tokens(spark, path, [3, 0]).collect()}
     assert some == {3: t.encode("one", add_special_tokens=False).ids + [2], 0: [2]}
+    path = f"file://{tmp_path}/odd"
+    token_output.write_tokens(odd, path)
+    assert sorted(len(r.ids) for r in token_output.fetch_tokens(spark, path, [None, 3, 99]).collect()) == sorted([1, *(len(t.encode(r.text, add_special_tokens=False).ids) + 1 for r in odd.where("doc_id is null and text is not null or doc_id = 3").collect())])
     assert token_output.token_store(empty).count() == 0
     assert [r.doc_id for r in token_output.token_store(odd).orderBy("start").collect()] == [None, None, 3, 3, 7, 7]
 

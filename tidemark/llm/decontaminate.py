@@ -7,11 +7,12 @@ window's rarest shingle (the necessary prefix at a containment threshold of 1),
 1. shingles of all windows are counted over all documents, which orders them by rarity,
 2. documents are joined with windows on each window's rarest shingle,
 3. length and positional bounds drop windows that don't fit at that place of the row,
-4. what is left is verified over all words of the window.
+4. what is left is verified word by word, on the words' bytes.
 
-The windows are the small side.  They are broadcast in blocks of at most
-``BLOCK_WINDOWS``, so what is broadcast has a fixed bound; a benchmark of more
-windows takes several passes, whose hits are merged by row.
+The windows are the small side.  Their rarest shingles come from a join, and they are
+broadcast as arrays in blocks of at most ``BLOCK_WINDOWS``, so what reaches the driver
+and is broadcast has a fixed bound; a benchmark of more windows takes several passes,
+whose hits are merged by row.
 """
 
 from __future__ import annotations
@@ -28,27 +29,32 @@ from tidemark.llm.runtime import Stored, blob, ship, spans, table
 
 U64 = np.uint64
 SHINGLE = 5
-#: Windows broadcast at a time: about 100 bytes each.
-BLOCK_WINDOWS = 500_000
+#: Windows broadcast at a time: about 250 bytes each with their words and shingles.
+BLOCK_WINDOWS = 200_000
+#: Places verified at a time.
+AT_A_TIME = 200_000
 _BITS = U64((1 << 22) - 1)
 
-_WINDOW_SCHEMA = pa.schema([("item_id", pa.string()), ("hash", pa.int64()), ("width", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+_WINDOW_SCHEMA = pa.schema([("item_id", pa.string()), ("words", pa.binary()), ("width", pa.int32()), ("shingles", pa.list_(pa.int64()))])
 
 
 def _item_windows(window: int):
+    """Each window's words, lower-cased and joined by one space, and the hashes of its shingles."""
+
     def run(batches):
         for b in batches:
             ids, rows = b.column(0).to_pylist(), []
             for lo, _, buf, off in K.text_slices(b.column(1)):
                 w = K.split_words(buf, off, K.ALNUM_FOLDED)
+                data = K.folded(buf, K.ALNUM_FOLDED).tobytes()
                 for i, n in enumerate(w.counts.tolist()):
                     if n:
-                        h = w.hashes[w.rows[i] : w.rows[i + 1]]
+                        a, c = w.rows[i], w.rows[i + 1]
                         width = min(n, window)
-                        whole = K.mix(K.window_hashes(h, width)).view(np.int64).tolist()
+                        own = [data[x:y] for x, y in zip(w.starts[a:c].tolist(), w.ends[a:c].tolist(), strict=True)]
                         s = min(SHINGLE, width)
-                        parts = K.mix(K.window_hashes(h, s)).view(np.int64).tolist()
-                        rows += [(ids[lo + i], x, width, parts[j : j + width - s + 1]) for j, x in enumerate(whole)]
+                        parts = K.mix(K.window_hashes(w.hashes[a:c], s)).view(np.int64).tolist()
+                        rows += [(ids[lo + i], b" ".join(own[j : j + width]), width, parts[j : j + width - s + 1]) for j in range(n - width + 1)]
             yield table(_WINDOW_SCHEMA, rows)
 
     return run
@@ -94,10 +100,14 @@ def _counts(shared):
 
 
 class _Index:
-    """Windows by their rarest shingle, and the items of each window."""
-
-    def __init__(self, hashes, widths, prefix, offset, item_cut, items):
-        self.hashes, self.widths, self.offset, self.item_cut, self.items = hashes, widths, offset, item_cut, items
+    """Windows by their rarest shingle, their words, and the items of each window."""
+
+    def __init__(self, text, widths, prefix, offset, item_cut, items):
+        self.text, self.widths, self.offset, self.item_cut, self.items = text, widths, offset, item_cut, items
+        space = np.flatnonzero(text == 0x20)  # one after each word
+        self.word_cut = np.concatenate(([0], np.cumsum(widths)))
+        self.word_start = np.concatenate(([0], space[:-1] + 1)) if len(space) else space
+        self.word_size = space - self.word_start
         self.by_width = {}
         for s in np.unique(np.minimum(widths, SHINGLE)).tolist():
             own = np.flatnonzero(np.minimum(widths, SHINGLE) == s)
@@ -105,35 +115,42 @@ class _Index:
             keys, first, count = np.unique(prefix[own], return_index=True, return_counts=True)
             self.by_width[s] = (_Lookup(keys), own, first, count)
 
-    def hits(self, w: K.Words) -> tuple[np.ndarray, np.ndarray]:
+    def _verified(self, data: np.ndarray, w: K.Words, start: np.ndarray, win: np.ndarray) -> np.ndarray:
+        """Whether the words from ``start`` on are those of the window, by their bytes."""
+        width = self.widths[win]
+        pair = np.repeat(np.arange(len(win)), width)
+        mine, its = spans(start, width), spans(self.word_cut[win], width)
+        size = self.word_size[its]
+        same = w.ends[mine] - w.starts[mine] == size
+        ok = np.ones(len(win), bool)
+        ok[pair[~same]] = False
+        left = np.flatnonzero(ok[pair])
+        equal = K.same_spans(data, w.starts[mine[left]], self.text, self.word_start[its[left]], size[left])
+        ok[pair[left[~equal]]] = False
+        return ok
+
+    def hits(self, buf: np.ndarray, w: K.Words) -> tuple[np.ndarray, np.ndarray]:
         """(first word, window) of all verified occurrences in the rows of w."""
-        starts, found = [], []
-        row_of = None
+        starts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        data = row_of = None
         for s, (look, own, first, count) in self.by_width.items():
             h, at = K.windows(w, s)
             pos, key = look.find(h)
             if not len(pos):
                 continue
-            win = own[spans(first[key], count[key])]
-            pos = np.repeat(at[pos], count[key])
             if row_of is None:
-                row_of = K.row_ids(w.rows)
-            row = row_of[pos]
-            start = pos - self.offset[win]
-            fits = (start >= w.rows[row]) & (start + self.widths[win] <= w.rows[row + 1])
-            start, win = start[fits], win[fits]
-            for width in np.unique(self.widths[win]).tolist():
-                own_w = self.widths[win] == width
-                a, b = start[own_w], win[own_w]
-                got = np.zeros(len(a), U64)
-                for j in range(width):
-                    got = got * K._WINDOW_RADIX + w.hashes[a + j]
-                ok = K.mix(got) == self.hashes[b]
-                starts.append(a[ok])
-                found.append(b[ok])
-        if not starts:
-            e = np.zeros(0, np.int64)
-            return e, e
+                data, row_of = K.folded(buf, K.ALNUM_FOLDED), K.row_ids(w.rows)
+            parts = np.searchsorted(np.cumsum(count[key]), np.arange(0, int(count[key].sum()), AT_A_TIME), "right")
+            for a, b in zip(parts, [*parts[1:], len(pos)], strict=True):
+                k = key[a:b]
+                win = own[spans(first[k], count[k])]
+                start = np.repeat(at[pos[a:b]], count[k]) - self.offset[win]
+                row = row_of[np.repeat(at[pos[a:b]], count[k])]
+                fits = (start >= w.rows[row]) & (start + self.widths[win] <= w.rows[row + 1])
+                start, win = start[fits], win[fits]
+                ok = self._verified(data, w, start, win)
+                starts.append(start[ok])
+                found.append(win[ok])
         return np.concatenate(starts), np.concatenate(found)
 
 
@@ -149,7 +166,7 @@ def _scan(shared, keyed: bool):
             ids, rows = b.column(0).to_pylist(), []
             for lo, hi, buf, off in K.text_slices(b.column(1)):
                 w = K.split_words(buf, off, K.ALNUM_FOLDED)
-                start, win = index.hits(w)
+                start, win = index.hits(buf, w)
                 order = np.argsort(start, kind="stable")
                 start, win = start[order], win[order]
                 cut = np.searchsorted(start, w.rows)
@@ -218,31 +235,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 def _blocks_of(store: Stored, benchmark: DataFrame, window: int):
     """The distinct windows of all items with the items that have them, at most BLOCK_WINDOWS or so at a time."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    windows = store.put("windows", items.mapInArrow(_item_windows(window), "item_id string, hash long, width int, shingles array<long>"))
-    blocks = max(1, -(-windows.select("hash", "width").distinct().count() // BLOCK_WINDOWS))
+    windows = items.mapInArrow(_item_windows(window), "item_id string, words binary, width int, shingles array<long>")
+    windows = windows.groupBy("words").agg(F.first("width").alias("width"), F.first("shingles").alias("shingles"), F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed"))
+    windows = store.put("windows", windows)
+    blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
     for block in range(blocks):
-        own = windows.where(F.pmod(F.xxhash64("hash", "width"), F.lit(blocks)) == block)
-        yield own.groupBy("hash", "width").agg(F.first("shingles").alias("shingles"), F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("unnamed")).toPandas()
-
-
-def _build(spark, docs: DataFrame, index):
-    """The arrays of an _Index: each window's rarest shingle in the documents, and the shingle's offset."""
-    hashes = index["hash"].to_numpy(np.int64).view(U64) if len(index) else np.zeros(0, U64)
-    widths = index["width"].to_numpy(np.int64) if len(index) else np.zeros(0, np.int64)
-    lists = [np.asarray(s, np.int64).view(U64) for s in index["shingles"]]
-    keys = {}
-    for s in np.unique(np.minimum(widths, SHINGLE)).tolist():
-        keys[s] = np.unique(np.concatenate([x for x, w in zip(lists, widths, strict=True) if min(w, SHINGLE) == s]))
+        yield windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
+
+
+def _build(spark, docs: DataFrame, windows: DataFrame):
+    """The arrays of an _Index of a block: each window's rarest shingle in the documents comes from a join."""
+    sizes = windows.select(F.least("width", F.lit(SHINGLE)).alias("s"), F.explode("shingles").alias("shingle"))
+    known = sizes.groupBy("s").agg(F.sort_array(F.collect_set("shingle")).alias("keys")).toArrow()  # the block's shingles
+    keys = {s.as_py(): np.sort(k.values.to_numpy(zero_copy_only=False).view(U64)) for s, k in zip(known.column("s"), known.column("keys"), strict=True)}
     seen = docs.select("text").mapInArrow(_counts(spark.sparkContext.broadcast(keys)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    count = {k: n for k, n in (tuple(r) for r in seen.collect())} if keys else {}  # at most the block's shingles
-    prefix, offset = np.zeros(len(lists), U64), np.zeros(len(lists), np.int64)
-    for i, s in enumerate(lists):
-        rarity = [(count.get(k, 0), k) for k in s.view(np.int64).tolist()]
-        offset[i] = min(range(len(rarity)), key=rarity.__getitem__)
-        prefix[i] = s[offset[i]]
-    names = [sorted(x) + [None] * bool(u) for x, u in zip(index["items"], index["unnamed"], strict=True)]
+    each = windows.select("words", F.posexplode("shingles").alias("pos", "shingle")).join(seen, "shingle", "left")
+    rarest = each.groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "pos")).alias("r"))
+    index = windows.join(rarest, "words").select("words", "width", "items", "unnamed", "r.shingle", "r.pos").toArrow()
+    text = np.frombuffer(b"".join([x + b" " for x in index.column("words").to_pylist()]), np.uint8)
+    names = [sorted(x) + [None] * bool(u) for x, u in zip(index.column("items").to_pylist(), index.column("unnamed").to_pylist(), strict=True)]
     cut = np.concatenate(([0], np.cumsum([len(x) for x in names]))).astype(np.int64)
-    return hashes, widths, prefix, offset, cut, [x for own in names for x in own]
+    array = lambda c: index.column(c).to_numpy().astype(np.int64)
+    return text, array("width"), array("shingle").view(U64), array("pos"), cut, [x for own in names for x in own]
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:
@@ -257,7 +271,7 @@ def _clean(shared, text: str):
             keep = np.ones(b.num_rows, bool)
             for lo, hi, buf, off in K.text_slices(b.column(b.schema.get_field_index(text))):
                 w = K.split_words(buf, off, K.ALNUM_FOLDED)
-                start, _ = index.hits(w)
+                start, _ = index.hits(buf, w)
                 keep[lo + np.searchsorted(w.rows, start, "right") - 1] = False
             yield b.filter(pa.array(keep))
 

@@ -5,13 +5,15 @@ start anywhere else are found in two rounds, in which a chunk sends each distinc
 window once and gets a bit for it back:
 
 1. filter: 32 bits of a window's hash, within the shard that the others choose,
-2. confirm: 128 bits of the windows that passed.
+2. confirm: 128 bits of the windows that passed, from two independent hashes.
 
 Runs of recurring windows are a chunk's phrases.  They are compiled into the chunk's
 shard of the Aho-Corasick automata, and all documents of the chunk are streamed
 through it: each word inside an occurrence goes.  A phrase only concerns chunks in
 which it occurs, so every document passes through one automaton, and an automaton's
-size is bounded by its chunk's.
+size is bounded by its chunk's.  An automaton reads numbers of words, written in a few
+digits each, so that its size does not depend on how long words are; two words have one
+number only if their bytes are equal.
 """
 
 from __future__ import annotations
@@ -24,16 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.runtime import blob, by_shard, partitions, ship, table
+from tidemark.llm.runtime import blob, by_shard, partitions, ship, spans, table
 
 U64 = np.uint64
 CHUNK_BYTES = 4 << 20
-#: Recurring windows that make one pattern, and the longest pattern an automaton gets.
+#: Text whose windows meet in one shard, at most: shards follow the data.
+SHARD_BYTES = 32 << 20
+#: Recurring windows that make one pattern.
 PATTERN_WINDOWS = 64
-PATTERN_CHARS = 20_000
-#: Byte values of the second hash.
-_SECOND = K.SPACED.copy()
-_SECOND[_SECOND != 0] = K.mix(_SECOND[_SECOND != 0] ^ U64(0x6A09E667F3BCC908))
+#: An automaton's alphabet: digits of a word's number, one range for each place.
+DIGITS = 64
 
 
 def _in_order(t: pa.Table) -> pa.Table:
@@ -42,25 +44,45 @@ def _in_order(t: pa.Table) -> pa.Table:
 
 
 class _Chunk:
-    """Windows of a chunk's documents; positions count all its words."""
+    """Words and windows of a chunk's documents; positions count all its words."""
 
     def __init__(self, t: pa.Table, width: int, second: bool):
-        self.width = width
-        pos, h1, h2, rows, base = [], [], [], [0], 0
         column = t.column("text").combine_chunks()
+        self.buf, hashes, starts, ends, rows, pos, h1, h2, base, at_byte = [], [], [], [], [0], [], [], [], 0, 0
         for _, _, buf, off in K.text_slices(column):
             w = K.split_words(buf, off, K.SPACED)
             h, at = K.windows(w, width)
             h1.append(h)
             pos.append(at + base)
             if second:
-                h2.append(K.windows(K.split_words(buf, off, _SECOND), width)[0])
+                w2 = K.Words(K.hash_spans(buf, w.starts, w.ends, K.SECOND_SEED), w.starts, w.ends, w.rows)
+                h2.append(K.windows(w2, width)[0])
+            self.buf.append(buf)
+            hashes.append(w.hashes)
+            starts.append(w.starts + at_byte)
+            ends.append(w.ends + at_byte)
             rows += (w.rows[1:] + base).tolist()
             base += int(w.rows[-1])
+            at_byte += len(buf)
+        whole = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.n, self.rows = base, np.array(rows, np.int64)
-        self.pos = np.concatenate(pos) if pos else np.zeros(0, np.int64)
-        self.h = np.concatenate(h1) if h1 else np.zeros(0, U64)
-        self.h2 = np.concatenate(h2) if h2 else np.zeros(0, U64)
+        self.words, self.starts, self.ends = whole(hashes, U64), whole(starts, np.int64), whole(ends, np.int64)
+        self.pos, self.h, self.h2 = whole(pos, np.int64), whole(h1, U64), whole(h2, U64)
+
+    def text(self) -> np.ndarray:
+        return np.concatenate([*self.buf, np.zeros(1, np.uint8)])
+
+    def numbers(self, text: np.ndarray) -> np.ndarray:
+        """A number for each word; words have one number only if their bytes are equal."""
+        _, first, number = np.unique(self.words, return_index=True, return_inverse=True)
+        size, own = self.ends - self.starts, first[number]
+        same = size == size[own]
+        check = np.flatnonzero(same & (own != np.arange(self.n)))
+        same[check] = K.same_spans(text, self.starts[check], text, self.starts[own[check]], size[check])
+        others: dict[bytes, int] = {}
+        for i in np.flatnonzero(~same).tolist():  # words that share a hash with another
+            number[i] = others.setdefault(text[self.starts[i] : self.ends[i]].tobytes(), len(first) + len(others))
+        return number
 
     def distinct(self, shards: int):
         """The distinct windows in order of shard and hash: (hashes, shard bounds, number in it of each window, count)."""
@@ -166,18 +188,13 @@ def _confirm_answers(t: pa.Table) -> pa.Table:
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
-class _Document:
-    """Words of a text as Python strings, and their places in the text with single spaces."""
-
-    def __init__(self, text: str):
-        self.flat = b" ".join(text.encode().split()).decode()
-        self.words = self.flat.split(" ") if self.flat else []
-        self.padded = f" {self.flat} "
-
-    def places(self) -> np.ndarray:
-        """Where the space before each word is in ``padded``; the last entry is the space after the last word."""
-        size = np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1
-        return np.concatenate(([0], np.cumsum(size)))
+def _spelled(number: np.ndarray) -> tuple[str, int]:
+    """Words' numbers as a string, and the characters of a word: digits, whose ranges differ by place."""
+    places = 1
+    while DIGITS**places <= int(number.max(initial=0)):
+        places += 1
+    digit = np.stack([number // DIGITS**p % DIGITS + DIGITS * p for p in range(places)], 1)
+    return digit.astype("<u4").tobytes().decode("utf-32-le"), places
 
 
 def _patterns(first: np.ndarray, width: int):
@@ -190,10 +207,29 @@ def _patterns(first: np.ndarray, width: int):
             yield at, min(PATTERN_WINDOWS, b + 1 - at) + width - 1
 
 
+def _located(c: _Chunk, recurring: np.ndarray, text: np.ndarray, width: int) -> np.ndarray:
+    """The words of the chunk that lie in an occurrence of its phrases, found by the automaton of the phrases."""
+    import ahocorasick
+
+    spelled, places = _spelled(c.numbers(text))
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    bounds = np.searchsorted(recurring, c.rows)
+    for i in np.flatnonzero(np.diff(bounds)).tolist():
+        for at, n in _patterns(recurring[bounds[i] : bounds[i + 1]], width):
+            automaton.add_word(spelled[at * places : (at + n) * places])
+    automaton.make_automaton()
+    depth = np.zeros(c.n + 1, np.int64)
+    for i in np.flatnonzero(np.diff(c.rows)).tolist():
+        a, b = int(c.rows[i]), int(c.rows[i + 1])
+        for end, size in automaton.iter(spelled[a * places : b * places]):
+            last = a + (end + 1) // places
+            depth[last - size // places] += 1
+            depth[last] -= 1
+    return np.cumsum(depth[:-1]) > 0
+
+
 def _remove(width: int, shards: int, with_text: bool):
     def run(_key, docs, bits):
-        import ahocorasick
-
         docs = _in_order(docs)
         c = _Chunk(docs, width, bits.num_rows > 0)
         recurring = np.zeros(0, np.int64)
@@ -202,43 +238,32 @@ def _remove(width: int, shards: int, with_text: bool):
             cand = np.flatnonzero(np.unpackbits(np.frombuffer(own[0], np.uint8), count=len(c.h)))
             _, _, cut, rank, count = c.distinct_pairs(cand, shards)
             recurring = c.pos[cand[(_answers(bits, cut) | (count > 1))[rank]]]
-        bounds = np.searchsorted(recurring, c.rows)
-        ids, texts = docs.column("doc_id").to_pylist(), docs.column("text")
-        automaton, long, some = ahocorasick.Automaton(), {}, False
-        for i in np.flatnonzero(np.diff(bounds)).tolist():
-            d = _Document(texts[i].as_py())
-            place = d.places()
-            for at, n in _patterns(recurring[bounds[i] : bounds[i + 1]] - c.rows[i], width):
-                phrase = d.padded[place[at] : place[at + n] + 1]
-                if len(phrase) <= PATTERN_CHARS:
-                    automaton.add_word(phrase, (len(phrase), n))
-                    some = True
-                else:  # words too long for the automaton; each of its places is known
-                    long.setdefault(i, []).append((at, n))
-        if some:
-            automaton.make_automaton()
+        text = c.text()
+        gone = _located(c, recurring, text, width) if len(recurring) else np.zeros(c.n, bool)
+        removed, size = K.row_sums(gone, c.rows), c.ends - c.starts + 1
+        left = np.concatenate(([0], np.cumsum(np.where(gone, 0, size))))[c.rows]  # bytes of the kept words and a space each
+        flat = _joined(text, c.starts[~gone], size[~gone])
         rows = []
-        for i, doc in enumerate(ids):
-            d = _Document(texts[i].as_py() or "")
-            found = [(end - size + 1, n) for end, (size, n) in automaton.iter(d.padded)] if some else []
-            spans = long.get(i, [])
-            if found:
-                place = d.places()
-                spans = spans + list(zip(np.searchsorted(place, [a for a, _ in found]).tolist(), [n for _, n in found], strict=True))
-            kept, removed = d.flat, 0
-            if spans:
-                depth = np.zeros(len(d.words) + 1, np.int64)
-                np.add.at(depth, [a for a, _ in spans], 1)
-                np.add.at(depth, [a + n for a, n in spans], -1)
-                out = np.cumsum(depth[:-1]) > 0
-                removed = int(out.sum())
-                kept = " ".join([d.words[j] for j in np.flatnonzero(~out).tolist()])
-            rows.append((doc, len(d.words), removed, hashlib.sha256(kept.encode()).hexdigest(), kept if with_text else None))
+        for i, doc in enumerate(docs.column("doc_id").to_pylist()):
+            kept = flat[left[i] : max(left[i], left[i + 1] - 1)]
+            rows.append((doc, int(c.rows[i + 1] - c.rows[i]), int(removed[i]), hashlib.sha256(kept).hexdigest(), bytes(kept).decode() if with_text else None))
         return pa.Table.from_batches([table(_OUT, rows)])
 
     return run
 
 
+def _joined(text: np.ndarray, starts: np.ndarray, size: np.ndarray) -> memoryview:
+    """The words at ``starts``, of size - 1 bytes, each with a space after it."""
+    out, done = np.empty(int(size.sum()), np.uint8), 0
+    for a in range(0, len(starts), 1 << 17):
+        n = size[a : a + (1 << 17)]
+        part = text[spans(starts[a : a + (1 << 17)], n)]
+        part[np.cumsum(n) - 1] = 0x20
+        out[done : done + len(part)] = part
+        done += len(part)
+    return out.data
+
+
 def remove_repeated_phrases(docs: DataFrame, width: int = 35, with_text: bool = True) -> DataFrame:
     """Remove each word covered by a window of ``width`` words that also starts anywhere else.
 
@@ -250,11 +275,11 @@ def remove_repeated_phrases(docs: DataFrame, width: int = 35, with_text: bool =
     """
     spark = docs.sparkSession
     ship(spark)
-    shards = partitions(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-total // CHUNK_BYTES))
+    shards, chunks = max(partitions(spark), -(-total // SHARD_BYTES)), max(1, -(-total // CHUNK_BYTES))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
+    # a row's chunk depends on the row and its partition, not on its place there: a task that runs again deals alike
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(chunks)).cast("int"))
     own = docs.groupBy("chunk")
     asks = own.applyInArrow(_filter_asks(width, shards), "shard int, chunk int, keys binary")
     bits = asks.groupBy("shard").applyInArrow(lambda t: _filter_answers(t), "chunk int, shard int, bits binary")
