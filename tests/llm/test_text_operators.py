@@ -110,20 +110,44 @@ def test_join_with_many_regions(spark, monkeypatch):
     assert by_id(ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, H.SCHEMA)), "n_shingles", "component_id") == H.components(rows)
 
 
-def test_region_links_are_all_links():
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 1 << 60, 100).astype(np.uint64)
-    sets = [np.unique(np.concatenate([rng.choice(base, 90, replace=False), rng.integers(0, 1 << 60, rng.integers(0, 25)).astype(np.uint64)])) for _ in range(40)]
-    forest = ngram_join._Forest(40)
-    for a, b in ngram_join.region_links(list(range(40)), sets, [None] * 40, 75):
-        forest.join(a, b)
-    want = ngram_join._Forest(40)
-    for a in range(40):
+@pytest.mark.parametrize("seed, own", [(1, 25), (2, 12), (3, 40), (4, 5)])
+def test_regions_give_all_links(seed, own):
+    """Clusters around several centres, with links inside and sets between them: cuts, windows and exact joins."""
+    rng = np.random.default_rng(seed)
+    new = lambda n: rng.integers(0, 1 << 60, n).astype(np.uint64)
+    core = new(60)
+    centres = [np.concatenate([core, new(60)]) for _ in range(6)]
+    sets = [np.unique(np.concatenate([rng.choice(centres[rng.integers(6)], 105, replace=False), new(rng.integers(0, own))])) for _ in range(160)]
+    region = ngram_join._Region(sets, [None] * 160, 75)
+    region.join(np.arange(160), np.zeros(0, np.int64))
+    want = ngram_join._Forest(160)
+    for a in range(160):
         for b in range(a):
             n = len(np.intersect1d(sets[a], sets[b]))
             if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
                 want.join(a, b)
-    assert [forest.find(i) for i in range(40)] == [want.find(i) for i in range(40)]
+    assert region.cuts > 1 and [region.forest.find(i) for i in range(160)] == [want.find(i) for i in range(160)]
+
+
+def test_common_shingles_reach_a_shard_once_a_block(spark, monkeypatch):
+    """Small blocks, shards and hot keys everywhere change nothing."""
+    from tidemark.llm import components
+
+    for module, name, n in ((ngram_join, "GATHER", 300), (ngram_join, "SHARD_SHINGLES", 500), (ngram_join, "BLOCK_SHINGLES", 300), (components, "HOT_ROWS", 1), (components, "HOT_SHARE", 1 << 40)):
+        monkeypatch.setattr(module, name, n)
+    rows = [r for r in H.corpus(3) if len(r[1] or "") < 50_000]
+    docs = spark.createDataFrame(rows, H.SCHEMA)
+    want = H.components(rows)
+    assert by_id(ngram_join.ngram_jaccard_join(docs), "n_shingles", "component_id") == want
+    assert sorted(r.doc_id for r in ngram_join.without_near_duplicates(docs).collect()) == sorted(i for i, (n, c) in want.items() if not n or i == c)
+
+
+def test_near_duplicates_with_the_operators_own_names(spark, rows):
+    docs = spark.createDataFrame(rows, H.SCHEMA)
+    for c in ("k_n", "k_hi", "k_lo", "k_id", "__k_n", "__hi", "__lo", "__words", "__k_id", "__c0"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    kept = ngram_join.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and kept.where("`__words` = 'clash'").count() == sum(not n or i == c for i, (n, c) in H.components(rows).items())
 
 
 def test_join_of_odd_and_empty_tables(odd, empty):
@@ -383,6 +407,44 @@ def test_personal_data_table(spark, empty):
     assert pii.find_personal_data(empty).count() == 0
 
 
+@pytest.fixture(scope="module")
+def personal_rows():
+    rng, texts = random.Random(8), []
+    for i in range(400):
+        w = H.words(rng, 30)
+        real = i % 4 == 0
+        before, span, after = pii.injected(rng, pii.KINDS[i // 4 % 6], real) if i % 2 == 0 else ("", "", "")
+        texts.append((i, " ".join(w[:15]) + f" {before}{span}{after} " + " ".join(w[15:]), span, real))
+    return texts
+
+
+def test_added_spans_are_the_proposals_above_their_kinds_threshold(spark, personal_rows):
+    docs = spark.createDataFrame([(i, t, "c", 0) for i, t, _, _ in personal_rows], "doc_id long, text string, spans string, n_spans int")
+    model = pii.fit(pii.corpus_snippets(docs))
+    text = {i: t for i, t, _, _ in personal_rows}
+    for r in pii.find_personal_data(docs).collect():
+        t = text[r.doc_id]
+        base = {(k, a, b) for k, a, b, ok in pii.looked_at(t) if ok}
+        want = base | {(k, a, b) for k, a, b in pii.proposals(t) if not any(x <= a and b <= y for _, x, y in base) and model.trees[k].scores(np.array([pii.features(t, k, a, b)]))[0] >= model.threshold[k]}
+        assert {(k, int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)} == want and r.n_spans == len(want)
+
+
+def test_personal_data_is_found_and_look_alikes_are_left(spark, personal_rows):
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in personal_rows], "doc_id long, text string")
+    found = by_id(pii.find_personal_data(docs), "n_spans", "n_email", "n_ip", "n_card", "n_phone")
+    real = [i for i, _, _, y in personal_rows if y]
+    clean = [i for i, _, _, y in personal_rows if not y and not any(found[i][1:])]
+    assert sum(found[i][0] > 0 for i in real) >= 0.95 * len(real) and sum(found[i][0] > 0 for i in clean) <= 0.02 * len(clean)
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_recall_of_each_kind(kind):
+    model = pii.fit([])
+    x, y = pii._examples([], kind, 1234)
+    p = model.trees[kind].scores(x) >= model.threshold[kind]
+    assert p[y == 1].mean() >= 0.95 and p[y == 0].mean() <= 0.02
+
+
 # 9 and 10
 
 
@@ -462,4 +524,4 @@ def test_toxicity_learns_from_its_whole_sample(spark):
 def test_long_secrets_are_proposed_whole(n):
     token = ("aB3_x-9Z" * (n // 8 + 1))[:n]
     assert pii.proposals(f"token = {token}.") == [("secret", 8, 8 + n)]
-    assert ("secret", 8, 8 + n, -1) in pii.candidates(f"token = {token}.")
+    assert len(pii.features(f"token = {token}.", "secret", 8, 8 + n)) == len(pii.features("x", "email", 0, 1))

@@ -8,6 +8,27 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import Stored
 
+#: A key with more rows than this is hot, unless that many keys could be: then one with this share of all rows.
+HOT_ROWS, HOT_SHARE = 1000, 10_000
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """rows joined with ``keyed``, which has a row a key and the number ``n`` of rows with it.
+
+    Keys with very many rows are broadcast, so their rows stay where they are; they are fewer than
+    HOT_SHARE by the way they are chosen.  The others are joined by shuffle.
+    """
+    on = [on] if isinstance(on, str) else on
+    total, most = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    least = max(HOT_ROWS, total // HOT_SHARE)
+    if most <= least:
+        return rows.join(keyed, on, how)
+    keyed = keyed.withColumn("hot", F.col("n") > least)
+    hot = keyed.where("hot").drop("hot")
+    marked = rows.join(F.broadcast(hot.select(*on, F.lit(True).alias("hot"))), on, "left")
+    out = marked.where("hot").drop("hot").join(F.broadcast(hot), on, how)
+    return out.unionByName(marked.where("hot is null").drop("hot").join(keyed.where("not hot").drop("hot"), on, how))
+
 
 def _contract(batches):
     """Replace a partition's edges by a star to the smallest node of each of its components."""
@@ -36,23 +57,28 @@ def components(store: Stored, edges: DataFrame, name: str) -> DataFrame:
 
     Each partition's edges, of the size that adaptive execution gives a partition, are contracted
     first.  Each round takes the smallest label among neighbours and then the label's own
-    label, so paths shrink geometrically; rounds end when nothing changes.  Every
+    label, so paths shrink geometrically; rounds end when nothing changes.  Nodes with very many
+    neighbours, and labels of very many nodes, are joined by broadcast (``join_hot``).  Every
     round is a written table, so lost executors cost one round at most.
     """
     pairs = edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     pairs = store.put(f"{name}-edges", pairs.mapInArrow(_contract, "u long, v long").distinct())
     both = pairs.union(pairs.select("v", "u"))
-    labels = store.put(f"{name}-0", both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("label")))
+    degree = both.groupBy(F.col("v").alias("node")).agg(F.count("*").alias("n"), F.min("u").alias("least"))
+    labels = store.put(f"{name}-0", degree.select("node", F.least("node", "least").alias("label"), F.col("n").alias("degree")))
     step = 0
     while True:
         step += 1
-        near = both.join(labels, both.v == labels.node).groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        low = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
-        up = labels.select(F.col("node").alias("low"), F.col("label").alias("up"))
-        new = store.put(f"{name}-{step}", low.join(up, "low", "left").select("node", "old", F.least("low", F.coalesce("up", "low")).alias("label")))
-        moved = new.where("label <> old").isEmpty()
-        store.drop(f"{name}-{step - 1}")
-        labels = new.select("node", "label")
-        if moved:
+        near = join_hot(both.select("u", F.col("v").alias("node")), labels.select("node", "label", F.col("degree").alias("n")), "node")
+        near = near.groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
+        low = labels.join(near, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("low"))
+        low = store.put(f"{name}-low-{step}", low)
+        up = low.groupBy("low").agg(F.count("*").alias("n")).join(labels.select(F.col("node").alias("low"), F.col("label").alias("up")), "low", "left")
+        new = join_hot(low, up, "low").select("node", "degree", "old", F.least("low", F.coalesce("up", "low")).alias("label"))
+        new = store.put(f"{name}-{step}", new)
+        still = new.where("label <> old").isEmpty()
+        store.drop(f"{name}-{step - 1}", f"{name}-low-{step}")
+        labels = new.select("node", "label", "degree")
+        if still:
             store.drop(f"{name}-edges")
-            return labels
+            return labels.select("node", "label")
