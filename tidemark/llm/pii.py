@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import boosting
-from tidemark.llm.runtime import ship, table
+from tidemark.llm.runtime import lowest, ship, table
 
 KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 BASE = KINDS[:4]
@@ -314,12 +314,8 @@ def _cut_snippets(most: int):
 
 def corpus_snippets(docs: DataFrame, each: int = 10) -> list[str]:
     """Up to SNIPPETS short passages of documents with low hashes, in a fixed order."""
-    some, wanted = docs.where(F.length("text") > 0), SNIPPETS // each
-    rows = some.count()
     key = F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64))
-    if rows > 4 * wanted:  # a filter first, so that no task ships more than its share
-        some = some.where(key < F.lit(int(-(1 << 63) + 2 * wanted / rows * (1 << 64))))
-    some = some.orderBy(key, "doc_id", "text").limit(wanted).select("text")
+    some = lowest(docs.where(F.length("text") > 0), key, SNIPPETS // each, "doc_id", "text").select("text")
     return sorted(r[0] for r in some.mapInArrow(_cut_snippets(each), "snippet string").collect())
 
 

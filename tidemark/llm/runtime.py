@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import tempfile
 import uuid
@@ -13,7 +12,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 _scratch: dict[str, str] = {}
@@ -37,7 +37,7 @@ def ship(spark: SparkSession) -> None:
 def scratch(spark: SparkSession) -> str:
     """A folder of this application under spark.checkpoint.dir, which every executor sees.
 
-    Only where the session names no such folder (local tests) is one made.
+    Only a local master, where all share one machine, may do without that setting.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
@@ -45,6 +45,8 @@ def scratch(spark: SparkSession) -> str:
         if not base:
             base = spark.sparkContext.getCheckpointDir()
         if not base:
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="tidemark-scratch-")
             spark.sparkContext.setCheckpointDir(base)
         _scratch[app] = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
@@ -79,7 +81,6 @@ class Stored:
         path = f"{scratch(self.spark)}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.option("compression", "zstd").parquet(path)
         self.paths[name] = path
-        release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -88,10 +89,15 @@ class Stored:
                 delete(self.spark, self.paths.pop(n))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished jobs."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def lowest(rows: DataFrame, key: Column, n: int, *ties: str) -> DataFrame:
+    """The n rows with the lowest 64-bit hashes, by (key, ties).
+
+    Of a large table a filter takes about twice as many first, so that no task sorts or ships more than its share.
+    """
+    total = rows.count()
+    if total > 4 * n:
+        rows = rows.where(key < F.lit(int(-(1 << 63) + 2 * n / total * (1 << 64))))
+    return rows.orderBy(key, *ties).limit(n)
 
 
 def partitions(spark: SparkSession) -> int:

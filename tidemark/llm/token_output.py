@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel
-from tidemark.llm.runtime import blob, partitions, scratch, ship, spans, table
+from tidemark.llm.runtime import blob, lowest, partitions, scratch, ship, spans, table
 
 U64 = np.uint64
 
@@ -330,13 +330,10 @@ def _encode_blocks(definition, dictionary, end: int):
     return run
 
 
-def _sample(docs: DataFrame, rows: int) -> DataFrame:
-    """About SAMPLE_DOCS documents, those with the lowest hashes: a filter, so that no task ships more than its share."""
+def _sample(docs: DataFrame) -> DataFrame:
+    """The SAMPLE_DOCS documents with the lowest hashes."""
     key = F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64))
-    some = docs.where(F.length("text").between(1, SAMPLE_CHARS))
-    if rows > SAMPLE_DOCS:
-        some = some.where(key < F.lit(int(-(1 << 63) + 2 * SAMPLE_DOCS / rows * (1 << 64))) if rows > 2 * SAMPLE_DOCS else F.lit(True))
-    return some.orderBy(key, "doc_id", "text").limit(SAMPLE_DOCS)
+    return lowest(docs.where(F.length("text").between(1, SAMPLE_CHARS)), key, SAMPLE_DOCS, "doc_id", "text")
 
 
 def train_dictionary(samples: list[bytes], width: int) -> tuple[bytes, str]:
@@ -368,9 +365,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     with open(tokenizer_path, encoding="utf-8") as f:
         text = f.read()
     definition = spark.sparkContext.broadcast(text)  # a tokenizer's definition: a few MB
-    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = Encoder(text, end).dtype.itemsize
-    samples = [bytes(r[0]) for r in _sample(docs, rows).select("text").mapInArrow(_ids(definition, end), "ids binary").collect()]
+    samples = [bytes(r[0]) for r in _sample(docs).select("text").mapInArrow(_ids(definition, end), "ids binary").collect()]
     data, kind = train_dictionary(samples, width)
     name = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(name, data, width, kind)], "hash string, bytes binary, width int, kind string").coalesce(1).write.parquet(f"{path}/dictionary")
