@@ -1,7 +1,8 @@
 """Quality classifier: a linear-chain conditional random field over lines.
 
 Each line with a word is good or bad.  Its features are binned statistics of the line
-and of the lines beside it.  Lines learn from their document's label; forward-backward
+and of the lines beside it.  Lines learn from their document's label, in chains of a few
+documents put one after another, so that lines of both kinds are neighbours; forward-backward
 marginals, weighted by line length, give a document's mean goodness, which a logistic
 fit on the training documents turns into its score.
 """
@@ -23,6 +24,8 @@ from tidemark.llm.runtime import ship
 U64 = np.uint64
 #: Training documents of each label at most.
 SAMPLE = {0: 1500, 1: 1500}
+#: Documents that make one training chain.
+CHAIN = 4
 THRESHOLD = 0.7
 
 
@@ -172,13 +175,17 @@ def fit(texts: list[str], y: list[int]) -> Model:
     flat = Model(np.zeros(N_FEATURES), np.ones((2, 2)), 0.0, float(np.log(prior / (1 - prior))))
     if not len(y) or not y.any() or y.all():
         return flat
-    parts = [(lo, line_statistics(buf, off)) for lo, _, buf, off in K.text_slices(pa.array(texts, pa.large_string()))]
-    stats = {name: np.concatenate([p.stats[name] for _, p in parts]) for name, _ in BINS}
-    counts = np.concatenate([np.diff(p.rows) for _, p in parts])
-    lines = Lines(stats, np.concatenate([p.weight for _, p in parts]), np.concatenate(([0], np.cumsum(counts))))
-    feats, first = features(lines)
-    if not len(first):
+    order = np.random.default_rng(len(y)).permutation(len(y))
+    texts, y = [texts[i] for i in order], y[order]
+    parts = [line_statistics(buf, off) for _, _, buf, off in K.text_slices(pa.array(texts, pa.large_string()))]
+    stats = {name: np.concatenate([p.stats[name] for p in parts]) for name, _ in BINS}
+    counts = np.concatenate([np.diff(p.rows) for p in parts])
+    rows = np.concatenate(([0], np.cumsum(counts)))
+    lines = Lines(stats, np.concatenate([p.weight for p in parts]), rows)
+    if not len(lines.weight):
         return flat
+    chains = np.append(rows[:-1:CHAIN], rows[-1])  # a chain's lines are those of CHAIN documents
+    feats, first = features(Lines(stats, lines.weight, chains))
     of = np.repeat(np.arange(len(y)), counts)
     # each document weighs as much as another of its label, each line by its length in it, and the labels alike
     total = np.bincount(of, lines.weight, len(y))
@@ -186,9 +193,6 @@ def fit(texts: list[str], y: list[int]) -> Model:
     weight = lines.weight / total[of] * balance[y[of]]
     weight *= len(weight) / weight.sum()
     weights, factors = crf.train(feats, None, N_FEATURES, y[of], first, weight, rounds=150, l2=1e-4, rate=0.1)
-    # labels are of documents, so no line in training has a neighbour of the other kind: what the
-    # transitions would learn is kept mild, for a document of both kinds of lines
-    factors = np.clip(factors, -1.0, 1.0)
     model = Model(weights, np.exp(factors), 1.0, 0.0)
     model.slope, model.offset = crf.platt(_goodness(model, lines), y)
     return model

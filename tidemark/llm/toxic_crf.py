@@ -146,7 +146,8 @@ def fit(texts: list[str], y: list[int]) -> Model:
 def _by_document(k: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys, each position's key, key * docs + document of each pair that occurs)."""
     names, at = np.unique(k, return_inverse=True)
-    return names, at, np.unique(at * docs + doc)
+    pair = np.sort(at * docs + doc)
+    return names, at, pair[np.append(True, pair[1:] != pair[:-1])]
 
 
 def _marginals(model: Model, feats, first: np.ndarray) -> np.ndarray:
