@@ -136,6 +136,46 @@ def license_base(t):
     return len(w), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits}))
 
 
+def _subsequence(a, b):
+    """The length of the longest common subsequence, by the table of all prefixes."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            row[j + 1], before = max(row[j + 1], row[j], before + 1 if x == y else 0), row[j + 1]
+    return row[-1]
+
+
+def license_blocks(t, templates, threshold, slack):
+    """All blocks that reach the threshold; of those that overlap the best, the first of equals."""
+    import math
+
+    w, out = ALNUM.findall((t or "").translate(LOWER)), []
+    for label, name, text in templates:
+        words = ALNUM.findall(text.translate(LOWER))
+        tokens, size, best, until = set(words), math.ceil(slack * len(words)), None, -1
+        need = math.ceil(threshold * len(tokens) - 1e-9)
+
+        def put(s):
+            last = max(j for j in range(s, min(s + size, len(w))) if w[j] in tokens)
+            inside = [x for x in w[s : last + 1] if x in tokens]
+            out.append((label, name, s, last + 1, round(len(set(inside)) / len(tokens), 9), _subsequence(words, inside) >= threshold * len(words) - 1e-9))
+
+        for s, x in enumerate(w):
+            if x not in tokens or len(tokens & set(w[s : s + size])) < need:
+                continue
+            got = len(tokens & set(w[s : s + size]))
+            if best and s >= until:
+                put(best[1])
+                best = None
+            if best is None or got > best[0]:
+                best = (got, s)
+                until = max(j for j in range(s, min(s + size, len(w))) if w[j] in tokens) + 1
+        if best:
+            put(best[1])
+    return sorted(out, key=lambda x: (x[2], x[3], x[1]))
+
+
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),

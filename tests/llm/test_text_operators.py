@@ -189,18 +189,57 @@ def test_kept_text_and_odd_tables(spark, odd, empty):
 
 
 def test_license_base_and_templates(spark, rows, docs, empty):
+    digest = lambda d: license_scan.license_digest(license_scan.scan_licenses(d))
     more = [
         (1, "Released under the MIT license. And the MIT License; CC-BY", None, None, 1),
         (2, "x Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without any restriction y", None, None, 1),
         (3, None, None, None, 0), (4, "all\nrights reserved", None, None, 1), (5, "cc", None, None, 0), (5, "Licensed under CC BY-NC 4.0.", None, None, 0),
+        (6, "rights reserved all here", None, None, 0), (7, "released under the license of MIT", None, None, 0),
     ]
-    for r in license_scan.scan_licenses(spark.createDataFrame(more[:4], H.SCHEMA)).collect():
+    for r in digest(spark.createDataFrame(more[:4], H.SCHEMA)).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == H.license_base(dict((m[0], m[1]) for m in more)[r.doc_id])
-    got = [(r.doc_id, r.labels) for r in license_scan.scan_licenses(spark.createDataFrame(more, H.SCHEMA)).collect()]
-    assert sorted(got) == [(1, "cc-by,mit"), (2, "mit"), (3, ""), (4, "all-rights-reserved"), (5, ""), (5, "cc-by,cc-by-nc")]
-    for r in license_scan.scan_licenses(docs).collect():
+    got = [(r.doc_id, r.labels) for r in digest(spark.createDataFrame(more, H.SCHEMA)).collect()]
+    assert sorted(got) == [(1, "cc-by,mit"), (2, "mit"), (3, ""), (4, "all-rights-reserved"), (5, ""), (5, "cc-by,cc-by-nc"), (6, ""), (7, "")]
+    for r in digest(docs).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == H.license_base(rows[r.doc_id][1]) and 0 <= r.score <= 1
-    assert license_scan.scan_licenses(empty).count() == 0
+    assert digest(empty).count() == 0
+
+
+@pytest.fixture(scope="module")
+def notices():
+    """Texts around notices, whole, cut, shuffled, twice, and with words put in or left out."""
+    rng, out = random.Random(21), []
+    for i in range(260):
+        label, name, text = rng.choice(license_scan.TEMPLATES)
+        w = text.split()
+        for _ in range(rng.choice((0, 0, 1, 2, 4))):
+            w[rng.randrange(len(w))] = rng.choice(("", "ka", "the"))
+        if i % 7 == 0:
+            rng.shuffle(w)
+        if i % 5 == 0:
+            w = w + H.words(rng, rng.randint(0, 30)) + text.split()
+        out.append((i, " ".join([*H.words(rng, rng.randint(0, 20)), *w, *H.words(rng, rng.randint(0, 20))]), "en", "s", 1))
+    return out
+
+
+def test_blocks_labels_and_score_against_all_blocks(spark, notices):
+    found = license_scan.license_digest(license_scan.scan_licenses(spark.createDataFrame(notices, H.SCHEMA))).collect()
+    text, labels = dict((r[0], r[1]) for r in notices), 0
+    for r in found:
+        want = H.license_blocks(text[r.doc_id], license_scan.TEMPLATES, license_scan.THRESHOLD, license_scan.SLACK)
+        assert [(b.label, b.template, b.start, b.end, round(b.containment, 9), b.in_order) for b in r.blocks] == want
+        base = set(filter(None, H.license_base(text[r.doc_id])[4].split(",")))
+        assert r.labels == ",".join(sorted(base | {x[0] for x in want if x[5]}))
+        assert r.score == pytest.approx(1.0 if base else max((x[4] for x in want if x[5]), default=0.0))
+        labels += bool(r.labels)
+    assert 100 < labels < 260
+
+
+def test_templates_from_a_table(spark):
+    table = spark.createDataFrame([("own", "a", "one two three four"), ("none", "b", None), ("blank", "c", "...")], "label string, name string, text string")
+    docs = spark.createDataFrame([(1, "zero one two three four five"), (2, "four three two one")], "doc_id long, text string")
+    got = license_scan.license_digest(license_scan.scan_licenses(docs, table)).orderBy("doc_id").collect()
+    assert [(r.labels, [(b.start, b.end, b.in_order) for b in r.blocks]) for r in got] == [("own", [(1, 5, True)]), ("", [(0, 4, False)])]
 
 
 # 4
@@ -228,15 +267,46 @@ def test_mixing_odd_rows(odd):
     assert len(got) == 6 and all(r.taken <= 2 * r["size"] for r in got)
 
 
-def test_bands_of_one_row_and_salted_sources_change_nothing(docs, monkeypatch):
+def test_inclusion_differs_and_words_are_near_the_target(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 300)), "en", "abc"[i % 3], 1) for i in range(3000)]
+    got = source_mix.mix_sources(spark.createDataFrame(rows, H.SCHEMA)).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r.source_size, r.target), []).append(r)
+    for (size, target), own in by.items():
+        assert abs(sum(r.taken for r in own) - target) <= 150
+        partial = [r for r in own if 0 < r.inclusion < 1]
+        if target < 2 * size:
+            assert len({round(r.inclusion, 6) for r in partial}) > 3
+            for low, high in ((1, 63), (64, 127), (128, 300)):
+                some = [r for r in partial if low <= r["size"] <= high and r.taken <= r["size"]]
+                if len(some) > 200 and all(r.taken in (0, r["size"]) for r in some):
+                    assert abs(sum(r.taken > 0 for r in some) / len(some) - sum(r.inclusion for r in some) / len(some)) < 0.1
+
+
+def test_bands_of_one_row_and_hot_sources_change_nothing(docs, monkeypatch):
+    from tidemark.llm import components
+
     want = by_id(source_mix.mix_sources(docs), "taken")
-    monkeypatch.setattr(source_mix, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(source_mix, "BROADCAST_ROWS", 0)
+    assert by_id(source_mix.mix_sources(docs), "taken") == want
+    monkeypatch.setattr(components, "HOT_ROWS", 2)
+    monkeypatch.setattr(components, "HOT_SHARE", 1 << 40)
     assert by_id(source_mix.mix_sources(docs), "taken") == want
     assert source_mix.mixed_documents(docs).count() == sum(r.taken // r["size"] for r in source_mix.mix_sources(docs).collect() if r["size"])
     monkeypatch.setattr(source_mix, "BAND_ROWS", 1)
     assert by_id(source_mix.mix_sources(docs), "taken") == want
 
 
+def test_mixing_with_the_operators_own_names(spark, docs):
+    odd = docs
+    for c in ("__size", "__u", "__times", "__copy", "key", "bits", "copies", "p", "cut", "all", "times", "copy", "__c0"):
+        odd = odd.withColumn(c, F.lit("clash"))
+    taken = source_mix.mixed_documents(odd)
+    assert taken.columns == odd.columns and taken.count() == source_mix.mixed_documents(docs).count()
+
+
 # 5
 
 
@@ -292,8 +362,8 @@ def test_there_is_always_a_dictionary(samples, kind):
 def test_dictionary_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(token_output, "SAMPLE_DOCS", 50)
     docs = spark.range(5000).selectExpr("if(id % 3 = 0, null, id) doc_id", "concat('text ', id) text")
-    assert 25 <= token_output._sample(docs, 5000).count() <= 50
-    assert token_output._sample(docs.limit(30), 30).count() == 30
+    assert token_output._sample(docs).count() == 50
+    assert token_output._sample(docs.limit(30)).count() == 30
 
 
 def test_token_files_round_trip(spark, rows, docs, odd, empty, tmp_path):
@@ -357,6 +427,43 @@ def test_forest_finds_what_lies_where_no_row_was():
     assert rule_forest.calibrate(s, np.arange(530) < 500) <= s[500:].max()
 
 
+def test_verdicts_against_paths_walked_one_by_one(spark, monkeypatch):
+    """anomaly and kept of each row, from the grown trees and the threshold."""
+    seen = {}
+    grow, calibrate = rule_forest.grow, rule_forest.calibrate
+
+    def keep_forest(x, everything):
+        seen["forest"] = grow(x, everything)
+        return seen["forest"]
+
+    def keep_split(scores, good):
+        seen["judged"] = len(good)
+        return calibrate(scores, good)
+
+    monkeypatch.setattr(rule_forest, "grow", keep_forest)
+    monkeypatch.setattr(rule_forest, "calibrate", keep_split)
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(H.words(rng, 6)) for _ in range(8)) if i % 10 else " ".join("#$%" + w.upper() for w in H.words(rng, 40)) for i in range(700)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], H.SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 10 != 0), 0, "x") for i in range(700)], LABELS)
+    got = rule_forest.quality_rules(docs, labels).collect()
+    forest = seen["forest"]
+    assert 300 < seen["judged"] < 400 and np.isfinite(forest.threshold)  # one half of the labels calibrates
+    columns = rule_forest.STATS + rule_forest.EXTRA
+    for r in got:
+        t = texts[r.doc_id].encode()
+        x = rule_forest.features(dict(zip(columns, rule_forest.statistics(np.frombuffer(t, np.uint8), np.array([0, len(t)])), strict=True)))[0]
+        total = 0.0
+        for feature, cut, length in zip(forest.feature, forest.cut, forest.length, strict=True):
+            node = 0
+            while feature[node] >= 0:
+                node = 2 * node + (2 if x[feature[node]] >= cut[node] else 1)
+            total += length[node]
+        score = 2.0 ** (-total / len(forest.feature) / rule_forest._expected(rule_forest.TREE_ROWS))
+        assert r.anomaly == pytest.approx(score) and r.kept == (not r.base_failed and score < forest.threshold)
+    assert sum(r.kept for r in got if r.doc_id % 10) >= 0.99 * 630 and not any(r.kept for r in got if r.doc_id % 10 == 0)
+
+
 # 7
 
 

@@ -108,11 +108,11 @@ def _ask(block: int, fps: list[tuple[int, int]], sets: list[np.ndarray], shards:
     h = np.concatenate(sets)
     shard = ((h >> U64(32)) % U64(shards)).astype(np.int32)
     key = (shard.astype(U64) << U64(32)) | (h & U64(0xFFFFFFFF))
-    order = np.argsort(key, kind="stable")
-    key, owner = key[order], owner[order]  # owners ascend within a key
+    order = np.argsort(key)
+    key, owner = key[order], owner[order]
     at = _runs(key)
     size = np.diff(np.append(at, len(key)))
-    common = owner[at] != owner[at + size - 1]
+    common = np.minimum.reduceat(owner, at) != np.maximum.reduceat(owner, at)
     own, n = np.unique(owner[np.repeat(common, size)], return_counts=True)
     part = (lo[own].view(U64) % U64(parts)).astype(np.int32)
     order, cut = by_shard(part, parts)
@@ -121,7 +121,7 @@ def _ask(block: int, fps: list[tuple[int, int]], sets: list[np.ndarray], shards:
     several = key[at[common]]
     single = ~np.repeat(common, size)
     key, owner = key[single], owner[single]
-    order = np.lexsort((owner, key >> U64(32)))
+    order = np.argsort((key >> U64(32) << U64(32)) | owner.astype(U64))
     key, owner = key[order], owner[order]
     bounds = np.arange(shards + 1, dtype=U64) << U64(32)
     cut, cut2 = np.searchsorted(key >> U64(32), np.arange(shards + 1, dtype=U64)), np.searchsorted(several, bounds)
@@ -181,7 +181,7 @@ def _shared(parts: int):
         entry = np.append(np.repeat(np.arange(len(count)), count), np.full(len(common), -1))
         own = np.append(np.repeat(number, count), np.full(len(common), -1))
         keys = np.append(keys, common)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         k, o, entry = keys[order], own[order], entry[order]
         at = _runs(k)
         low, high = np.minimum.reduceat(o, at), np.maximum.reduceat(o, at)
@@ -263,8 +263,12 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     k, o = keys[order], ids[order]
     at = _runs(k) if len(k) else np.zeros(0, np.int64)
     head = np.repeat(o[at], np.diff(np.append(at, len(k))))
-    pair = np.stack([head[head != o], o[head != o]])
-    return (np.unique(pair, axis=1) if pair.size else pair).astype(np.int64), k[at], o[at]
+    u, v = head[head != o], o[head != o]
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    new = np.ones(len(u), bool)
+    new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+    return np.stack([u[new], v[new]]).astype(np.int64), k[at], o[at]
 
 
 def _prefixes(percent: int, shards: int):

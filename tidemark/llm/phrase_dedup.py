@@ -142,7 +142,7 @@ def _split_bits(t: pa.Table, flags: np.ndarray, sizes: list[int]) -> list[tuple]
 def _filter_answers(t: pa.Table) -> pa.Table:
     parts = [np.frombuffer(x, np.uint32) for x in t.column("keys").to_pylist()]
     keys = np.concatenate(parts)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     k = keys[order]
     return pa.Table.from_batches([table(_BITS, _split_bits(t, _recurs(k[1:] == k[:-1], order), [len(p) for p in parts]))])
 
