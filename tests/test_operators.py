@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import time
 from datetime import datetime
 
 import numpy as np
@@ -13,7 +14,8 @@ from tidemark.functions import vectors as V
 from tidemark.operators import cdc, layout, lineage, search
 from tidemark.plans.spec import DatasetSpec, Field, Index, SpecError, default_spec
 from tidemark.sources.vecfiles import encode_bin, encode_vecs, read_bin, read_vecs
-from tidemark.sources.versions import VersionConflict, VersionedTable
+from tidemark.sources.versions import VersionConflict, VersionedTable, discover
+from tidemark.streaming.fold import StreamFold
 
 STATE = "k string, source_sequence long, event_digest string, is_deleted boolean, x string"
 
@@ -175,7 +177,40 @@ def test_versions_are_immutable_and_guarded(spark, tmp_path):
     assert (t.read().count(), t.read(1).count(), t.read(9)) == (4, 3, None)
     with pytest.raises(VersionConflict):
         t.write(spark.range(5), 1)
-    assert t.clean(1) == [1] and t.versions() == [2]
+    assert t.clean(1) == [] and t.clean(1, now=time.time() + 7 * 3600) == [1] and t.versions() == [2]
+    with pytest.raises(ValueError):
+        t.clean(1, horizon=60)
+
+
+def test_versions_share_folders_and_keep_marks_and_tags(spark, tmp_path):
+    t = VersionedTable(spark, f"file://{tmp_path}/t")
+    t.write(spark.range(3), None, marks={"a": 1})
+    t.append(spark.range(3, 5), 1, marks={"b": 2})
+    assert t.marks() == {"a": 1, "b": 2} and t.marks(1) == {"a": 1} and sorted(r.id for r in t.read().collect()) == list(range(5))
+    t.tag("served", 1)
+    t.tag("served", 2)
+    t.tag("held", 1)
+    assert t.tags() == {"served": 2, "held": 1}
+    with pytest.raises(ValueError):
+        t.tag("served", 9)
+    late = time.time() + 7 * 3600
+    assert t.clean(1, now=late) == []  # tagged
+    t.tag("held", 2)
+    assert t.clean(1, now=late) == [1] and t.read().count() == 5  # its folder belongs to version 2 too
+    t.stage(spark.range(1))
+    assert t.remove_orphans() == [] and len(t.remove_orphans(now=late)) == 1 and t.read().count() == 5
+    assert discover(spark, f"file://{tmp_path}") == [f"file://{tmp_path}/t"]
+
+
+def test_one_of_two_writers_publishes(spark, tmp_path):
+    t = VersionedTable(spark, f"file://{tmp_path}/t")
+    t.write(spark.range(1), None)
+    a, b = t.stage(spark.range(2)), t.stage(spark.range(3))
+    assert t.read().count() == 1  # staged rows, and those of a writer that stopped, are not seen
+    assert t._claim(2, '{"folders": ["%s"], "marks": {}}' % a) and not t._claim(2, "{}")
+    with pytest.raises(VersionConflict):
+        t.publish([b], 1)
+    assert t.read().count() == 2 and t.versions() == [1, 2] and t.folders(2) == [a]
 
 
 def test_vector_files(spark, tmp_path):
@@ -193,3 +228,42 @@ def test_retry_delay_is_capped_and_repeats():
     a = layout.retry_delay(3, "w", 1.0, 60.0)
     assert a == layout.retry_delay(3, "w", 1.0, 60.0) and 0 <= a <= 4
     assert layout.retry_delay(50, "w", 1.0, 60.0) <= 60
+
+
+def test_a_vector_of_another_dimension_is_an_error(spark):
+    v = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0])], "record_id long, vector array<double>")
+    q = spark.createDataFrame([(1, [0.0, 0.0])], "query_id long, vector array<double>")
+    with pytest.raises(Exception, match="different dimensions"):
+        search.knn(v, q, 2, "l2").collect()
+
+
+def test_stream_batches_are_known_by_stream_and_number(spark, tmp_path):
+    fold = StreamFold(spark, f"file://{tmp_path}/s", ["k"])
+    keys = lambda: {r.k for r in fold.state.read().collect()}
+    fold.merge_batch(state(spark, [("a", 1, "d1", False, "x")]), 0, "one")
+    base = fold.state.current()
+    fold.state.write(fold.state.read().coalesce(1), base)  # a compaction between two batches
+    fold.merge_batch(state(spark, [("b", 2, "d2", False, "x")]), 1, "one")
+    assert keys() == {"a", "b"}
+    before = fold.state.current()
+    fold.merge_batch(state(spark, [("c", 3, "d3", False, "x")]), 1, "one")  # a replay of batch 1
+    assert fold.state.current() == before
+    fold.merge_batch(state(spark, [("c", 3, "d3", False, "x")]), 0, "two")  # a new checkpoint over old state
+    assert keys() == {"a", "b", "c"} and fold.state.marks() == {"stream-one": 1, "stream-two": 0}
+
+
+def test_a_batch_that_loses_to_another_writer_is_merged_again(spark, tmp_path, monkeypatch):
+    fold = StreamFold(spark, f"file://{tmp_path}/s", ["k"])
+    fold.merge_batch(state(spark, [("a", 1, "d1", False, "x")]), 0)
+    stage, done = VersionedTable.stage, []
+
+    def late(self, rows, partition_by=()):
+        out = stage(self, rows, partition_by)
+        if not done:
+            done.append(1)
+            self.write(self.read().coalesce(1), self.current())
+        return out
+
+    monkeypatch.setattr(VersionedTable, "stage", late)
+    fold.merge_batch(state(spark, [("b", 2, "d2", False, "x")]), 1)
+    assert {r.k for r in fold.state.read().collect()} == {"a", "b"} and fold.state.versions() == [1, 2, 3]

@@ -139,6 +139,48 @@ def unknown_keys(column: str, allowed: list[str]) -> Column:
     return F.array_except(F.map_keys(column), F.array(*[F.lit(a) for a in allowed]))
 
 
+def key_lookup(stored: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The stored rows of a set of keys."""
+    return stored.join(wanted.select(*keys).distinct(), keys, "left_semi")
+
+
+def post_image(rows: DataFrame, column: str, allowed: list[str]) -> DataFrame:
+    """Rows with a column for each allowed key of a map, null where it is absent; a key that is not allowed is an error."""
+    unknown = F.size(unknown_keys(column, allowed)) > 0
+    stop = F.raise_error(F.concat(F.lit("unknown payload field in "), F.array_join(F.map_keys(column), ","))).cast("boolean")
+    return rows.where(F.when(F.coalesce(unknown, F.lit(False)), stop).otherwise(F.lit(True))).select("*", *map_fields(column, allowed)).drop(column)
+
+
+def source_rules(time: str, op: str, payload: str, allowed: list[str], vector: str, dimension: int) -> dict[str, Column]:
+    """The rules that a source row must keep, each as the condition that breaks it: a time, a known operation, known
+    payload keys, and on an upsert a vector of the dimension whose elements are all there and finite."""
+    upsert = F.coalesce(gate(F.col(op)).isin(*UPSERTS), F.lit(False))
+    v = F.col(vector)
+    return {
+        "null_ts": F.col(time).isNull(),
+        "bad_op": ~valid_operation(F.col(op)),
+        "unknown_keys": F.coalesce(F.size(unknown_keys(payload, allowed)) > 0, F.lit(False)),
+        "missing_vector": upsert & v.isNull(),
+        "wrong_size": F.coalesce(upsert & (F.size(v) != dimension), F.lit(False)),
+        "null_element": F.coalesce(upsert & F.exists(v, lambda x: x.isNull()), F.lit(False)),
+        "nan_element": F.coalesce(upsert & F.exists(v, lambda x: F.isnan(x)), F.lit(False)),
+        "infinite_element": F.coalesce(upsert & F.exists(v, lambda x: F.abs(x) == F.lit(float("inf"))), F.lit(False)),
+    }
+
+
+def any_null(columns: list[str]) -> Column:
+    """Whether any of the columns is null."""
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.col(c).isNull()
+    return bad
+
+
+def envelope_violations(rows: DataFrame, envelope: list[str], rules: dict[str, Column]) -> DataFrame:
+    """One row, one pass: rows with a null in the envelope, and 1 for each rule that some row breaks."""
+    return rows.agg(F.count_if(any_null(envelope)).alias("null_envelope"), *[F.max(F.when(bad, 1).otherwise(0)).alias(name) for name, bad in rules.items()])
+
+
 def map_fields(column: str, keys: list[str]) -> list[Column]:
     """One column a declared key; absent is null."""
     return [F.try_element_at(F.col(column), F.lit(k)).alias(k) for k in keys]

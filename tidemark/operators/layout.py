@@ -16,8 +16,9 @@ def partition_count(rows: int) -> int:
     return max(FEWEST, min(MOST, rows // ROWS_A_PARTITION))
 
 
-def trainable_partitions(wanted: int, rows: int) -> int:
-    return max(1, min(wanted, rows))
+def trainable_partitions(wanted: int, rows: int, sample_rate: int = 256) -> int:
+    """No more partitions than rows can train, each by ``sample_rate`` of them."""
+    return max(1, min(wanted, rows // sample_rate))
 
 
 def retrain(rows: int, rows_at_training: int, factor: int = 4) -> bool:
@@ -48,12 +49,25 @@ def pack(histogram: list[int], cap: int) -> list[tuple[int, int, int, int]]:
 
 
 def salted(rows: DataFrame, sizes: DataFrame, cap: int) -> DataFrame:
-    """Rows (record_id, pid) with the salt of an oversized partition, dealt evenly by a hash of the record."""
+    """Rows (record_id, pid) with the salt of an oversized partition, dealt evenly by a hash of the record.
+
+    ``sizes`` has a row a partition of the index, MOST at most, so it is broadcast."""
     n = sizes.select("pid", F.ceil(F.col("n") / cap).cast("int").alias("salts"))
     salt = F.pmod(F.conv(F.substring(F.sha2(F.col("record_id").cast("string"), 256), 1, 8), 16, 10).cast("long"), F.col("salts")).cast("int")
     return rows.join(F.broadcast(n), "pid").withColumn("salt", salt)  # a row a partition of the index
 
 
+def round_robin(rows: DataFrame, salts: int) -> DataFrame:
+    """Rows (record_id, pid) with the salt that dealing a partition's rows in turn gives them: sizes differ by one at most."""
+    turn = F.row_number().over(Window.partitionBy("pid").orderBy("record_id")) - 1
+    return rows.withColumn("salt", F.pmod(turn, F.lit(salts)).cast("int"))
+
+
+def even_split(rows: DataFrame, shards: int, order: str) -> DataFrame:
+    """Rows with the shard, from 0, of a contiguous split into parts whose sizes differ by one at most."""
+    return rows.withColumn("shard", (F.ntile(shards).over(Window.orderBy(order)) - 1).cast("int"))
+
+
 def histogram(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pid").agg(F.count("*").alias("n"))
 
@@ -83,7 +97,7 @@ def retry_delay(attempt: int, work_id: str, base: float, most: float) -> float:
 
 def prunable_tags(tags: DataFrame, keep: int) -> DataFrame:
     """Interval tags (dataset_id, tag) beyond the newest ``keep``; other names are left alone."""
-    ok = tags.where(F.col("tag").rlike("^[0-9]{8}T[0-9]{6}Z$"))
+    ok = tags.where(F.col("tag").rlike("^[0-9]{8}T[0-9]{6}Z$") & F.try_to_timestamp("tag", F.lit("yyyyMMdd'T'HHmmss'Z'")).isNotNull())
     rank = F.row_number().over(Window.partitionBy("dataset_id").orderBy(F.desc("tag")))
     return ok.withColumn("rank", rank).where(F.col("rank") > keep).select("dataset_id", "tag", "rank")
 

@@ -46,16 +46,42 @@ def conflicting_metadata(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("snapshot_id").agg(F.countDistinct(F.struct("parent_id", "sequence")).alias("n")).where("n > 1").select("snapshot_id")
 
 
-def classify(entries: DataFrame) -> DataFrame:
-    """(snapshot_id, verdict): append only adds data files; deletes or other content block; the rest is a rewrite,
-    which nothing here is trusted for."""
+def changed_identity(snapshots: DataFrame, table_uuid: str, spec_id: int) -> DataFrame:
+    """(snapshot_id, problem) of snapshots (snapshot_id, table_uuid, spec_id) of another table or partition spec."""
+    problem = F.when(~F.col("table_uuid").eqNullSafe(F.lit(table_uuid)), "table_uuid").when(~F.col("spec_id").eqNullSafe(F.lit(spec_id)), "spec_id")
+    return snapshots.withColumn("problem", problem).where("problem is not null").select("snapshot_id", "problem")
+
+
+APPENDS, REWRITES, REMOVALS = ("append", "fast-append"), ("replace", "overwrite"), ("delete", "row_delta")
+
+
+def classify(snapshots: DataFrame, entries: DataFrame) -> DataFrame:
+    """(snapshot_id, verdict) of snapshots (snapshot_id, operation, summary map) by their manifest entries.
+
+    An append must only add data files of its own, and one whose summary says that it added some must
+    have such entries.  Deletes, rewrites (nothing here is trusted to rewrite) and other operations block.
+    """
+    added = (F.col("status") == "ADDED") & (F.col("content") == "DATA")
     per = entries.groupBy("snapshot_id").agg(
-        F.bool_and(F.col("status") == "ADDED").alias("only_added"),
-        F.bool_and(F.col("content") == "DATA").alias("only_data"),
-        F.bool_or(F.col("status") == "DELETED").alias("deletes"),
+        F.bool_or(added).alias("has_data"),
+        F.bool_or((F.col("status") != "EXISTING") & ~F.col("added_by").eqNullSafe(F.col("snapshot_id"))).alias("foreign"),
+        F.bool_or(F.col("status") == "DELETED").alias("removes"),
+        F.bool_or((F.col("status") == "ADDED") & (F.col("content") != "DATA")).alias("delete_file"),
+    )
+    op = F.lower(F.trim("operation"))
+    said = [F.coalesce(F.try_element_at("summary", F.lit(c)), F.lit("0")) for c in ("added-data-files", "added-records")]
+    numbers = [x.try_cast("long") for x in said]
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    append = (
+        F.when(numbers[0].isNull() | numbers[1].isNull(), "MANIFEST_SUMMARY_INVALID")
+        .when(((numbers[0] > 0) | (numbers[1] > 0)) & ~yes("has_data"), "MANIFEST_EVIDENCE_MISSING")
+        .when(yes("foreign"), "MANIFEST_SNAPSHOT_MISMATCH")
+        .when(yes("removes"), "PHYSICAL_DELETE")
+        .when(yes("delete_file"), "DELETE_FILE")
+        .otherwise("APPEND")
     )
-    verdict = F.when(F.col("only_added") & F.col("only_data"), "APPEND").when(~F.col("only_data"), "BLOCKED_CONTENT").when(F.col("deletes"), "BLOCKED_REWRITE").otherwise("BLOCKED_STATUS")
-    return per.select("snapshot_id", verdict.alias("verdict"))
+    verdict = F.when(op.isin(*APPENDS), append).when(op.isin(*REWRITES), "UNTRUSTED_REWRITE").when(op.isin(*REMOVALS), "PHYSICAL_DELETE").otherwise("UNKNOWN_OPERATION")
+    return snapshots.join(per, "snapshot_id", "left").select("snapshot_id", verdict.alias("verdict"))
 
 
 def targets(entries: DataFrame, route: list[str], status: str = "ADDED") -> DataFrame:

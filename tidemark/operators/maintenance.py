@@ -5,17 +5,17 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-import struct
 import time
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.digest import SOURCE_HEADER
-from tidemark.operators import layout, search
+from tidemark.functions.digest import SOURCE_HEADER, long_hex, micros, text_hex
+from tidemark.operators import cdc, layout, search
 from tidemark.sources.versions import VersionConflict, VersionedTable
 
 
@@ -36,9 +36,9 @@ def merge_roles(stored: dict[str, str], new: dict[str, str]) -> dict[str, str]:
     return {**new, **stored}
 
 
-def shuffle_width(rows: int, routes: int, rows_a_partition: int = 250_000, fewest: int = 8, most: int = 4096) -> int:
-    """Shuffle partitions for a window: enough for its rows, no more than help its routes."""
-    return max(fewest, min(most, max(math.ceil(rows / rows_a_partition), min(routes, fewest))))
+def shuffle_width(rows: int, routes: int, rows_a_partition: int = 250_000, routes_a_task: int = 8, most: int = 4096) -> int:
+    """Shuffle partitions for a window: enough for its rows and for its routes."""
+    return max(1, min(most, max(math.ceil(rows / max(1, rows_a_partition)), math.ceil(routes / max(1, routes_a_task)))))
 
 
 def index_needs_work(exists: bool, vector: bool, rows: int, floor: int, uncovered: int, deltas: int, most_deltas: int = 4, rows_at_training: int | None = None) -> str | None:
@@ -86,13 +86,72 @@ def rewrite_clustered(table: VersionedTable, centroids: DataFrame, cap: int) ->
     return table.write(dealt.select(*rows.columns), base)
 
 
-def compact(table: VersionedTable, target_bytes: int = 256 << 20, mean_row_bytes: int = 512) -> int | None:
-    """Publish the current version in fewer files, or None where it has few already."""
+def compaction_skip(files: int, deleted_rows: int = 0) -> str | None:
+    """Why a version needs no compaction, or None: it has one file, and no deleted rows in it."""
+    return "nothing to compact" if files <= 1 and not deleted_rows else None
+
+
+def stored_bytes(table: VersionedTable, version: int) -> int:
+    """Bytes of a version's files, from the file system's summary."""
+    return sum(table._fs.getContentSummary(table._path(f"{table.path}/{f}")).getLength() for f in table.folders(version))
+
+
+def compact(table: VersionedTable, target_bytes: int = 256 << 20) -> int | None:
+    """Publish the current version in files of about ``target_bytes``, or None where it has no more files than that."""
     base = table.current()
+    if base is None:
+        return None
     rows = table.read(base)
     files = len(rows.inputFiles())
-    wanted = max(1, math.ceil(rows.count() * mean_row_bytes / target_bytes))
-    return table.write(rows.coalesce(wanted), base) if files > wanted else None
+    wanted = max(1, math.ceil(stored_bytes(table, base) / target_bytes))
+    if compaction_skip(files) or files <= wanted:
+        return None
+    return table.write(rows.coalesce(wanted), base)
+
+
+def check_retention(seconds: int | None) -> None:
+    if seconds is not None and seconds <= 0:
+        raise ValueError("a retention must be positive")
+
+
+def retain(table: VersionedTable, time_column: str, now: datetime, live_for: int, tombstone_for: int | None = None) -> int | None:
+    """Publish the current version without rows past their retention in seconds (see ``cdc.retained``), or None if all stay."""
+    check_retention(live_for)
+    check_retention(tombstone_for)
+    base = table.current()
+    rows = table.read(base) if base is not None else None
+    if rows is None:
+        return None
+    us = int(now.replace(tzinfo=now.tzinfo or UTC).timestamp()) * 1_000_000
+    kept = cdc.retained(rows, micros(time_column), us, live_for * 1_000_000, None if tombstone_for is None else tombstone_for * 1_000_000)
+    return table.write(kept, base) if kept.count() < rows.count() else None
+
+
+def maintenance_round(tables: dict[str, VersionedTable], steps: dict[str, Callable[[VersionedTable], object]], tries: int = 3) -> list[dict]:
+    """Run steps over tables: a row (table, step, outcome, error) each.  A step that fails does not keep others from
+    running, but later steps of its table wait for the next round; one that loses to another writer runs again."""
+    out = []
+    for name, table in sorted(tables.items()):
+        for step, run in steps.items():
+            row = {"table": name, "step": step, "outcome": None, "error": None}
+            try:
+                done = commit_with_retries(lambda run=run, table=table: run(table), tries, 0)
+                row["outcome"] = "skipped" if done is None else str(done)
+            except Exception as failed:  # an error is the row's result
+                row["error"] = f"{type(failed).__name__}: {failed}"
+            out.append(row)
+            if row["error"]:
+                break
+    return out
+
+
+def pack_files(spark, path: str, out: str, target_bytes: int = 256 << 20) -> int:
+    """Rewrite a folder of a source table's Parquet files in files of about ``target_bytes``; the number of partitions written."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    n = max(1, math.ceil(size / target_bytes))
+    spark.read.parquet(path).coalesce(n).write.mode("errorifexists").parquet(out)
+    return n
 
 
 def commit_with_retries(commit: Callable[[], int], tries: int = 3, pause: float = 0.1) -> int:
@@ -108,24 +167,17 @@ def commit_with_retries(commit: Callable[[], int], tries: int = 3, pause: float
 
 
 def _chunks(batches):
-    """Encodings of sorted rows, joined to about a megabyte."""
-    held, size = [], 0
+    """Encodings of sorted rows, joined to one value a batch."""
     for b in batches:
-        for key, seq, digest in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            raw = key.encode()
-            held.append(struct.pack(">Q", len(raw)) + raw + struct.pack(">q", seq) + bytes.fromhex(digest))
-            size += len(held[-1])
-            if size >= 1 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["chunk"])
-                held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["chunk"])
-
-
-def streamed_source_digest(rows: DataFrame, key: str, sequence: str, digest: str, partitions: int = 8) -> str:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(b.column(0).to_pylist())], pa.binary())], names=["chunk"])
+
+
+def streamed_source_digest(rows: DataFrame, key: str, sequence: str, digest: str, partitions: int | None = None) -> str:
     """The source digest of one route of any size: rows are dealt by ranges of the key's bytes, encoded where
     they are, and streamed in order through one hash, a partition at a time."""
-    ordered = rows.select(key, sequence, digest).repartitionByRange(partitions, key).sortWithinPartitions(key)
+    entry = F.unhex(F.concat(text_hex(F.col(key)), long_hex(F.col(sequence)), F.upper(F.col(digest)))).alias("entry")
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.select(F.col(key).alias("key"), entry).repartitionByRange(n, "key").sortWithinPartitions("key").select("entry")
     h = hashlib.sha256(SOURCE_HEADER.encode())
     for r in ordered.mapInArrow(_chunks, "chunk binary").toLocalIterator():
         h.update(r.chunk)

@@ -60,8 +60,8 @@ def completed_snapshots(work: DataFrame) -> DataFrame:
     return work.where("source_seq is not null").groupBy("source_id", "source_seq").agg(F.bool_and(F.col("state") == "SUCCEEDED").alias("done")).where("done").select("source_id", "source_seq")
 
 
-def status(work: DataFrame, snapshots: DataFrame, now: int) -> DataFrame:
-    """One row: open work by state, due and blocked counts, the oldest open time."""
+def status(work: DataFrame, snapshots: DataFrame, publications: DataFrame, now: int) -> DataFrame:
+    """One row: open work by state, due and blocked counts, the oldest open time, the retention floor."""
     w = work.where("state <> 'SUCCEEDED'").agg(
         F.count_if(F.col("state") == "PENDING").alias("pending"),
         F.count_if(F.col("state") == "RETRY").alias("retry"),
@@ -70,7 +70,8 @@ def status(work: DataFrame, snapshots: DataFrame, now: int) -> DataFrame:
         F.count_if(F.col("state").isin("PENDING", "RETRY") & (F.col("due_at") <= now)).alias("due"),
         F.min("created_at").alias("oldest_open"),
     )
-    return w.join(snapshots.agg(F.count_if(F.col("state") == "BLOCKED").alias("blocked_snapshots")))  # one row each
+    blocked = snapshots.agg(F.count_if(F.col("state") == "BLOCKED").alias("blocked_snapshots"))
+    return w.join(blocked).join(retention_floor(work, snapshots, publications))  # one row each
 
 
 def health(status_row: DataFrame, now: int, most_due: int, most_age: int) -> DataFrame:
@@ -106,3 +107,18 @@ def serving_routes(datasets: DataFrame, publications: DataFrame) -> DataFrame:
     """Each active dataset with the publication it serves."""
     p = publications.select(F.col("publication_id").alias("active_publication_id"), F.col("version").alias("served_version"))
     return datasets.where("lifecycle = 'ACTIVE'").join(p, "active_publication_id").select("dataset_id", "active_publication_id", "served_version")
+
+
+def resolved_routes(datasets: DataFrame, publications: DataFrame, specs: DataFrame) -> DataFrame:
+    """(route, rows, dataset_id, problem): active datasets of a route with their live active publication and its spec.
+
+    A route that more than one row answers is ambiguous and names no dataset."""
+    p = publications.where("retired_at is null").select(F.col("publication_id").alias("active_publication_id"), "spec_id")
+    rows = datasets.where("lifecycle = 'ACTIVE'").join(p, "active_publication_id").join(specs, "spec_id")
+    per = rows.groupBy("route").agg(F.count("*").alias("rows"), F.min("dataset_id").alias("least"))
+    return per.select("route", "rows", F.when(F.col("rows") == 1, F.col("least")).alias("dataset_id"), F.when(F.col("rows") > 1, "AMBIGUOUS_ROUTE").alias("problem"))
+
+
+def claimable_datasets(work: DataFrame, snapshots: DataFrame, datasets: DataFrame, now: int, limit: int) -> DataFrame:
+    """Claimable work with its active dataset's columns; what a claim locks are the rows of both."""
+    return claimable(work, snapshots, now, limit).join(datasets.where("lifecycle = 'ACTIVE'"), "dataset_id")

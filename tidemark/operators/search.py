@@ -17,6 +17,8 @@ RRF_K = 60
 #: Rows of a query set that meet the vectors in one task, and that are broadcast at most.
 QUERY_BLOCK = 1_000
 K1, B = 1.2, 0.75
+#: Distinct terms of a batch of queries, at most.
+MOST_TERMS = 4096
 #: Weight of the vector leg by mode; None fuses by reciprocal ranks.
 MODES = {"balanced": None, "semantic": 0.8, "lexical": 0.2}
 
@@ -34,6 +36,11 @@ def in_blocks(queries: DataFrame) -> DataFrame:
     return F.broadcast(queries) if blocks <= 1 else queries.repartition(blocks, "query_id").hint("shuffle_replicate_nl")
 
 
+def checked_distance(metric: str, a: Column, b: Column) -> Column:
+    """The distance; vectors of different dimensions are an error when the row is computed."""
+    return F.when(F.size(a) == F.size(b), V.distance(metric, a, b)).otherwise(F.raise_error(F.lit("vectors of different dimensions")).cast("double"))
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str, live: Column | None = None) -> DataFrame:
     """(query_id, record_id, distance, rank) of each query's k nearest vectors.
 
@@ -44,27 +51,33 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str, live: Colum
     rows = vectors if live is None else vectors.where(live)
     rows = rows.where("vector is not null").select("record_id", "vector")
     pairs = rows.join(in_blocks(queries.select("query_id", F.col("vector").alias("query_vector"))))
-    scored = pairs.select("query_id", "record_id", V.distance(metric, F.col("vector"), F.col("query_vector")).alias("distance"))
+    scored = pairs.select("query_id", "record_id", checked_distance(metric, F.col("vector"), F.col("query_vector")).alias("distance"))
     return top_k(scored, k, F.col("distance"))
 
 
-def nearest_centroid(vectors: DataFrame, centroids: DataFrame, metric: str = "l2") -> DataFrame:
-    """(record_id, pid): the centroid with the least (distance, pid); null vectors get the last partition.
+def placed(vectors: DataFrame, centroids: DataFrame, metric: str = "l2") -> DataFrame:
+    """Vectors with all their columns and ``pid``: the centroid with the least (distance, pid); null vectors get the last partition.
 
-    Centroids are a model of a fixed number of rows, sent as one array; no pair becomes a row."""
+    Centroids are a model of at most ``layout.MOST`` rows, sent as one array; no pair becomes a row."""
     all_ = centroids.agg(F.sort_array(F.collect_list(F.struct("pid", "centroid"))).alias("cs"))
     rows = vectors.join(F.broadcast(all_))
-    best = F.array_min(F.transform("cs", lambda c: F.struct(V.distance(metric, F.col("vector"), c["centroid"]).alias("d"), c["pid"].alias("pid"))))
-    return rows.select("record_id", F.coalesce(F.when(F.col("vector").isNotNull(), best["pid"]), F.size("cs").cast("long")).alias("pid"))
+    best = F.array_min(F.transform("cs", lambda c: F.struct(checked_distance(metric, F.col("vector"), c["centroid"]).alias("d"), c["pid"].alias("pid"))))
+    return rows.withColumn("pid", F.coalesce(F.when(F.col("vector").isNotNull(), best["pid"]), F.size("cs").cast("long"))).drop("cs")
+
+
+def nearest_centroid(vectors: DataFrame, centroids: DataFrame, metric: str = "l2") -> DataFrame:
+    """(record_id, pid) of ``placed``."""
+    return placed(vectors, centroids, metric).select("record_id", "pid")
 
 
 def ivf_knn(vectors: DataFrame, centroids: DataFrame, queries: DataFrame, k: int, probes: int, metric: str = "l2") -> DataFrame:
-    """As ``knn`` over the vectors of each query's nearest partitions only; recall can be below 1."""
-    placed = vectors.join(nearest_centroid(vectors, centroids, metric), "record_id")
+    """As ``knn`` over the vectors of each query's nearest partitions only; recall can be below 1.
+
+    The partitions are worked out here; ``vector_index`` keeps them."""
     near = knn(centroids.select(F.col("pid").alias("record_id"), F.col("centroid").alias("vector")), queries, probes, metric)
     wanted = near.select("query_id", F.col("record_id").alias("pid")).join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-    pairs = placed.join(in_blocks(wanted), "pid")  # probes rows a query
-    return top_k(pairs.select("query_id", "record_id", V.distance(metric, F.col("vector"), F.col("query_vector")).alias("distance")), k, F.col("distance"))
+    pairs = placed(vectors.select("record_id", "vector"), centroids, metric).join(in_blocks(wanted), "pid")  # probes rows a query
+    return top_k(pairs.select("query_id", "record_id", checked_distance(metric, F.col("vector"), F.col("query_vector")).alias("distance")), k, F.col("distance"))
 
 
 def postings(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -77,32 +90,46 @@ def corpus_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.agg(F.count("*").alias("n"), F.coalesce(F.avg(F.size(T.tokens(F.col(text)))), F.lit(1.0)).alias("avgdl"))
 
 
+def score_postings(tf: DataFrame, terms: DataFrame, n: Column, avgdl: Column) -> DataFrame:
+    """(query_id, record_id, score, matched): BM25 of rows (query_id, term) over the postings (record_id, dl, term, tf) of
+    their terms, in a corpus of n documents of mean length avgdl."""
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))  # a row a query term
+    rows = tf.join(df.join(terms, "term"), "term")
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
+    return rows.withColumn("part", part).groupBy("query_id", "record_id").agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
+
+
 def bm25_scores(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """(query_id, record_id, score, matched): BM25 of rows (query_id, term) over all documents.
 
-    Terms of a query count once.  Only postings of query terms are counted and shuffled."""
+    Terms of a query count once.  One scan makes the postings of query terms, and one row a task of the
+    corpus statistics; only these are shuffled.  ``text_index`` keeps postings of all terms."""
     terms = terms.select("query_id", "term").distinct()
-    stats = docs.select(F.col("record_id"), T.tokens(F.col(text)).alias("toks"))
-    totals = stats.agg(F.count("*").alias("n"), F.avg(F.size("toks")).alias("mean")).select("n", F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0).alias("avgdl"))
-    hits = stats.select("record_id", F.size("toks").alias("dl"), F.explode("toks").alias("term")).join(F.broadcast(terms.select("term").distinct()), "term")
-    tf = hits.groupBy("record_id", "dl", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    rows = tf.join(F.broadcast(df), "term").join(F.broadcast(totals)).join(F.broadcast(terms), "term")
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return rows.withColumn("part", part).groupBy("query_id", "record_id").agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
+    wanted = sorted(r[0] for r in terms.select("term").distinct().limit(MOST_TERMS + 1).collect() if r[0] is not None)
+    if len(wanted) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    toks = docs.select("record_id", T.tokens(F.col(text)).alias("toks"))
+    toks = toks.select("record_id", F.size("toks").alias("dl"), F.filter("toks", lambda t: t.isin(wanted)).alias("own"))
+    totals = toks.agg(F.count("*").alias("n"), F.avg("dl").alias("mean")).select("n", F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0).alias("avgdl")).first()
+    tf = toks.where(F.size("own") > 0).select("record_id", "dl", F.explode("own").alias("term")).groupBy("record_id", "dl", "term").agg(F.count("*").alias("tf"))
+    return score_postings(tf, terms, F.lit(totals.n), F.lit(totals.avgdl))
 
 
-def bm25(docs: DataFrame, terms: DataFrame, k: int, operator: str = "or", text: str = "text", digits: int = 9) -> DataFrame:
+def best(scores: DataFrame, terms: DataFrame, k: int, operator: str = "or", digits: int = 9) -> DataFrame:
     """The k best documents of each query; ``and`` asks for all its terms."""
-    scores = bm25_scores(docs, terms, text)
     if operator == "and":
-        need = terms.distinct().groupBy("query_id").agg(F.count("*").alias("need"))
-        scores = scores.join(F.broadcast(need), "query_id").where("matched = need")
+        need = terms.select("query_id", "term").distinct().groupBy("query_id").agg(F.count("*").alias("need"))
+        scores = scores.join(need, "query_id").where("matched = need")
     scores = scores.select("query_id", "record_id", F.round("score", digits).alias("score"))
     return top_k(scores, k, F.desc("score"))
 
 
+def bm25(docs: DataFrame, terms: DataFrame, k: int, operator: str = "or", text: str = "text", digits: int = 9) -> DataFrame:
+    """The k best documents of each query by BM25 over all documents."""
+    return best(bm25_scores(docs, terms, text), terms, k, operator, digits)
+
+
 def phrase(docs: DataFrame, words: list[str], slop: int = 0, text: str = "text") -> DataFrame:
     """(record_id, places) of documents where the words stand in order, with at most ``slop`` words between them in all."""
     toks = docs.select("record_id", T.tokens(F.col(text)).alias("toks"))
@@ -110,26 +137,32 @@ def phrase(docs: DataFrame, words: list[str], slop: int = 0, text: str = "text")
     def at(word: str) -> Column:
         return F.filter(F.transform("toks", lambda t, i: F.when(t == word, i)), lambda i: i.isNotNull())
 
-    def after(places: str, end: Column) -> Column:
-        return F.array_min(F.filter(places, lambda x: x > end))
-
-    places = [at(w).alias(f"p{n}") for n, w in enumerate(words)]
-    rows = toks.select("record_id", *places)
+    rows = toks.select("record_id", *[at(w).alias(f"p{n}") for n, w in enumerate(words)])
     for n in range(len(words)):
         rows = rows.where(F.size(f"p{n}") > 0)
+    return phrase_places(rows, len(words), slop)
+
+
+def phrase_places(rows: DataFrame, words: int, slop: int) -> DataFrame:
+    """(record_id, places) for rows (record_id, p0, p1, ...) with the places of each word of a phrase, ascending."""
+
+    def after(places: str, end: Column) -> Column:
+        return F.array_min(F.filter(places, lambda x: x > end))
 
     def fits(i: Column) -> Column:
         # the place of each next word is the first after the one before
         end = i
-        for n in range(1, len(words)):
+        for n in range(1, words):
             end = after(f"p{n}", end)
-        return F.coalesce((end - i + 1 - len(words)) <= slop, F.lit(False))
+        return F.coalesce((end - i + 1 - words) <= slop, F.lit(False))
 
     return rows.select("record_id", F.size(F.filter("p0", fits)).alias("places")).where("places > 0")
 
 
 def fuzzy_terms(vocabulary: DataFrame, terms: DataFrame, distance: int, prefix: int = 0) -> DataFrame:
     """(query_id, term) of vocabulary terms within an edit distance of a query term that begin alike."""
+    if terms.limit(MOST_TERMS + 1).count() > MOST_TERMS:  # they are broadcast
+        raise ValueError(f"more than {MOST_TERMS} terms")
     t = terms.select("query_id", F.col("term").alias("wanted"))
     near = F.levenshtein("term", "wanted") <= distance
     near = near & (F.abs(F.length("term") - F.length("wanted")) <= distance)
@@ -166,8 +199,14 @@ def multi_match(docs: DataFrame, terms: DataFrame, boosts: dict[str, float]) ->
     return out.groupBy("query_id", "record_id").agg(F.sum("score").alias("score"))
 
 
+def underfilled(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, missing) of queries that have fewer than k hits."""
+    n = hits.groupBy("query_id").agg(F.count("*").alias("n"))
+    return queries.select("query_id").join(n, "query_id", "left").select("query_id", (k - F.coalesce("n", F.lit(0))).alias("missing")).where("missing > 0")
+
+
 def best_per_record(hits: DataFrame, ascending: bool) -> DataFrame:
-    """One hit a record, the best, ranked anew."""
+    """One hit a record, the best, ranked anew; ``underfilled`` tells which queries lost hits by it."""
     agg = F.min("score") if ascending else F.max("score")
     best = hits.groupBy("query_id", "record_id").agg(agg.alias("score"))
     order = F.asc("score") if ascending else F.desc("score")

@@ -134,6 +134,36 @@ def row_rule_flags(spark, sf):
     return cdc.rule_flags(rows, rules)
 
 
+def _odd_rows(spark, sf):
+    """Mutations with a payload map and a vector, some of each kind that a rule is about."""
+    n, x = F.col("source_sequence"), F.col("amount")
+    vector = F.when(n % 101 == 3, None).when(n % 103 == 4, F.array(x)).when(n % 107 == 5, F.array(x, F.lit(None).cast("double"))).when(n % 109 == 6, F.array(x, F.lit(float("nan")))).when(n % 113 == 7, F.array(x, F.lit(float("inf")))).otherwise(F.array(x, x))
+    meta = F.create_map(F.when(n % 127 == 8, "colour").otherwise("kind"), F.col("kind"))
+    return tables.mutations(spark, sf).withColumns({"op": F.when(n % 131 == 9, "merge").otherwise(F.col("op")), "ts": F.when(n % 137 != 10, F.col("ts")), "vector": vector, "meta": meta})
+
+
+def source_profile(spark, sf):
+    """Which rules each route's rows break."""
+    rules = cdc.source_rules("ts", "op", "meta", ["kind", "day"], "vector", 2)
+    rows = _odd_rows(spark, sf)
+    return rows.groupBy("org_id").agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+
+
+def envelope_check(spark, sf):
+    rows = _odd_rows(spark, sf)
+    return cdc.envelope_violations(rows, ["tenant_id", "namespace", "org_id", "record_id", "op", "ts"], cdc.source_rules("ts", "op", "meta", ["kind", "day"], "vector", 2))
+
+
+def post_images(spark, sf):
+    m = tables.mutations(spark, sf).withColumn("meta", F.map_filter(F.create_map(F.lit("kind"), F.col("kind"), F.lit("day"), F.when(F.col("source_sequence") % 2 == 0, F.col("day"))), lambda _, v: v.isNotNull()))
+    return cdc.post_image(m.select("source_sequence", "meta"), "meta", ["kind", "day", "colour"])
+
+
+def key_lookup(spark, sf):
+    a, b = _halves(spark, sf)
+    return cdc.key_lookup(a, b.where("source_sequence % 5 = 0"), KEYS).select(*KEYS, "source_sequence")
+
+
 def map_pivot(spark, sf):
     m = tables.mutations(spark, sf).withColumn("meta", F.map_filter(F.create_map(F.lit("kind"), F.col("kind"), F.lit("day"), F.when(F.col("source_sequence") % 2 == 0, F.col("day"))), lambda _, v: v.isNotNull()))
     return m.select("source_sequence", *cdc.map_fields("meta", ["kind", "day", "colour"]))
@@ -172,9 +202,19 @@ def sample_every(spark, sf):
     return sampled(tables.mutations(spark, sf), "source_sequence", "org_id", 0.3).select("org_id", "source_sequence")
 
 
-QUERIES = {f.__name__: f for f in (op_normalise, event_digest, lww_state, live_count_by_route, conflict_keys, exact_dup_collapse, merge_upsert, merge_noop, same_sequence_conflicts, tombstones, rebuild_winners, retention_two_clock, baseline_conflicts, candidate_counts, merge_input_violations, row_rule_flags, map_pivot, unknown_map_keys, source_digest, window_scan, time_window, sample_every)}
+QUERIES = {f.__name__: f for f in (op_normalise, event_digest, lww_state, live_count_by_route, conflict_keys, exact_dup_collapse, merge_upsert, merge_noop, same_sequence_conflicts, tombstones, rebuild_winners, retention_two_clock, baseline_conflicts, candidate_counts, merge_input_violations, row_rule_flags, map_pivot, unknown_map_keys, source_digest, window_scan, time_window, sample_every, source_profile, envelope_check, post_images, key_lookup)}
 
+_ODD = """,, o AS (SELECT org_id, source_sequence AS n, CASE WHEN source_sequence % 131 = 9 THEN 'merge' ELSE op END AS op, amount AS x, ts IS NULL OR source_sequence % 137 = 10 AS null_ts FROM m),
+b AS (SELECT org_id, null_ts, op = 'merge' AS bad_op, n % 127 = 8 AS unknown_keys, op IN ('insert', 'update', 'upsert') AND n % 101 = 3 AS missing_vector, op IN ('insert', 'update', 'upsert') AND n % 101 <> 3 AND n % 103 = 4 AS wrong_size,
+  op IN ('insert', 'update', 'upsert') AND n % 101 <> 3 AND (x IS NULL OR (n % 103 <> 4 AND n % 107 = 5)) AS null_element,
+  op IN ('insert', 'update', 'upsert') AND n % 101 <> 3 AND (coalesce(isnan(x), false) OR (n % 103 <> 4 AND n % 107 <> 5 AND n % 109 = 6)) AS nan_element,
+  op IN ('insert', 'update', 'upsert') AND n % 101 <> 3 AND (coalesce(isinf(x), false) OR (n % 103 <> 4 AND n % 107 <> 5 AND n % 109 <> 6 AND n % 113 = 7)) AS infinite_element FROM o)"""
+_RULES = ("null_ts", "bad_op", "unknown_keys", "missing_vector", "wrong_size", "null_element", "nan_element", "infinite_element")
 ORACLES = {
+    "source_profile": sql(_ODD + " SELECT org_id, " + ", ".join(f"count(*) FILTER ({r}) AS {r}" for r in _RULES) + " FROM b GROUP BY org_id", "m"),
+    "envelope_check": sql(_ODD + " SELECT count(*) FILTER (null_ts) AS null_envelope, " + ", ".join(f"max(CAST({r} AS INTEGER)) AS {r}" for r in _RULES) + " FROM b", "m"),
+    "post_images": sql("SELECT source_sequence, kind, CASE WHEN source_sequence % 2 = 0 THEN day END AS day, CAST(NULL AS VARCHAR) AS colour FROM m", "m"),
+    "key_lookup": sql(_T + _HALVES + f" SELECT {K}, a.source_sequence FROM a WHERE EXISTS (SELECT 1 FROM b WHERE " + " AND ".join(f"b.{k} = a.{k}" for k in KEYS) + " AND b.source_sequence % 5 = 0)", "m"),
     "op_normalise": sql(f"SELECT op, {_KIND} AS op_kind, count(*) AS n FROM m GROUP BY ALL", "m"),
     "event_digest": sql(_T + " SELECT source_sequence, event_digest FROM t", "m"),
     "lww_state": sql(_T + _L + f" SELECT {K}, source_sequence, op_kind, is_deleted, kind, amount FROM l", "m"),
@@ -182,7 +222,7 @@ ORACLES = {
     "conflict_keys": sql(_T + f" SELECT {K}, window_seq FROM t GROUP BY ALL HAVING count(DISTINCT event_digest) > 1", "m"),
     "exact_dup_collapse": sql(_T + " SELECT org_id, count(DISTINCT source_sequence) AS n, count(DISTINCT event_digest) AS digests FROM t GROUP BY org_id", "m"),
     "merge_upsert": sql(_T + _HALVES + _BOTH + f" SELECT {K}, source_sequence, event_digest, is_deleted, kind, day FROM ab", "m"),
-    "merge_noop": sql(_T + _HALVES + f" SELECT CAST(0 AS BIGINT) AS advancing, CAST(0 AS BIGINT) AS unreconciled, (SELECT count(*) FROM b LEFT JOIN a USING ({K}) WHERE a.source_sequence IS NULL OR a.source_sequence < b.source_sequence) AS advancing_before", "m"),
+    "merge_noop": sql(_T + _HALVES + _BOTH + f" SELECT (SELECT count(*) FROM b LEFT JOIN ab USING ({K}) WHERE ab.source_sequence IS NULL OR ab.source_sequence < b.source_sequence) AS advancing, (SELECT count(*) FROM b LEFT JOIN ab USING ({K}) WHERE ab.source_sequence IS NULL OR ab.source_sequence < b.source_sequence OR (ab.source_sequence = b.source_sequence AND ab.event_digest <> b.event_digest)) AS unreconciled, (SELECT count(*) FROM b LEFT JOIN a USING ({K}) WHERE a.source_sequence IS NULL OR a.source_sequence < b.source_sequence) AS advancing_before", "m"),
     "same_sequence_conflicts": sql(_T + _HALVES + f" SELECT {K} FROM a WHERE source_sequence % 5 = 0", "m"),
     "tombstones": sql(_T + _L + f" SELECT {K}, source_sequence, kind IS NULL AS cleared FROM l WHERE is_deleted", "m"),
     "rebuild_winners": sql(_T + f", x AS (SELECT *, max(window_seq) OVER (PARTITION BY {K}) AS top FROM t) SELECT {K}, top AS source_sequence, count(DISTINCT event_digest) AS n_digests, min(event_digest) AS event_digest, min(is_deleted) AS is_deleted FROM x WHERE window_seq = top GROUP BY {K}, top", "m"),
@@ -190,9 +230,9 @@ ORACLES = {
     "baseline_conflicts": sql(_T + f", x AS (SELECT {K}, ts_us // 3600000000 AS hour FROM t GROUP BY ALL HAVING count(DISTINCT event_digest) > 1) SELECT org_id, count(*) AS conflicts FROM x GROUP BY org_id", "m"),
     "candidate_counts": sql(_T + f" SELECT count(*) AS total, count(DISTINCT ({K})) AS distinct_keys, count(*) FILTER (NOT is_deleted) AS live, count(DISTINCT ({K})) FILTER (NOT is_deleted) AS live_keys FROM t", "m"),
     "merge_input_violations": sql(_T + f" SELECT count(*) FILTER (record_id IS NULL) AS null_keys, CAST(0 AS BIGINT) AS bad_lineage, count(*) FILTER (is_deleted AND source_sequence % 10 = 0) AS uncleared_tombstones, (SELECT count(*) FROM (SELECT {K} FROM t GROUP BY ALL HAVING count(*) > 1)) AS duplicate_keys FROM t", "m"),
-    "row_rule_flags": sql("SELECT CAST(max(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS null_ts, 0 AS bad_op, CAST(max(CASE WHEN source_sequence % 100 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wrong_size, CAST(max(CASE WHEN isnan(amount) THEN 1 ELSE 0 END) AS INTEGER) AS not_finite, CAST(max(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS missing_amount FROM m", "m"),
+    "row_rule_flags": sql("SELECT CAST(max(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS null_ts, CAST(max(CASE WHEN op NOT IN ('insert', 'update', 'upsert', 'delete') THEN 1 ELSE 0 END) AS INTEGER) AS bad_op, CAST(max(CASE WHEN source_sequence % 100 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wrong_size, CAST(max(CASE WHEN isnan(amount) THEN 1 ELSE 0 END) AS INTEGER) AS not_finite, CAST(max(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS missing_amount FROM m", "m"),
     "map_pivot": sql("SELECT source_sequence, kind, CASE WHEN source_sequence % 2 = 0 THEN day END AS day, CAST(NULL AS VARCHAR) AS colour FROM m", "m"),
-    "unknown_map_keys": sql("SELECT 'k2' AS key, count(*) AS n FROM m WHERE source_sequence % 3 = 2", "m"),
+    "unknown_map_keys": sql("SELECT 'k' || (source_sequence % 3) AS key, count(*) AS n FROM m WHERE 'k' || (source_sequence % 3) NOT IN ('k0', 'k1') GROUP BY 1", "m"),
     "source_digest": sql(_T + _L + f" SELECT tenant_id, namespace, org_id, sha256(unhex('{D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({_TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l GROUP BY ALL", "m"),
     "window_scan": sql("""SELECT scan, count(*) AS n, max(source_sequence) AS last FROM (
   SELECT 'baseline' AS scan, source_sequence FROM m WHERE window_seq <= 10 UNION ALL SELECT 'append', source_sequence FROM m WHERE window_seq > 7 AND window_seq <= 10

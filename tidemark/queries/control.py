@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import layout, lineage, queue
+from tidemark.operators import layout, lineage, qualification, queue
 from tidemark.sources import tables
 from tidemark.sources.tables import sql
 
@@ -16,7 +16,11 @@ def lineage_check(spark, sf):
 
 
 def snapshot_classify(spark, sf):
-    return lineage.classify(tables.manifest(spark, sf))
+    return lineage.classify(tables.snapshot_meta(spark, sf), tables.manifest(spark, sf))
+
+
+def snapshot_identity(spark, sf):
+    return lineage.changed_identity(tables.snapshot_meta(spark, sf), "main", 1)
 
 
 def added_targets(spark, sf):
@@ -28,7 +32,7 @@ def baseline_targets(spark, sf):
 
 
 def incremental_plan(spark, sf):
-    rows = lineage.classify(tables.manifest(spark, sf)).join(tables.snapshots(spark, sf).select("chain", "snapshot_id", "sequence"), "snapshot_id")
+    rows = snapshot_classify(spark, sf).join(tables.snapshots(spark, sf).select("chain", "snapshot_id", "sequence"), "snapshot_id")
     return lineage.accepted_prefix(rows)
 
 
@@ -65,12 +69,16 @@ def completed_snapshots(spark, sf):
     return queue.completed_snapshots(tables.work(spark, sf))
 
 
+def _status(spark, sf):
+    return queue.status(tables.work(spark, sf), tables.snapshots(spark, sf), tables.publications(spark, sf), 500)
+
+
 def queue_status(spark, sf):
-    return queue.status(tables.work(spark, sf), tables.snapshots(spark, sf), 500)
+    return _status(spark, sf)
 
 
 def health_rules(spark, sf):
-    return queue.health(queue.status(tables.work(spark, sf), tables.snapshots(spark, sf), 500), 6000, 100, 7000).select("reasons", "healthy")
+    return queue.health(_status(spark, sf), 6000, 100, 7000).select("reasons", "healthy")
 
 
 def retention_floor(spark, sf):
@@ -85,6 +93,40 @@ def serving_routes(spark, sf):
     return queue.serving_routes(tables.datasets(spark, sf), tables.publications(spark, sf))
 
 
+def ambiguous_routes(spark, sf):
+    """Datasets joined with publications and specs: routes that more than one row answers, and those that one does."""
+    d = tables.datasets(spark, sf).withColumn("route", F.concat(F.lit("r"), (F.col("dataset_id") % 1000).cast("string")))
+    return queue.resolved_routes(d, tables.publications(spark, sf), tables.specs(spark))
+
+
+def claim_with_datasets(spark, sf):
+    return queue.claimable_datasets(tables.work(spark, sf), tables.snapshots(spark, sf), tables.datasets(spark, sf), 500, 200).select("work_id", "dataset_id", "uri")
+
+
+def retention_decision(spark, sf):
+    status = retention_floor(spark, sf).select("floor", F.lit(None).cast("long").alias("parent_snapshot_id"), F.lit(7).cast("long").alias("snapshot_id"))
+    return qualification.retention_decision(status)
+
+
+def qualification_gate(spark, sf):
+    t = tables.index_targets(spark, sf)
+    gaps = qualification.index_gaps(t.select("dataset_id", "name", "kind", "column"), t.where("exists").select("dataset_id", "name", "actual_kind", "actual_column", "uncovered", "generation"))
+    return qualification.gate(tables.candidates(spark, sf), gaps)
+
+
+def index_plan(spark, sf):
+    return qualification.index_plan(tables.index_targets(spark, sf))
+
+
+def index_plan_rebuild(spark, sf):
+    return qualification.index_plan(tables.index_targets(spark, sf), rebuild=True).groupBy("name", "mode").agg(F.count("*").alias("n"), F.sum("shards").alias("shards"))
+
+
+def even_split(spark, sf):
+    files = tables.manifest(spark, sf).select("file_id").distinct()
+    return layout.even_split(files, 7, "file_id").groupBy("shard").agg(F.count("*").alias("n"), F.min("file_id").alias("first"), F.max("file_id").alias("last"))
+
+
 def cleanup_slots(spark, sf):
     active = layout.active_slot(1706572800, 6, 12)
     d = tables.datasets(spark, sf).select("dataset_id", layout.cleanup_slot(F.col("uri"), 12).alias("slot"))
@@ -113,27 +155,48 @@ def committable_segments(spark, sf):
     return layout.committable(m.select(F.col("snapshot_id").alias("segment_id"), "file_id"), m.where("status <> 'DELETED'"))
 
 
-QUERIES = {f.__name__: f for f in (lineage_check, snapshot_classify, added_targets, baseline_targets, incremental_plan, partition_spec_ids, conflicting_snapshots, claim_order, anti_join_lane, source_gate, expired_leases, stale_work, completed_snapshots, queue_status, health_rules, retention_floor, publication_cleanup, serving_routes, cleanup_slots, tag_pruning, index_build_merge, index_coverage, committable_segments)}
+QUERIES = {f.__name__: f for f in (lineage_check, snapshot_classify, added_targets, baseline_targets, incremental_plan, partition_spec_ids, conflicting_snapshots, claim_order, anti_join_lane, source_gate, expired_leases, stale_work, completed_snapshots, queue_status, health_rules, retention_floor, publication_cleanup, serving_routes, cleanup_slots, tag_pruning, index_build_merge, index_coverage, committable_segments, snapshot_identity, ambiguous_routes, claim_with_datasets, retention_decision, qualification_gate, index_plan, index_plan_rebuild, even_split)}
 
-_CLASSIFY = """SELECT snapshot_id, CASE WHEN bool_and(status = 'ADDED') AND bool_and(content = 'DATA') THEN 'APPEND' WHEN NOT bool_and(content = 'DATA') THEN 'BLOCKED_CONTENT'
-  WHEN bool_or(status = 'DELETED') THEN 'BLOCKED_REWRITE' ELSE 'BLOCKED_STATUS' END AS verdict FROM mf GROUP BY snapshot_id"""
+_CLASSIFY = """SELECT sm.snapshot_id, CASE WHEN lower(trim(operation)) IN ('append', 'fast-append') THEN
+    CASE WHEN try_cast(added_files AS BIGINT) IS NULL THEN 'MANIFEST_SUMMARY_INVALID' WHEN try_cast(added_files AS BIGINT) > 0 AND NOT coalesce(has_data, false) THEN 'MANIFEST_EVIDENCE_MISSING'
+    WHEN coalesce(strange, false) THEN 'MANIFEST_SNAPSHOT_MISMATCH' WHEN coalesce(removes, false) THEN 'PHYSICAL_DELETE' WHEN coalesce(delete_file, false) THEN 'DELETE_FILE' ELSE 'APPEND' END
+  WHEN lower(trim(operation)) IN ('replace', 'overwrite') THEN 'UNTRUSTED_REWRITE' WHEN lower(trim(operation)) IN ('delete', 'row_delta') THEN 'PHYSICAL_DELETE' ELSE 'UNKNOWN_OPERATION' END AS verdict
+  FROM sm LEFT JOIN (SELECT snapshot_id, bool_or(status = 'ADDED' AND content = 'DATA') AS has_data, bool_or(status <> 'EXISTING' AND added_by <> snapshot_id) AS strange, bool_or(status = 'DELETED') AS removes,
+    bool_or(status = 'ADDED' AND content <> 'DATA') AS delete_file FROM mf GROUP BY snapshot_id) m ON m.snapshot_id = sm.snapshot_id"""
 _SEQ, _RANK = "coalesce({0}.source_seq, 9223372036854775807)", "CASE WHEN {0}.kind = 'INGEST' THEN 0 ELSE 1 END"
 _PRECEDES = f"({_SEQ.format('e')} < {_SEQ.format('x')} OR ({_SEQ.format('e')} = {_SEQ.format('x')} AND {_RANK.format('e')} < {_RANK.format('x')}))"
 _LANE = f"NOT EXISTS (SELECT 1 FROM w e WHERE e.dataset_id = x.dataset_id AND e.work_id <> x.work_id AND e.state <> 'SUCCEEDED' AND {_PRECEDES})"
 _GATE = "(kind <> 'INGEST' OR NOT EXISTS (SELECT 1 FROM s WHERE s.source_id = x.source_id AND s.state = 'BLOCKED'))"
 _ORDER = "source_seq NULLS LAST, CASE WHEN kind = 'INGEST' THEN 0 ELSE 1 END, created_at, work_id"
+_FLOOR = "SELECT min(q) FROM (SELECT source_seq AS q FROM w WHERE state <> 'SUCCEEDED' AND source_seq IS NOT NULL UNION ALL SELECT sequence FROM s WHERE state <> 'COMPLETE' UNION ALL SELECT source_seq FROM p WHERE retired_at IS NULL)"
 _STATUS = """SELECT count(*) FILTER (state = 'PENDING') AS pending, count(*) FILTER (state = 'RETRY') AS retry, count(*) FILTER (state = 'RUNNING') AS running, count(*) FILTER (state = 'BLOCKED') AS blocked,
-  count(*) FILTER (state IN ('PENDING', 'RETRY') AND due_at <= 500) AS due, min(created_at) AS oldest_open, (SELECT count(*) FROM s WHERE state = 'BLOCKED') AS blocked_snapshots FROM w WHERE state <> 'SUCCEEDED'"""
+  count(*) FILTER (state IN ('PENDING', 'RETRY') AND due_at <= 500) AS due, min(created_at) AS oldest_open, (SELECT count(*) FROM s WHERE state = 'BLOCKED') AS blocked_snapshots, (""" + _FLOOR + ") AS floor FROM w WHERE state <> 'SUCCEEDED'"
+
+_CLAIM = f""",, x AS (SELECT * FROM w x WHERE state IN ('PENDING', 'RETRY') AND due_at <= 500 AND {_GATE} AND NOT EXISTS (SELECT 1 FROM w e WHERE e.dataset_id = x.dataset_id AND e.work_id <> x.work_id AND e.state <> 'SUCCEEDED' AND {_GATE.replace('x.source_id', 'e.source_id').replace('(kind', '(e.kind')} AND {_PRECEDES})),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY {_ORDER}) = 1)"""
+_STALE = "kind = 'IVF' AND coalesce(rows > 4 * rows_at_training, false)"
+
+
+def _plan_sql(rebuild: bool) -> str:
+    r = "true" if rebuild else "false"
+    return f""",, x AS (SELECT *, {r} OR (CASE WHEN NOT exists THEN kind <> 'IVF' OR rows >= 256 ELSE uncovered > 0 OR deltas > 4 OR ({_STALE}) END) AS needed FROM it),
+y AS (SELECT *, bool_or(needed) OVER (PARTITION BY dataset_id) AS any_needed FROM x),
+z AS (SELECT *, CASE WHEN kind = 'IVF' AND rows < 256 THEN 'below_floor' WHEN kind = 'IVF' AND ({r} OR NOT exists OR NOT reusable OR ({_STALE})) THEN 'bootstrap' WHEN kind = 'INVERTED' AND exists AND NOT {r} THEN 'maintain'
+  WHEN files = 0 THEN 'done' WHEN kind = 'INVERTED' THEN 'rebuild' WHEN uncovered > 0 OR NOT exists OR {r} THEN 'segments' WHEN deltas > 4 THEN 'merge_deltas' ELSE 'done' END AS mode FROM y WHERE any_needed)
+SELECT dataset_id, name, mode, CAST(CASE WHEN mode IN ('done', 'below_floor') THEN 0 WHEN mode = 'rebuild' THEN greatest(1, ceil(files / 32)) WHEN mode = 'segments' THEN greatest(1, ceil(CASE WHEN exists AND NOT {r} THEN uncovered ELSE files END / 32)) ELSE 1 END AS INTEGER) AS shards FROM z
+UNION ALL SELECT DISTINCT dataset_id, NULL, 'skip', 0 FROM y WHERE NOT any_needed"""
+
 
 ORACLES = {
     "lineage_check": sql(""",, x AS (SELECT *, lag(snapshot_id) OVER (PARTITION BY chain ORDER BY position) AS b, lag(sequence) OVER (PARTITION BY chain ORDER BY position) AS bs FROM s),
 y AS (SELECT CAST(chain AS BIGINT) AS chain, snapshot_id, CASE WHEN b IS NOT NULL AND parent_id IS DISTINCT FROM b THEN 'fork' WHEN bs >= sequence THEN 'sequence' END AS problem FROM x)
 SELECT * FROM y WHERE problem IS NOT NULL""", "s"),
-    "snapshot_classify": sql(_CLASSIFY, "mf"),
+    "snapshot_classify": sql(_CLASSIFY, "sm", "mf"),
+    "snapshot_identity": sql("SELECT snapshot_id, CASE WHEN table_uuid <> 'main' THEN 'table_uuid' ELSE 'spec_id' END AS problem FROM sm WHERE table_uuid <> 'main' OR spec_id <> 1", "sm"),
     "added_targets": sql("SELECT DISTINCT tenant_id, org_id FROM mf WHERE status = 'ADDED'", "mf"),
     "baseline_targets": sql("SELECT DISTINCT tenant_id, org_id FROM mf WHERE status = 'EXISTING'", "mf"),
     "incremental_plan": sql(f""",, k AS ({_CLASSIFY}), x AS (SELECT CAST(chain AS BIGINT) AS chain, snapshot_id, sequence, verdict, sum(CASE WHEN verdict = 'APPEND' THEN 0 ELSE 1 END) OVER (PARTITION BY chain ORDER BY sequence) AS r FROM k JOIN s USING (snapshot_id))
-SELECT chain, snapshot_id, sequence, verdict FROM x WHERE r = 0""", "mf", "s"),
+SELECT chain, snapshot_id, sequence, verdict FROM x WHERE r = 0""", "sm", "mf", "s"),
     "partition_spec_ids": sql("SELECT snapshot_id, count(DISTINCT spec_id) AS n_specs, max(spec_id) AS spec_id FROM mf GROUP BY snapshot_id", "mf"),
     "conflicting_snapshots": sql("SELECT snapshot_id FROM s WHERE snapshot_id % 7 = 1", "s"),
     "claim_order": sql(f""",, x AS (SELECT * FROM w x WHERE state IN ('PENDING', 'RETRY') AND due_at <= 500 AND {_GATE} AND NOT EXISTS (SELECT 1 FROM w e WHERE e.dataset_id = x.dataset_id AND e.work_id <> x.work_id AND e.state <> 'SUCCEEDED' AND {_GATE.replace('x.source_id', 'e.source_id').replace('(kind', '(e.kind')} AND {_PRECEDES})),
@@ -144,9 +207,19 @@ SELECT work_id, dataset_id, source_seq, kind, state FROM y ORDER BY {_ORDER} LIM
     "expired_leases": sql("SELECT CASE WHEN state = 'RUNNING' AND lease_until <= 400 THEN 'RETRY' ELSE state END AS state, count(*) AS n, count(CASE WHEN NOT (state = 'RUNNING' AND lease_until <= 400) THEN lease_until END) AS leases FROM w GROUP BY 1", "w"),
     "stale_work": sql("SELECT work_id FROM w JOIN ds USING (dataset_id) WHERE kind <> 'INGEST' AND state <> 'SUCCEEDED' AND NOT (expected_version IS NOT DISTINCT FROM version AND expected_publication_id IS NOT DISTINCT FROM active_publication_id)", "w", "ds"),
     "completed_snapshots": sql("SELECT source_id, source_seq FROM w WHERE source_seq IS NOT NULL GROUP BY ALL HAVING bool_and(state = 'SUCCEEDED')", "w"),
-    "queue_status": sql(_STATUS, "w", "s"),
+    "queue_status": sql(_STATUS, "w", "s", "p"),
     "health_rules": sql(f""",, st AS ({_STATUS}), r AS (SELECT list_filter([CASE WHEN blocked > 0 THEN 'blocked_work' END, CASE WHEN blocked_snapshots > 0 THEN 'blocked_source_snapshot' END, CASE WHEN due > 100 THEN 'due_queue_over_budget' END, CASE WHEN 6000 - oldest_open > 7000 THEN 'open_work_age_over_budget' END], lambda z: z IS NOT NULL) AS l FROM st)
-SELECT array_to_string(l, ',') AS reasons, len(l) = 0 AS healthy FROM r""", "w", "s"),
+SELECT array_to_string(l, ',') AS reasons, len(l) = 0 AS healthy FROM r""", "w", "s", "p"),
+    "ambiguous_routes": sql(""",, x AS (SELECT 'r' || (ds.dataset_id % 1000) AS route, ds.dataset_id, uri, p.version, keep FROM ds JOIN p ON publication_id = active_publication_id JOIN sp USING (spec_id) WHERE lifecycle = 'ACTIVE' AND retired_at IS NULL)
+SELECT route, count(*) AS rows, CASE WHEN count(*) = 1 THEN min(dataset_id) END AS dataset_id, CASE WHEN count(*) > 1 THEN 'AMBIGUOUS_ROUTE' END AS problem FROM x GROUP BY route""", "ds", "p", "sp"),
+    "claim_with_datasets": sql(_CLAIM + f", c AS (SELECT * FROM y ORDER BY {_ORDER} LIMIT 200) SELECT work_id, dataset_id, uri FROM c JOIN ds USING (dataset_id) WHERE lifecycle = 'ACTIVE'", "w", "s", "ds"),
+    "retention_decision": sql(f",, f AS ({_FLOOR.replace('min(q)', 'min(q) AS floor')}) SELECT floor IS NOT NULL AS retain, floor, CASE WHEN floor IS NOT NULL THEN CAST(7 AS BIGINT) END AS retain_snapshot_id FROM f", "w", "s", "p"),
+    "qualification_gate": sql(""",, g AS (SELECT dataset_id, coalesce(string_agg(name, ',' ORDER BY name) FILTER (NOT exists OR actual_kind IS DISTINCT FROM kind OR actual_column <> wanted_column OR uncovered > 0 OR (kind = 'IVF' AND generation IS NULL)), '') AS missing FROM it GROUP BY dataset_id),
+x AS (SELECT ca.*, missing, CASE WHEN schema_digest <> declared_digest THEN 'CANDIDATE_SCHEMA_MISMATCH' WHEN missing <> '' THEN 'INCOMPLETE_INDEX_COVERAGE' WHEN stored_rows <> total THEN 'CANDIDATE_COUNT_MISMATCH' WHEN total <> distinct_keys THEN 'DUPLICATE_RECORD_ID' END AS code FROM ca JOIN g USING (dataset_id))
+SELECT dataset_id, code, CASE WHEN code = 'INCOMPLETE_INDEX_COVERAGE' THEN missing END AS missing FROM x""", "it", "ca"),
+    "index_plan": sql(_plan_sql(False), "it"),
+    "index_plan_rebuild": "SELECT name, mode, count(*) AS n, CAST(sum(shards) AS BIGINT) AS shards FROM (" + sql(_plan_sql(True), "it") + ") GROUP BY name, mode",
+    "even_split": sql("SELECT CAST(shard - 1 AS INTEGER) AS shard, count(*) AS n, min(file_id) AS first, max(file_id) AS last FROM (SELECT file_id, ntile(7) OVER (ORDER BY file_id) AS shard FROM (SELECT DISTINCT file_id FROM mf)) GROUP BY 1", "mf"),
     "retention_floor": sql("SELECT min(q) AS floor FROM (SELECT source_seq AS q FROM w WHERE state <> 'SUCCEEDED' AND source_seq IS NOT NULL UNION ALL SELECT sequence FROM s WHERE state <> 'COMPLETE' UNION ALL SELECT source_seq FROM p WHERE retired_at IS NULL)", "w", "s", "p"),
     "publication_cleanup": sql(f""",, x AS (SELECT p.*, keep, retention, row_number() OVER (PARTITION BY dataset_id ORDER BY published_at DESC, publication_id DESC) AS rank FROM p JOIN sp USING (spec_id))
 SELECT publication_id, dataset_id, CAST(rank AS INTEGER) AS rank, retired_at FROM x WHERE retired_at + retention <= {NOW} AND rank > keep AND NOT EXISTS (SELECT 1 FROM ds WHERE active_publication_id = publication_id) ORDER BY retired_at, publication_id LIMIT 100""", "p", "sp", "ds"),

@@ -162,6 +162,28 @@ def text_query_tree(spark, sf):
     return compile_text_query(tables.texts(spark, sf), tree).select("query_id", "record_id", F.round("score", 9).alias("score"))
 
 
+def text_query_nodes(spark, sf):
+    """A tree with a phrase, a boost, a multi_match and an ``and`` of two terms."""
+    tree = {"boolean": {
+        "must": [{"match": {"query": "under license", "operator": "and", "boost": 2.0}}],
+        "should": [{"boost": {"positive": {"match": {"query": "version"}}, "negative": {"match": {"query": "mit"}}, "factor": 0.25}}, {"multi_match": {"query": "fr apache", "columns": {"text": 1.0, "lang": 3.0}}}],
+        "must_not": [{"phrase": {"query": "the license", "slop": 0}}],
+    }}
+    return compile_text_query(tables.texts(spark, sf), tree).select("query_id", "record_id", F.round("score", 9).alias("score"))
+
+
+def centroid_assign_metrics(spark, sf):
+    """The nearest centroid by each metric."""
+    v, c = tables.vectors(spark, sf), tables.centroids(spark, sf)
+    parts = [search.nearest_centroid(v, c, m).groupBy("pid").agg(F.count("*").alias("n"), F.sum("record_id").alias("ids")).withColumn("metric", F.lit(m)) for m in ("cosine", "dot")]
+    return parts[0].unionByName(parts[1])
+
+
+def hits_missing(spark, sf):
+    """Queries that lose hits when copies of a record count once."""
+    return search.underfilled(dedup_hits(spark, sf, tables.query_set), tables.query_set(spark, sf), 6)
+
+
 def rrf(spark, sf):
     return search.rrf(list(_legs(spark, sf, 20)), 10)
 
@@ -219,7 +241,7 @@ QUERIES |= {"knn_filtered": _knn("l2", live=_LIVE)}
 QUERIES |= {f"knn_{m}_all": _knn(m, tables.query_set) for m in V.METRICS} | {"knn_filtered_all": _knn("l2", tables.query_set, live=_LIVE)}
 QUERIES |= {f"{f.__name__}_all": partial(f, queries=tables.query_set) for f in (dedup_hits, ranking_quality, report_grouping_sets)}
 QUERIES |= {"bm25_or": _bm25("or"), "bm25_and": _bm25("and")}
-QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, term_stats, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
+QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, term_stats, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, text_query_nodes, centroid_assign_metrics, hits_missing, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
 
 _DIST = {
     "l2": "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))",
@@ -277,7 +299,7 @@ ORACLES |= {
     "default_projection": sql("SELECT lang, source, count(*) AS n, max(n_chars) AS longest FROM d WHERE NOT is_deleted GROUP BY ALL", "d"),
     "knn_filtered": sql(_knn_sql("l2", 5, "NOT v.is_deleted AND v.label <= 4"), "v", "q"),
     "candidates_seen": sql("SELECT count(vector) AS candidates, count(*) FILTER (len(list_filter(vector, lambda z: isnan(z) OR isinf(z))) > 0) AS not_finite, count(*) FILTER (len(vector) <> 64) AS wrong_size FROM v", "v"),
-    "normalised_rows": sql(f"SELECT record_id, round({_NORM.format('vector')}, 6) AS norm, CASE WHEN {_NORM.format('vector')} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS unit FROM v", "v"),
+    "normalised_rows": sql(f"SELECT record_id, round({_NORM.format('vector')}, 6) AS norm, round(sqrt(list_sum(list_transform(vector, lambda z: (z / greatest({_NORM.format('vector')}, 1e-12)) * (z / greatest({_NORM.format('vector')}, 1e-12))))), 6) AS unit FROM v", "v"),
     "centroid_assign": sql(_PLACED, "v", "c"),
     "partition_histogram": sql(f"SELECT pid, count(*) AS n FROM ({_PLACED}) GROUP BY pid", "v", "c"),
     "salted_partitions": sql(f",, pl AS ({_PLACED}), h AS (SELECT pid, CAST(ceil(count(*) / 40) AS INTEGER) AS salts FROM pl GROUP BY pid) SELECT record_id, pid, CAST(CAST('0x' || substr(sha256(CAST(record_id AS VARCHAR)), 1, 8) AS BIGINT) % salts AS INTEGER) AS salt FROM pl JOIN h USING (pid)", "v", "c"),
@@ -307,4 +329,15 @@ FROM g GROUP BY GROUPING SETS ((), (org), (probes))""", "v", "q"),
 }
 ORACLES["text_query_tree"] = ORACLES["boolean_query"]
 ORACLES |= {f"{name}_all": tables.over_query_set(ORACLES[name]) for name in (*(f"knn_{m}" for m in V.METRICS), "knn_filtered", "dedup_hits", "ranking_quality", "report_grouping_sets")}
+_NODES = {"must": _bm25_sql(terms=_ONE.format("'under', 'license'")), "positive": _bm25_sql(terms=_ONE.format("'version'")), "negative": _bm25_sql(terms=_ONE.format("'mit'"))}
+ORACLES["text_query_nodes"] = sql(f""",, lt AS (SELECT record_id, regexp_extract_all(lower(coalesce(lang, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS toks FROM d),
+a AS (SELECT query_id, record_id, 2.0::DOUBLE * score AS score FROM ({_NODES['must']}) WHERE matched = 2), b AS (SELECT p.query_id, p.record_id, CASE WHEN n.record_id IS NULL THEN p.score ELSE p.score * 0.25::DOUBLE END AS score FROM ({_NODES['positive']}) p LEFT JOIN ({_NODES['negative']}) n USING (query_id, record_id)),
+mm AS (SELECT query_id, record_id, score FROM ({_bm25_sql(terms=_ONE.format("'fr', 'apache'"))}) UNION ALL SELECT query_id, record_id, score FROM ({_bm25_sql('lt', _ONE.format("'fr', 'apache'"), '3.0::DOUBLE')})),
+s AS (SELECT query_id, record_id, sum(score) AS score FROM (SELECT * FROM b UNION ALL SELECT * FROM mm) GROUP BY ALL), x AS (SELECT record_id FROM toks WHERE len(list_filter(range(1, len(toks)), lambda i: toks[i] = 'the' AND toks[i + 1] = 'license')) > 0)
+SELECT a.query_id, a.record_id, round(a.score + coalesce(s.score, 0), 9) AS score FROM a LEFT JOIN s USING (query_id, record_id) ANTI JOIN x USING (record_id)""", "d", "toks")
+ORACLES["centroid_assign_metrics"] = " UNION ALL ".join(
+    "SELECT pid, count(*) AS n, CAST(sum(record_id) AS BIGINT) AS ids, '" + m + "' AS metric FROM (" + sql(f"SELECT record_id, arg_min(pid, (d, pid)) AS pid FROM (SELECT v.record_id, c.pid, {_DIST[m].format('v.vector', 'c.centroid')} AS d FROM v, c) GROUP BY record_id", "v", "c") + ") GROUP BY pid"
+    for m in ("cosine", "dot")
+)
+ORACLES["hits_missing"] = "SELECT query_id, 6 - count(*) AS missing FROM (" + ORACLES["dedup_hits_all"] + ") GROUP BY query_id HAVING count(*) < 6"
 ORACLES["term_stats"] = sql("SELECT term, count(*) AS n, count(DISTINCT record_id) AS df FROM (SELECT record_id, unnest(toks) AS term FROM toks) GROUP BY term", "toks")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance
 from tidemark.queries import cdc as Q
+from tidemark.queries.retrieval import _PLACED
 from tidemark.sources import samples, tables
 from tidemark.sources.tables import sql
 
@@ -67,5 +68,11 @@ ORACLES = {
     "sample_reasons": """SELECT CASE WHEN event_id % 50 = 1 THEN 'unparsable' WHEN event_id % 10 < 1 THEN 'bad_k' WHEN event_id % 4 <> 0 AND event_id % 40 = 1 THEN 'unknown_type'
   WHEN event_id % 4 <> 0 AND event_id % 3 = 0 THEN 'missing_vector' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY 1""",
 }
+ORACLES["clustered_layout"] = sql(f""",, pl AS ({_PLACED}), h AS (SELECT r.pid, count(pl.record_id) AS n FROM (SELECT unnest(range(0, (SELECT max(pid) + 1 FROM pl))) AS pid) r LEFT JOIN pl USING (pid) GROUP BY r.pid),
+st AS (SELECT CAST(-1 AS BIGINT) AS pid, CAST(0 AS BIGINT) AS made, false AS open, CAST(0 AS BIGINT) AS size, CAST(0 AS BIGINT) AS first, CAST(1 AS BIGINT) AS salts
+  UNION ALL SELECT h.pid, CASE WHEN n > 60 THEN made + CAST(ceil(n / 60) AS BIGINT) WHEN n = 0 AND NOT open THEN made WHEN open AND size + n <= 60 THEN made ELSE made + 1 END, n <= 60 AND (n > 0 OR open), CASE WHEN n > 60 THEN 0 WHEN open AND size + n <= 60 THEN size + n ELSE n END,
+  CASE WHEN n <= 60 AND open AND size + n <= 60 THEN made - 1 ELSE made END, CASE WHEN n > 60 THEN CAST(ceil(n / 60) AS BIGINT) ELSE 1 END FROM st JOIN h ON h.pid = st.pid + 1),
+x AS (SELECT pl.pid, CAST(CAST('0x' || substr(sha256(CAST(record_id AS VARCHAR)), 1, 8) AS BIGINT) % salts AS INTEGER) AS salt, first FROM pl JOIN st USING (pid))
+SELECT CAST(first + salt AS INTEGER) AS bucket, count(*) AS n, min(pid) AS first, max(pid) AS last, max(salt) AS salt FROM x GROUP BY 1""", "v", "c", recursive=True)
 ORACLES["captured_samples_all"] = tables.over_query_set(ORACLES["captured_samples"])
 ORACLES["streamed_source_digests"] = sql(Q._T + Q._L + f" SELECT tenant_id, namespace, org_id, sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l GROUP BY tenant_id, namespace, org_id", "m")

@@ -25,7 +25,10 @@ class Artifacts:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
         self._jvm, self.path, self._path = jvm, path.rstrip("/"), jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(self.path).getFileSystem(conf)
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), conf)
+        self._plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
 
     def _read(self, name: str) -> str | None:
         p = self._path(f"{self.path}/{name}")
@@ -41,14 +44,28 @@ class Artifacts:
         """Write once; the digest of the canonical JSON.  The same content again is no error."""
         text = json.dumps(content, sort_keys=True, separators=(",", ":"))
         held = self._read(name)
-        if held is None:
-            out = self._fs.create(self._path(f"{self.path}/{name}"), False)
-            out.write(bytearray(text.encode()))
-            out.close()
-        elif held != text:
+        if held is None and not self._create(name, text):  # another writer was first
+            held = self._read(name)
+        if held is not None and held != text:
             raise ArtifactConflict(name)
         return hashlib.sha256(text.encode()).hexdigest()
 
+    def _create(self, name: str, text: str) -> bool:
+        """Write aside and rename without replacing: readers see all of it or nothing, and one writer wins."""
+        aside, target = self._path(f"{self.path}/aside-{uuid.uuid4().hex}"), self._path(f"{self.path}/{name}")
+        out = self._fs.create(aside, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self._fs.mkdirs(target.getParent())
+        try:
+            self._context.rename(aside, target, self._plain)
+        except Exception as failed:
+            self._fs.delete(aside, False)
+            if "FileAlreadyExistsException" not in str(failed):
+                raise
+            return False
+        return True
+
     def get(self, name: str) -> dict | None:
         held = self._read(name)
         return None if held is None else json.loads(held)

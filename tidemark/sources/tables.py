@@ -135,6 +135,56 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier as snapshot metadata: operation, summary, table and partition spec."""
+    k = F.col("s_suppkey").cast("long")
+    op = F.when(k % 9 == 2, " Fast-Append ").when(k % 16 == 5, "overwrite").when(k % 21 == 8, "delete").when(k % 37 == 9, "merge").otherwise("append")
+    files = F.when(k % 27 == 4, "many").otherwise((k % 4).cast("string"))
+    return table(spark, sf_dir, "supplier").select(
+        k.alias("snapshot_id"),
+        op.alias("operation"),
+        F.when(k % 6 != 0, F.create_map(F.lit("added-data-files"), files)).alias("summary"),
+        F.when(k % 33 == 12, "other").otherwise("main").alias("table_uuid"),
+        F.when(k % 26 == 3, 2).otherwise(1).cast("long").alias("spec_id"),
+    )
+
+
+def index_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as datasets with three index targets each, in all states."""
+    k, i = F.col("dataset_id"), F.col("i")
+    rows = datasets(spark, sf_dir).select("dataset_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i"))
+    exists = (k + i) % 5 != 0
+    return rows.select(
+        "dataset_id",
+        F.element_at(F.array(F.lit("vector_ivf"), F.lit("cluster_btree"), F.lit("text_inverted")), i + 1).alias("name"),
+        F.element_at(F.array(F.lit("IVF"), F.lit("BTREE"), F.lit("INVERTED")), i + 1).alias("kind"),
+        F.element_at(F.array(F.lit("vector"), F.lit("cluster"), F.lit("text")), i + 1).alias("column"),
+        (k % 40 * 50).alias("rows"),
+        F.when(k % 31 == 7, 0).otherwise(k % 90 + 1).cast("long").alias("files"),
+        exists.alias("exists"),
+        F.when((k + i) % 4 == 1, k % 70).otherwise(0).cast("long").alias("uncovered"),
+        F.when(k % 9 == 4, 6).otherwise(1).cast("long").alias("deltas"),
+        F.when(exists, k % 11 * 40).cast("long").alias("rows_at_training"),
+        (k % 8 != 3).alias("reusable"),
+        F.when(exists, F.element_at(F.array(F.lit("ivf_rq"), F.lit("BTREE"), F.lit("Inverted")), i + 1)).alias("actual_kind"),
+        F.when(k % 17 == 2, "other").otherwise(F.element_at(F.array(F.lit("vector"), F.lit("cluster"), F.lit("text")), i + 1)).alias("actual_column"),
+        F.when(k % 13 != 5, F.concat(F.lit("g"), k.cast("string"))).alias("generation"),
+    )
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as candidates with their counts."""
+    k = F.col("dataset_id")
+    return datasets(spark, sf_dir).select(
+        "dataset_id",
+        F.when(k % 14 == 6, "s2").otherwise("s1").alias("schema_digest"),
+        F.lit("s1").alias("declared_digest"),
+        (k % 100 + F.when(k % 12 == 1, 1).otherwise(0)).alias("stored_rows"),
+        (k % 100).alias("total"),
+        (k % 100 - F.when(k % 15 == 4, 1).otherwise(0)).alias("distinct_keys"),
+    )
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as manifest entries of snapshots."""
     k = F.col("l_orderkey").cast("long")
@@ -146,6 +196,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("o"), F.col("l_suppkey") % 5).alias("org_id"),
         ((k % 500) % 4 + F.when((k % 500) % 29 == 1, F.col("l_linenumber") % 2).otherwise(0)).cast("long").alias("spec_id"),
         (k * 10 + F.col("l_linenumber")).cast("long").alias("file_id"),
+        ((k % 500) + F.when((k % 500) % 41 == 7, 1).otherwise(0)).alias("added_by"),
     )
 
 
@@ -180,7 +231,18 @@ VIEWS = {
     "mf": """SELECT CAST(l_orderkey % 500 AS BIGINT) AS snapshot_id,
   CASE WHEN (l_orderkey % 500) % 11 = 3 THEN CASE WHEN l_linenumber % 2 = 0 THEN 'DELETED' ELSE 'ADDED' END WHEN (l_orderkey % 500) % 13 = 6 THEN 'EXISTING' ELSE 'ADDED' END AS status,
   CASE WHEN (l_orderkey % 500) % 17 = 2 THEN 'DELETES' ELSE 'DATA' END AS content, 't' || (l_suppkey % 3) AS tenant_id, 'o' || (l_suppkey % 5) AS org_id,
-  CAST((l_orderkey % 500) % 4 + CASE WHEN (l_orderkey % 500) % 29 = 1 THEN l_linenumber % 2 ELSE 0 END AS BIGINT) AS spec_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS file_id FROM lineitem""",
+  CAST((l_orderkey % 500) % 4 + CASE WHEN (l_orderkey % 500) % 29 = 1 THEN l_linenumber % 2 ELSE 0 END AS BIGINT) AS spec_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS file_id,
+  CAST(l_orderkey % 500 + CASE WHEN (l_orderkey % 500) % 41 = 7 THEN 1 ELSE 0 END AS BIGINT) AS added_by FROM lineitem""",
+    "sm": """SELECT CAST(s_suppkey AS BIGINT) AS snapshot_id, CASE WHEN s_suppkey % 9 = 2 THEN ' Fast-Append ' WHEN s_suppkey % 16 = 5 THEN 'overwrite' WHEN s_suppkey % 21 = 8 THEN 'delete' WHEN s_suppkey % 37 = 9 THEN 'merge' ELSE 'append' END AS operation,
+  CASE WHEN s_suppkey % 6 <> 0 THEN CASE WHEN s_suppkey % 27 = 4 THEN 'many' ELSE CAST(s_suppkey % 4 AS VARCHAR) END ELSE '0' END AS added_files,
+  CASE WHEN s_suppkey % 33 = 12 THEN 'other' ELSE 'main' END AS table_uuid, CAST(CASE WHEN s_suppkey % 26 = 3 THEN 2 ELSE 1 END AS BIGINT) AS spec_id FROM supplier""",
+    "it": """SELECT k AS dataset_id, ['vector_ivf', 'cluster_btree', 'text_inverted'][i + 1] AS name, ['IVF', 'BTREE', 'INVERTED'][i + 1] AS kind, ['vector', 'cluster', 'text'][i + 1] AS wanted_column, k % 40 * 50 AS rows,
+  CASE WHEN k % 31 = 7 THEN 0 ELSE k % 90 + 1 END AS files, (k + i) % 5 <> 0 AS exists, CASE WHEN (k + i) % 4 = 1 THEN k % 70 ELSE 0 END AS uncovered, CASE WHEN k % 9 = 4 THEN 6 ELSE 1 END AS deltas,
+  CASE WHEN (k + i) % 5 <> 0 THEN k % 11 * 40 END AS rows_at_training, k % 8 <> 3 AS reusable, CASE WHEN (k + i) % 5 <> 0 THEN ['IVF', 'BTREE', 'INVERTED'][i + 1] END AS actual_kind,
+  CASE WHEN k % 17 = 2 THEN 'other' ELSE ['vector', 'cluster', 'text'][i + 1] END AS actual_column, CASE WHEN k % 13 <> 5 THEN 'g' || k END AS generation
+  FROM (SELECT CAST(c_custkey AS BIGINT) AS k, unnest(range(0, 3)) AS i FROM customer)""",
+    "ca": """SELECT CAST(c_custkey AS BIGINT) AS dataset_id, CASE WHEN c_custkey % 14 = 6 THEN 's2' ELSE 's1' END AS schema_digest, 's1' AS declared_digest, c_custkey % 100 + CASE WHEN c_custkey % 12 = 1 THEN 1 ELSE 0 END AS stored_rows,
+  c_custkey % 100 AS total, c_custkey % 100 - CASE WHEN c_custkey % 15 = 4 THEN 1 ELSE 0 END AS distinct_keys FROM customer""",
 }
 
 
