@@ -120,6 +120,11 @@ def check_segment(value: str) -> str:
     return value
 
 
+def valid_segment(value: Column) -> Column:
+    """Whether a route segment may be one; null may not."""
+    return F.coalesce(value.rlike("^[A-Za-z0-9_-]{1,128}$") & ~value.endswith("\n"), F.lit(False))
+
+
 def serving_predicate(filter_node: dict | None, allowed, window: Column | None = None, tombstone: str = "is_deleted") -> Column:
     """The live-row guard, always, with the filter and the time window; ranked rows come after it."""
     out = ~F.col(tombstone)

@@ -77,6 +77,17 @@ def write_clustered(rows: DataFrame, path: str, buckets: int) -> None:
     rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "pid").write.parquet(path)
 
 
+def write_indexed(rows: DataFrame, path: str, btree: tuple[str, ...] = (), bitmap: tuple[str, ...] = (), zonemap: tuple[str, ...] = (), files: int = 8) -> None:
+    """Rows in files that serve as indexes: partitioned by columns of few values, dealt by ranges and sorted by columns that are
+    searched by order (row groups' least and greatest values prune), with Bloom filters on columns that are searched by value."""
+    order = [*zonemap, *btree]
+    out = rows.repartitionByRange(files, *order).sortWithinPartitions(*bitmap, *order) if order else rows
+    writer = out.write.option("parquet.block.size", 8 << 20)
+    for c in btree:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    (writer.partitionBy(*bitmap) if bitmap else writer).parquet(path)
+
+
 def cleanup_slot(uri: Column, slots: int) -> Column:
     """A fixed slot of a dataset: the first eight bytes of its SHA-256, modulo the slots."""
     high = F.conv(F.substring(F.sha2(uri, 256), 1, 16), 16, 10).cast("decimal(20,0)")

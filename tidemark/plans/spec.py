@@ -81,6 +81,20 @@ class DatasetSpec:
         return [Index(f"{c}_{k.lower()}", k, c) for role, k in kinds for c in sorted(self.by_role(role))]
 
 
+def check_partitions(found: list[tuple[str, str]], declared: list[tuple[str, str]]) -> None:
+    """Partition fields (column, transform) must be those declared, in their order."""
+    if list(found) != list(declared):
+        raise SpecError(f"partitioned by {found}, not {declared}")
+
+
+def check_checkpoint(table_uuid: str, spec_id: int, schema_digest: str, checkpoint: dict) -> None:
+    """A table must be the one that a checkpoint was taken of."""
+    now = {"table_uuid": table_uuid, "spec_id": spec_id, "schema_digest": schema_digest}
+    changed = [k for k, v in now.items() if checkpoint.get(k) != v]
+    if changed:
+        raise SpecError(f"changed since the checkpoint: {changed}")
+
+
 def default_spec(dimension: int = 128) -> DatasetSpec:
     fields = [Field("record_id", "KEY", "string"), Field("ts", "EVENT_TIME", "timestamp"), Field("vector", "VECTOR", "vector", dimension), Field("text", "TEXT", "string"), Field("cluster", "METADATA", "string")]
     fields += [Field(n, "LINEAGE", t) for n, t in LINEAGE.items()] + [Field("is_deleted", "TOMBSTONE", "bool")]

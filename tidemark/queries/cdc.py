@@ -180,7 +180,10 @@ def source_digest(spark, sf):
 
 
 def window_scan(spark, sf):
-    rows = tables.mutations(spark, sf)
+    return _scans(tables.mutations(spark, sf))
+
+
+def _scans(rows):
     parts = [scans.window_scan(rows, kind, 10, route, parent).select(F.lit(name).alias("scan"), "source_sequence") for name, kind, route, parent in (("baseline", "BASELINE", None, None), ("append", "APPEND", None, 7), ("route", "APPEND", ("t1", "n1", "o5"), 3), ("none", "MAINTENANCE", None, None))]
     out = parts[0]
     for p in parts[1:]:
@@ -188,6 +191,49 @@ def window_scan(spark, sf):
     return out.groupBy("scan").agg(F.count("*").alias("n"), F.max("source_sequence").alias("last"))
 
 
+_sources: dict[tuple[str, str], str] = {}
+
+
+def window_scan_files(spark, sf):
+    """The scans of ``window_scan`` over a table written by route and window, so that they prune folders."""
+    from tidemark.queries.streams import _folder
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _sources:
+        path = f"{_folder(spark)}/source"
+        scans.write_source(tables.mutations(spark, sf), path)
+        _sources[key] = path
+    rows = spark.read.parquet(_sources[key])
+    scans.check_partitioning(rows, _sources[key])
+    return _scans(rows)
+
+
+def route_segments(spark, sf):
+    """How many names of customers could be route segments."""
+    from tidemark.functions.predicates import valid_segment
+
+    c = tables.table(spark, sf, "customer").select(F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("a b"), F.col("c_custkey"))).when(F.col("c_custkey") % 11 == 0, F.lit("")).when(F.col("c_custkey") % 13 == 0, None).otherwise(F.concat(F.lit("org_"), F.col("c_custkey"))).alias("name"))
+    return c.groupBy(valid_segment(F.col("name")).alias("ok")).agg(F.count("*").alias("n"))
+
+
+def vector_cast(spark, sf):
+    """Vectors as float32 of a fixed size; those of another are null, and counted."""
+    from tidemark.functions import vectors as V
+
+    v = tables.vectors(spark, sf).withColumn("vector", F.when(F.col("record_id") % 9 == 4, F.slice("vector", 1, 8)).otherwise(F.col("vector")))
+    cast = v.select(V.of_size(F.col("vector"), 64).cast("array<float>").alias("fixed"), "vector")
+    return cast.agg(F.count("fixed").alias("fixed"), V.wrong_size(F.col("vector"), 64).alias("wrong"), F.round(F.sum(F.element_at("fixed", 1).cast("double")), 3).alias("first"))
+
+
+def vector_mutations(spark, sf):
+    """A slice of the vectors as a batch of mutations."""
+    from tidemark.sources.vecfiles import mutation_batch
+
+    v = tables.vectors(spark, sf).where("record_id >= 5 and record_id < 150").select(F.col("record_id").alias("position"), "vector", "label")
+    rows = mutation_batch(v, ("t1", "n1", "o5"), 3, 1000, ("label",))
+    return rows.select(*KEYS, "op", "window_seq", "source_sequence", F.size("vector").alias("size"), F.element_at("meta", "label").alias("label"))
+
+
 def time_window(spark, sf):
     from tidemark.functions.predicates import time_window as window
 
@@ -202,7 +248,7 @@ def sample_every(spark, sf):
     return sampled(tables.mutations(spark, sf), "source_sequence", "org_id", 0.3).select("org_id", "source_sequence")
 
 
-QUERIES = {f.__name__: f for f in (op_normalise, event_digest, lww_state, live_count_by_route, conflict_keys, exact_dup_collapse, merge_upsert, merge_noop, same_sequence_conflicts, tombstones, rebuild_winners, retention_two_clock, baseline_conflicts, candidate_counts, merge_input_violations, row_rule_flags, map_pivot, unknown_map_keys, source_digest, window_scan, time_window, sample_every, source_profile, envelope_check, post_images, key_lookup)}
+QUERIES = {f.__name__: f for f in (op_normalise, event_digest, lww_state, live_count_by_route, conflict_keys, exact_dup_collapse, merge_upsert, merge_noop, same_sequence_conflicts, tombstones, rebuild_winners, retention_two_clock, baseline_conflicts, candidate_counts, merge_input_violations, row_rule_flags, map_pivot, unknown_map_keys, source_digest, window_scan, time_window, sample_every, source_profile, envelope_check, post_images, key_lookup, window_scan_files, route_segments, vector_cast, vector_mutations)}
 
 _ODD = """,, o AS (SELECT org_id, source_sequence AS n, CASE WHEN source_sequence % 131 = 9 THEN 'merge' ELSE op END AS op, amount AS x, ts IS NULL OR source_sequence % 137 = 10 AS null_ts FROM m),
 b AS (SELECT org_id, null_ts, op = 'merge' AS bad_op, n % 127 = 8 AS unknown_keys, op IN ('insert', 'update', 'upsert') AND n % 101 = 3 AS missing_vector, op IN ('insert', 'update', 'upsert') AND n % 101 <> 3 AND n % 103 = 4 AS wrong_size,
@@ -240,3 +286,7 @@ ORACLES = {
     "time_window": sql("SELECT count(*) FILTER (ts_us >= 1704412800123000 AND ts_us < 1705017600500000) AS by_micros, count(*) FILTER (ts_us // 1000000 >= 1704412801 AND ts_us // 1000000 < 1705017601) AS by_seconds, count(*) FILTER (ts_us < 1704412800000000) AS before FROM m", "m"),
     "sample_every": sql("SELECT org_id, source_sequence FROM (SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY source_sequence) AS n FROM m) WHERE floor(n * 0.3::DOUBLE) > floor((n - 1) * 0.3::DOUBLE)", "m"),
 }
+ORACLES["window_scan_files"] = ORACLES["window_scan"]
+ORACLES["route_segments"] = "SELECT coalesce(regexp_full_match(name, '[A-Za-z0-9_-]{1,128}'), false) AS ok, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN 'a b' || c_custkey WHEN c_custkey % 11 = 0 THEN '' WHEN c_custkey % 13 = 0 THEN NULL ELSE 'org_' || c_custkey END AS name FROM customer) GROUP BY 1"
+ORACLES["vector_cast"] = sql("SELECT count(*) FILTER (record_id % 9 <> 4) AS fixed, count(*) FILTER (record_id % 9 = 4) AS wrong, round(sum(CAST(CAST(vector[1] AS FLOAT) AS DOUBLE)) FILTER (record_id % 9 <> 4), 3) AS first FROM v", "v")
+ORACLES["vector_mutations"] = sql("SELECT 't1' AS tenant_id, 'n1' AS namespace, 'o5' AS org_id, CAST(record_id AS VARCHAR) AS record_id, 'insert' AS op, CAST(3 AS BIGINT) AS window_seq, record_id + 1000 AS source_sequence, CAST(64 AS INTEGER) AS size, CAST(label AS VARCHAR) AS label FROM v WHERE record_id >= 5 AND record_id < 150", "v")

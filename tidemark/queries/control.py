@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import layout, lineage, qualification, queue
-from tidemark.sources import tables
+from tidemark.sources import scans, tables
 from tidemark.sources.tables import sql
 
 NOW = 1200
@@ -127,6 +128,29 @@ def even_split(spark, sf):
     return layout.even_split(files, 7, "file_id").groupBy("shard").agg(F.count("*").alias("n"), F.min("file_id").alias("first"), F.max("file_id").alias("last"))
 
 
+def fragment_shards(spark, sf):
+    """Files dealt in turn over seven shards."""
+    w = Window.orderBy("file_id")
+    files = tables.manifest(spark, sf).select("file_id").distinct().select((F.row_number().over(w) - 1).cast("long").alias("position"), "file_id")
+    return scans.round_robin(files, 7).groupBy("shard").agg(F.count("*").alias("n"), F.min("file_id").alias("first"), F.sum("file_id").alias("ids"))
+
+
+_stored: dict[tuple[str, str], str] = {}
+
+
+def indexed_lookup(spark, sf):
+    """A range of days, a state and some customers, over orders in files that are laid out for that."""
+    from tidemark.queries.streams import _folder
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        path = f"{_folder(spark)}/orders"
+        layout.write_indexed(tables.table(spark, sf, "orders"), path, btree=("o_custkey",), bitmap=("o_orderstatus",), zonemap=("o_orderdate",))
+        _stored[key] = path
+    o = spark.read.parquet(_stored[key]).where("o_orderdate >= date'1995-01-01' and o_orderdate < date'1996-01-01' and o_orderstatus = 'O' and o_custkey in (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)")
+    return o.select("o_orderkey", "o_custkey")
+
+
 def cleanup_slots(spark, sf):
     active = layout.active_slot(1706572800, 6, 12)
     d = tables.datasets(spark, sf).select("dataset_id", layout.cleanup_slot(F.col("uri"), 12).alias("slot"))
@@ -155,7 +179,7 @@ def committable_segments(spark, sf):
     return layout.committable(m.select(F.col("snapshot_id").alias("segment_id"), "file_id"), m.where("status <> 'DELETED'"))
 
 
-QUERIES = {f.__name__: f for f in (lineage_check, snapshot_classify, added_targets, baseline_targets, incremental_plan, partition_spec_ids, conflicting_snapshots, claim_order, anti_join_lane, source_gate, expired_leases, stale_work, completed_snapshots, queue_status, health_rules, retention_floor, publication_cleanup, serving_routes, cleanup_slots, tag_pruning, index_build_merge, index_coverage, committable_segments, snapshot_identity, ambiguous_routes, claim_with_datasets, retention_decision, qualification_gate, index_plan, index_plan_rebuild, even_split)}
+QUERIES = {f.__name__: f for f in (lineage_check, snapshot_classify, added_targets, baseline_targets, incremental_plan, partition_spec_ids, conflicting_snapshots, claim_order, anti_join_lane, source_gate, expired_leases, stale_work, completed_snapshots, queue_status, health_rules, retention_floor, publication_cleanup, serving_routes, cleanup_slots, tag_pruning, index_build_merge, index_coverage, committable_segments, snapshot_identity, ambiguous_routes, claim_with_datasets, retention_decision, qualification_gate, index_plan, index_plan_rebuild, even_split, fragment_shards, indexed_lookup)}
 
 _CLASSIFY = """SELECT sm.snapshot_id, CASE WHEN lower(trim(operation)) IN ('append', 'fast-append') THEN
     CASE WHEN try_cast(added_files AS BIGINT) IS NULL THEN 'MANIFEST_SUMMARY_INVALID' WHEN try_cast(added_files AS BIGINT) > 0 AND NOT coalesce(has_data, false) THEN 'MANIFEST_EVIDENCE_MISSING'
@@ -219,6 +243,8 @@ x AS (SELECT ca.*, missing, CASE WHEN schema_digest <> declared_digest THEN 'CAN
 SELECT dataset_id, code, CASE WHEN code = 'INCOMPLETE_INDEX_COVERAGE' THEN missing END AS missing FROM x""", "it", "ca"),
     "index_plan": sql(_plan_sql(False), "it"),
     "index_plan_rebuild": "SELECT name, mode, count(*) AS n, CAST(sum(shards) AS BIGINT) AS shards FROM (" + sql(_plan_sql(True), "it") + ") GROUP BY name, mode",
+    "fragment_shards": sql("SELECT CAST(p % 7 AS INTEGER) AS shard, count(*) AS n, min(file_id) AS first, CAST(sum(file_id) AS BIGINT) AS ids FROM (SELECT file_id, row_number() OVER (ORDER BY file_id) - 1 AS p FROM (SELECT DISTINCT file_id FROM mf)) GROUP BY 1", "mf"),
+    "indexed_lookup": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1996-01-01' AND o_orderstatus = 'O' AND o_custkey IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)",
     "even_split": sql("SELECT CAST(shard - 1 AS INTEGER) AS shard, count(*) AS n, min(file_id) AS first, max(file_id) AS last FROM (SELECT file_id, ntile(7) OVER (ORDER BY file_id) AS shard FROM (SELECT DISTINCT file_id FROM mf)) GROUP BY 1", "mf"),
     "retention_floor": sql("SELECT min(q) AS floor FROM (SELECT source_seq AS q FROM w WHERE state <> 'SUCCEEDED' AND source_seq IS NOT NULL UNION ALL SELECT sequence FROM s WHERE state <> 'COMPLETE' UNION ALL SELECT source_seq FROM p WHERE retired_at IS NULL)", "w", "s", "p"),
     "publication_cleanup": sql(f""",, x AS (SELECT p.*, keep, retention, row_number() OVER (PARTITION BY dataset_id ORDER BY published_at DESC, publication_id DESC) AS rank FROM p JOIN sp USING (spec_id))
