@@ -613,6 +613,14 @@ def test_toxic_spans_and_filter(judged):
     assert {r.doc_id for r in kept.collect()} >= {i for i, _, t, _ in truth if not t} | {1000, 1001, None}
 
 
+def test_features_that_share_a_slot_are_all_learnt():
+    rng = np.random.default_rng(0)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 62, 5000).astype(np.uint64) << np.uint64(1), (np.arange(2000).astype(np.uint64) << np.uint64(44)) + np.uint64(7), (np.arange(2000).astype(np.uint64) << np.uint64(44)) + np.uint64(9)]))
+    f = toxic_crf.Features(rng.permutation(keys))
+    assert f.find(keys).tolist() == list(range(len(keys))) and len(f.more) >= 1500
+    assert (f.find(keys + np.uint64(1))[~np.isin(keys + np.uint64(1), keys)] == f.n).all()
+
+
 def test_labels_of_held_out_rows_change_nothing(judged):
     docs, labels, _ = judged
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))

@@ -279,7 +279,11 @@ def _clean(shared, text: str):
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The rows of docs, with all their columns, in which no benchmark window occurs."""
+    """The rows of docs, with all their columns, in which no benchmark window occurs.
+
+    Null and empty texts have no words and stay, and so does everything if no item has words.  Rows with one id,
+    and equal rows, are judged each by its own text; an empty table stays empty.  Columns can have any names.
+    """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col("text").cast("string").alias("text"))

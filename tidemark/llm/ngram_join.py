@@ -535,7 +535,8 @@ def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     able = store.put("able", classes.join(shared, ["fp_hi", "fp_lo"]).where(f"100 * shared >= {percent} * n").withColumn("frac", F.col("shared") / F.col("n")))
     shingles = able.agg(F.sum("n")).first()[0] or 0
     shards, blocks = max(least, -(-shingles // SHARD_SHINGLES)), max(least, -(-shingles // BLOCK_SHINGLES))
-    text = docs.join(able.select(F.col("doc_id").alias("want")).distinct(), F.col("doc_id").eqNullSafe(F.col("want")), "left_semi")
+    # rows without an id, which may be many, are all looked at; the sets that are not able go below
+    text = docs.join(able.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").select("text").union(docs.where("doc_id is null").select("text"))
     sets = text.select("text").mapInArrow(_candidate_sets(width), "fp_hi long, fp_lo long, toks binary").dropDuplicates(["fp_hi", "fp_lo"])
     sets = store.put("sets", sets.join(able, ["fp_hi", "fp_lo"]).select("rid", "n", "frac", "toks"))
     own = sets.select(F.pmod(F.xxhash64("rid"), F.lit(blocks)).cast("int").alias("block"), "rid", "n", "toks").groupBy("block")

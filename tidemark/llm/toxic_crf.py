@@ -38,21 +38,33 @@ _FLOOR = 1e-4
 
 
 class Features:
-    """Learnt features by 64-bit key: one a slot, checked by 32 other bits of the key."""
+    """Learnt features by 64-bit key: one a slot of a table, and those whose slot is taken in a sorted list."""
 
     def __init__(self, keys: np.ndarray):
+        keys = np.unique(keys)
         slot = (keys >> U64(64 - _SLOT_BITS)).astype(np.int64)
-        _, first = np.unique(slot, return_index=True)  # of keys that share a slot one is learnt
-        self.n = len(first)
+        _, first = np.unique(slot, return_index=True)
+        self.n = len(keys)
         self.at = np.full(1 << _SLOT_BITS, self.n, np.int32)
-        self.check = np.zeros(1 << _SLOT_BITS, np.uint32)
-        self.at[slot[first]] = np.arange(self.n)
-        self.check[slot[first]] = keys[first].astype(np.uint32)
+        self.key = np.zeros(1 << _SLOT_BITS, U64)
+        self.at[slot[first]], self.key[slot[first]] = first, keys[first]
+        rest = np.ones(len(keys), bool)
+        rest[first] = False
+        self.more, self.more_at = keys[rest], np.flatnonzero(rest).astype(np.int32)
+        self.shared = np.zeros(1 << _SLOT_BITS, bool)
+        self.shared[slot[rest]] = True
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Feature numbers; self.n for keys that are not learnt."""
         slot = (keys >> U64(64 - _SLOT_BITS)).astype(np.int64)
-        return np.where(self.check[slot] == keys.astype(np.uint32), self.at[slot], np.int32(self.n))
+        same = self.key[slot] == keys
+        out = np.where(same, self.at[slot], np.int32(self.n))
+        look = np.flatnonzero(self.shared[slot] & ~same)
+        if len(look):
+            k = np.searchsorted(self.more, keys[look])
+            k[k == len(self.more)] = 0
+            out[look] = np.where(self.more[k] == keys[look], self.more_at[k], np.int32(self.n))
+        return out
 
 
 @dataclass
@@ -234,7 +246,12 @@ def _keep(shared, text: str):
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 3, remainder: int = 1) -> DataFrame:
-    """The rows of docs, with all their columns, that are not predicted toxic."""
+    """The rows of docs, with all their columns, that are not predicted toxic.
+
+    Null and empty texts have no toxic words and stay, unless without labels of both kinds the share of
+    toxic labels itself is over the threshold.  Rows with one id, and equal rows, are judged each by its own
+    text; an empty table stays empty.  Columns can have any names.
+    """
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(labelled.train(fit, docs, labels, label, mod, remainder, SAMPLE))
