@@ -1,4 +1,8 @@
-"""Corpus pipeline: documents to token ids, in stages that each keep what the next one works on."""
+"""Corpus pipeline: documents to token ids, in stages that each keep what the next one works on.
+
+All stages but the last return the columns they are given, whatever others there are beside doc_id, text and
+source.  What they do with nulls, empty texts, ties, equal rows and empty tables is said at each.
+"""
 
 from __future__ import annotations
 
@@ -9,27 +13,44 @@ from tidemark.llm.runtime import Stored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts stay, rows with one id are judged each by its own text, and an empty table stays empty.
+    """
     return toxic_crf.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays: of ties that with the smallest id, a null id last; of equal rows one.
+
+    Texts without words (null, empty, blank) are no duplicates of each other and all stay; an empty table stays empty.
+    """
     return ngram_join.without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go."""
+    """Documents with a benchmark passage go.
+
+    Null and empty texts stay, rows with one id are judged each by its own text, and an empty table stays empty.
+    """
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, copies as equal rows.
+
+    Texts without words are never taken; null is a source; rows with one id and sizes of equally many binary digits in one
+    source are taken together; an empty table stays empty.
+    """
     return source_mix.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, written and read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token ids, written and read back: doc_id, start, n_tokens, ids_crc32.
+
+    A row for each row, also of equal ones: null ids come first, null and empty texts are an end id alone, and an empty
+    table gives no rows.
+    """
     return token_output.token_store(docs)
 
 
