@@ -42,8 +42,8 @@ from tidemark.llm.runtime import Stored, blob, by_shard, joined, partitions, row
 U64 = np.uint64
 #: Classes that a region's join holds in memory from each side.
 BLOCK = 1024
-#: Pivots of a cut, and the classes of a region that needs no further cut.
-PIVOTS, LEAF = 8, 8
+#: Pivots of a cut, at most, and the classes at home of a region that needs no further cut.
+PIVOTS, LEAF = 8, 1
 #: A distributed cut that leaves more of the rows than this in regions beyond BLOCK is the last one.
 STALLED = 0.7
 #: Shingles gathered in a task before they are dealt to shards, and those that meet in a shard or a block: both follow the data.
