@@ -111,9 +111,17 @@ def bm25_scores(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFr
         raise ValueError(f"more than {MOST_TERMS} terms")
     toks = docs.select("record_id", T.tokens(F.col(text)).alias("toks"))
     toks = toks.select("record_id", F.size("toks").alias("dl"), F.filter("toks", lambda t: t.isin(wanted)).alias("own"))
-    totals = toks.agg(F.count("*").alias("n"), F.avg("dl").alias("mean")).select("n", F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0).alias("avgdl")).first()
-    tf = toks.where(F.size("own") > 0).select("record_id", "dl", F.explode("own").alias("term")).groupBy("record_id", "dl", "term").agg(F.count("*").alias("tf"))
-    return score_postings(tf, terms, F.lit(totals.n), F.lit(totals.avgdl))
+    # a row an occurrence, and one of each document's length, which add up to one a task: both from one scan
+    entry = lambda t, i, dl, n: F.struct(t.alias("term"), i.alias("record_id"), dl.alias("dl"), n.alias("length"))
+    none = lambda kind: F.lit(None).cast(kind)
+    key = docs.schema["record_id"].dataType.simpleString()
+    length = F.array(entry(none("string"), none(key), none("int"), F.col("dl").cast("long")))
+    rows = toks.select(F.explode(F.concat(F.transform("own", lambda t: entry(t, F.col("record_id"), F.col("dl"), none("bigint"))), length)).alias("e"))
+    rows = rows.groupBy("e.term", "e.record_id", "e.dl").agg(F.count("*").alias("tf"), F.sum("e.length").alias("tokens"))
+    totals = rows.where("tokens is not null").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+    totals = totals.select("n", F.when(F.col("tokens") > 0, F.col("tokens") / F.col("n")).otherwise(1.0).alias("avgdl"))
+    tf = rows.where("tokens is null").select("record_id", "dl", "term", "tf").join(F.broadcast(totals))  # one row
+    return score_postings(tf, terms, F.col("n"), F.col("avgdl"))
 
 
 def best(scores: DataFrame, terms: DataFrame, k: int, operator: str = "or", digits: int = 9) -> DataFrame:
