@@ -39,15 +39,15 @@ def _index(spark, sf, kind: str):
 
 
 def bm25_stored(spark, sf):
-    return _index(spark, sf, "text").bm25(tables.terms(spark), 10).select("query_id", "record_id", "score", "rank")
+    return _index(spark, sf, "text").bm25(tables.terms(spark, sf), 10).select("query_id", "record_id", "score", "rank")
 
 
 def bm25_stored_and(spark, sf):
-    return _index(spark, sf, "text").bm25(tables.terms(spark), 10, "and").select("query_id", "record_id", "score", "rank")
+    return _index(spark, sf, "text").bm25(tables.terms(spark, sf), 10, "and").select("query_id", "record_id", "score", "rank")
 
 
 def bm25_merged_deltas(spark, sf):
-    return _index(spark, sf, "deltas").bm25(tables.terms(spark), 10).select("query_id", "record_id", "score", "rank")
+    return _index(spark, sf, "deltas").bm25(tables.terms(spark, sf), 10).select("query_id", "record_id", "score", "rank")
 
 
 def phrase_stored(spark, sf):
@@ -62,17 +62,17 @@ def text_index_state(spark, sf):
 
 
 def ivf_stored(spark, sf):
-    hits = _index(spark, sf, "vectors").query(tables.query_set(spark, sf), 5, probes=PROBES)
+    hits = _index(spark, sf, "vectors").query(tables.vector_queries(spark, sf), 5, probes=PROBES)
     return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
 
 def ivf_stored_live(spark, sf):
-    hits = _index(spark, sf, "vectors").query(tables.query_set(spark, sf), 5, probes=PROBES, live=F.expr("not is_deleted and label <= 4"))
+    hits = _index(spark, sf, "vectors").query(tables.vector_queries(spark, sf), 5, probes=PROBES, live=F.expr("not is_deleted and label <= 4"))
     return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
 
 def ivf_bypass(spark, sf):
-    hits = _index(spark, sf, "vectors").query(tables.query_set(spark, sf), 5, bypass=True)
+    hits = _index(spark, sf, "vectors").query(tables.vector_queries(spark, sf), 5, bypass=True)
     return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
 
@@ -85,16 +85,16 @@ def ivf_stored_recall(spark, sf):
 
 
 def _samples(spark, sf):
-    """Queries 1 to 3 as they might have been served, by vector, text and both, and some that can't be graded."""
-    q = tables.vector_queries(spark, sf, 4).where("query_id > 0")
+    """The query set as it might have been served, by vector, text and both, and some that can't be graded."""
+    q = tables.vector_queries(spark, sf)
     v, d = tables.vectors(spark, sf), tables.texts(spark, sf)
     ids = lambda h, order: h.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct(order.alias("o"), "record_id"))), lambda x: x["record_id"]).alias("result_ids"))
     served = {
         "vector": ids(search.knn(v, q, 5, "l2", F.col("record_id") % 4 != 1), F.col("rank")),
-        "text": ids(search.bm25(d, tables.terms(spark), 5), -F.col("rank")),
+        "text": ids(search.bm25(d, tables.terms(spark, sf), 5), -F.col("rank")),
         "hybrid": ids(search.knn(v, q, 5, "l2"), F.col("rank")),
     }
-    terms = tables.terms(spark).groupBy("query_id").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    terms = tables.terms(spark, sf).groupBy("query_id").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     base = q.withColumnRenamed("vector", "query_vector").join(terms, "query_id")
     rows = None
     for i, (kind, got) in enumerate(served.items()):
@@ -130,10 +130,10 @@ def _ivf_sql(where: str = "true") -> str:
   (SELECT q.query_id, v.record_id, {R._DIST['l2'].format('v.vector', 'q.vector')} AS dd FROM near JOIN q USING (query_id) JOIN pl USING (pid) JOIN v ON v.record_id = pl.record_id WHERE {where})) WHERE rank <= 5"""
 
 
-_Q3 = f""",, q3 AS (SELECT * FROM q WHERE query_id BETWEEN 1 AND 3), vl AS ({R._knn_sql('l2', 5, queries='q3')}), tl AS ({R._top(R._bm25_sql(), 5)}), hl AS ({R._top(R._RRF, 5, 12)}),
+_SERVED = f""",, vl AS ({R._knn_sql('l2', 5)}), tl AS ({R._top(R._bm25_sql(), 5)}), hl AS ({R._top(R._RRF, 5, 12)}),
 truth AS (SELECT query_id * 10 + 0 AS sample_id, 'vector' AS query_type, list(record_id ORDER BY rank) AS t FROM vl GROUP BY query_id UNION ALL SELECT query_id * 10 + 1, 'text', list(record_id ORDER BY rank) FROM tl GROUP BY query_id
   UNION ALL SELECT query_id * 10 + 2, 'hybrid', list(record_id ORDER BY rank) FROM hl GROUP BY query_id),
-served AS (SELECT query_id * 10 + 0 AS sample_id, list(record_id ORDER BY rank) AS got FROM ({R._knn_sql('l2', 5, 'v.record_id % 4 <> 1', 'q3')}) GROUP BY query_id UNION ALL SELECT query_id * 10 + 1, list(record_id ORDER BY rank DESC) FROM tl GROUP BY query_id
+served AS (SELECT query_id * 10 + 0 AS sample_id, list(record_id ORDER BY rank) AS got FROM ({R._knn_sql('l2', 5, 'v.record_id % 4 <> 1')}) GROUP BY query_id UNION ALL SELECT query_id * 10 + 1, list(record_id ORDER BY rank DESC) FROM tl GROUP BY query_id
   UNION ALL SELECT query_id * 10 + 2, list(record_id ORDER BY rank) FROM vl GROUP BY query_id)"""
 ORACLES = {
     "bm25_stored": R.ORACLES["bm25_or"],
@@ -141,15 +141,15 @@ ORACLES = {
     "bm25_merged_deltas": R.ORACLES["bm25_or"],
     "phrase_stored": R.ORACLES["phrase_slop"],
     "text_index_state": sql("SELECT count(*) AS n, CAST(sum(len(toks)) AS BIGINT) AS tokens, CAST(6 AS BIGINT) AS files, CAST(0 AS BIGINT) AS deltas FROM toks", "toks"),
-    "ivf_stored": tables.over_query_set(sql(f",, pl AS ({R._PLACED}), {_NEAR} {_ivf_sql()}", "v", "q", "c")),
-    "ivf_stored_live": tables.over_query_set(sql(f",, pl AS ({R._PLACED}), {_NEAR} {_ivf_sql('NOT v.is_deleted AND v.label <= 4')}", "v", "q", "c")),
-    "ivf_bypass": R.ORACLES["knn_l2_all"],
-    "ivf_stored_recall": tables.over_query_set(sql(f",, pl AS ({R._PLACED}), {_NEAR}, g AS ({_ivf_sql()}), e AS ({R._knn_sql('l2')}) SELECT round(avg(found), 9) AS recall FROM (SELECT count(g.record_id) / count(*) AS found FROM e LEFT JOIN g USING (query_id, record_id) GROUP BY e.query_id)", "v", "q", "c")),
-    "recall_samples": sql(_Q3 + """, graded AS (SELECT sample_id, query_type, len(list_intersect(t, got)) / least(5, len(t)) AS recall,
+    "ivf_stored": sql(f",, pl AS ({R._PLACED}), {_NEAR} {_ivf_sql()}", "v", "q", "c"),
+    "ivf_stored_live": sql(f",, pl AS ({R._PLACED}), {_NEAR} {_ivf_sql('NOT v.is_deleted AND v.label <= 4')}", "v", "q", "c"),
+    "ivf_bypass": R.ORACLES["knn_l2"],
+    "ivf_stored_recall": sql(f",, pl AS ({R._PLACED}), {_NEAR}, g AS ({_ivf_sql()}), e AS ({R._knn_sql('l2')}) SELECT round(avg(found), 9) AS recall FROM (SELECT count(g.record_id) / count(*) AS found FROM e LEFT JOIN g USING (query_id, record_id) GROUP BY e.query_id)", "v", "q", "c"),
+    "recall_samples": sql(_SERVED + """, graded AS (SELECT sample_id, query_type, len(list_intersect(t, got)) / least(5, len(t)) AS recall,
   list_sum(list_transform(range(1, len(got) + 1), lambda i: CASE WHEN list_position(t, got[i]) > 0 THEN len(t) - list_position(t, got[i]) + 1 ELSE 0 END / log2(i + 1))) / list_sum(list_transform(range(1, len(t) + 1), lambda i: (len(t) - i + 1) / log2(i + 1))) AS ndcg,
   CASE WHEN list_position(got, t[1]) > 0 THEN 1.0::DOUBLE / list_position(got, t[1]) ELSE 0 END AS mrr FROM truth JOIN served USING (sample_id))
 SELECT sample_id, query_type, round(recall, 9) AS recall, round(ndcg, 9) AS ndcg, round(mrr, 9) AS mrr, NULL AS skip FROM graded
-UNION ALL SELECT query_id * 10 + x, kind, NULL, NULL, NULL, why FROM q3, (VALUES (5, 'vector', 'null_result_ids'), (6, 'vector', 'missing_vector'), (7, 'hybrid', 'fusion_replay')) AS y(x, kind, why)""", *R._LEG_VIEWS),
+UNION ALL SELECT query_id * 10 + x, kind, NULL, NULL, NULL, why FROM q, (VALUES (5, 'vector', 'null_result_ids'), (6, 'vector', 'missing_vector'), (7, 'hybrid', 'fusion_replay')) AS y(x, kind, why)""", *R._LEG_VIEWS),
     "state_differences": sql("""SELECT record_id, CASE WHEN record_id % 50 = 7 THEN 'missing' ELSE 'changed' END AS problem,
   CASE WHEN record_id % 50 <> 7 THEN array_to_string(list_filter([CASE WHEN record_id % 40 = 3 AND lang IS NOT NULL THEN 'lang' END, CASE WHEN record_id % 60 = 3 AND source IS DISTINCT FROM 'other' THEN 'source' END], lambda z: z IS NOT NULL), ',') END AS columns
   FROM d WHERE record_id % 50 = 7 OR (record_id % 40 = 3 AND lang IS NOT NULL) OR (record_id % 60 = 3 AND source IS DISTINCT FROM 'other')

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -41,11 +39,11 @@ def default_projection(spark, sf):
     return d.where(serving_predicate(None, d.columns)).select(*projection(d.columns, [], "record_id", "is_deleted", set())).groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest"))
 
 
-def _knn(metric, queries=tables.vector_queries, **more):
+def _knn(metric, **more):
     def run(spark, sf):
         v = tables.vectors(spark, sf)
         live = more["live"](v) if more else None
-        hits = search.knn(v, queries(spark, sf), 5, metric, live)
+        hits = search.knn(v, tables.vector_queries(spark, sf), 5, metric, live)
         return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
     return run
@@ -75,41 +73,36 @@ def salted_partitions(spark, sf):
 
 
 def ivf_probe(spark, sf):
-    return search.ivf_knn(tables.vectors(spark, sf), tables.centroids(spark, sf), tables.vector_queries(spark, sf), 5, 4).select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
+    return search.ivf_knn(tables.vectors(spark, sf), tables.centroids(spark, sf), tables.vector_queries(spark, sf), 5, PROBES).select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
 
 def ivf_search(spark, sf):
     v = tables.vectors(spark, sf)
-    hits = search.ivf_knn(v, maintenance.train_centroids(v, PARTITIONS), tables.query_set(spark, sf), 5, PROBES)
+    hits = search.ivf_knn(v, maintenance.train_centroids(v, PARTITIONS), tables.vector_queries(spark, sf), 5, PROBES)
     return hits.select("query_id", "record_id", F.round("distance", 9).alias("distance"), "rank")
 
 
 def ivf_recall(spark, sf):
     """Mean recall of ivf_search against the exact scan, over the whole query set."""
-    truth = search.knn(tables.vectors(spark, sf), tables.query_set(spark, sf), 5, "l2")
+    truth = search.knn(tables.vectors(spark, sf), tables.vector_queries(spark, sf), 5, "l2")
     got = ivf_search(spark, sf)
     lists = lambda h, name: h.groupBy("query_id").agg(F.collect_set("record_id").alias(name))
     each = lists(truth, "t").join(lists(got, "g"), "query_id", "left").select(F.size(F.array_intersect("t", F.coalesce("g", F.array().cast("array<bigint>")))) / F.size("t"))
     return each.toDF("recall").agg(F.round(F.avg("recall"), 9).alias("recall"))
 
 
-def term_stats(spark, sf):
+def token_freq(spark, sf):
     """Occurrences and document frequency of every term."""
     return search.postings(tables.texts(spark, sf)).groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
 
 
-def token_freq(spark, sf):
-    """Of the terms in five documents at least, as its SQL says; ``term_stats`` has them all."""
-    return term_stats(spark, sf).where("df >= 5")
-
-
 def corpus_stats(spark, sf):
     return search.corpus_stats(tables.texts(spark, sf)).select("n", F.round("avgdl", 9).alias("avgdl"))
 
 
 def _bm25(operator):
     def run(spark, sf):
-        return search.bm25(tables.texts(spark, sf), tables.terms(spark), 10, operator).select("query_id", "record_id", "score", "rank")
+        return search.bm25(tables.texts(spark, sf), tables.terms(spark, sf), 10, operator).select("query_id", "record_id", "score", "rank")
 
     return run
 
@@ -152,8 +145,8 @@ def boost_query(spark, sf):
 
 
 def _legs(spark, sf, k):
-    queries = tables.vector_queries(spark, sf, 4).where("query_id > 0")
-    return search.knn(tables.vectors(spark, sf), queries, k, "l2"), search.bm25(tables.texts(spark, sf), tables.terms(spark), k)
+    queries = tables.vector_queries(spark, sf)
+    return search.knn(tables.vectors(spark, sf), queries, k, "l2"), search.bm25(tables.texts(spark, sf), tables.terms(spark, sf), k)
 
 
 def text_query_tree(spark, sf):
@@ -181,7 +174,7 @@ def centroid_assign_metrics(spark, sf):
 
 def hits_missing(spark, sf):
     """Queries that lose hits when copies of a record count once."""
-    return search.underfilled(dedup_hits(spark, sf, tables.query_set), tables.query_set(spark, sf), 6)
+    return search.underfilled(dedup_hits(spark, sf), tables.vector_queries(spark, sf), 6)
 
 
 def rrf(spark, sf):
@@ -202,29 +195,29 @@ def hybrid_modes(spark, sf):
 
 
 def hybrid_search(spark, sf):
-    queries = tables.vector_queries(spark, sf, 4).where("query_id > 0")
-    return hybrid_plan(tables.vectors(spark, sf), tables.texts(spark, sf), queries, tables.terms(spark), 10)
+    queries = tables.vector_queries(spark, sf)
+    return hybrid_plan(tables.vectors(spark, sf), tables.texts(spark, sf), queries, tables.terms(spark, sf), 10)
 
 
-def dedup_hits(spark, sf, queries=tables.vector_queries):
+def dedup_hits(spark, sf):
     v = tables.vectors(spark, sf)
-    hits = search.knn(v, queries(spark, sf), 6, "l2").select("query_id", (F.col("record_id") % 50).alias("record_id"), F.round("distance", 9).alias("score"))
+    hits = search.knn(v, tables.vector_queries(spark, sf), 6, "l2").select("query_id", (F.col("record_id") % 50).alias("record_id"), F.round("distance", 9).alias("score"))
     return search.best_per_record(hits, True)
 
 
-def _audit(spark, sf, queries):
-    v, q = tables.vectors(spark, sf), queries(spark, sf)
+def _audit(spark, sf):
+    v, q = tables.vectors(spark, sf), tables.vector_queries(spark, sf)
     ids = lambda h: h.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "record_id"))), lambda x: x["record_id"]).alias("ids"))
     served = ids(search.knn(v, q, 10, "l2", F.col("record_id") % 4 != 1))
     return audit.ranking_quality(served, ids(search.knn(v, q, 10, "l2")), 10)
 
 
-def ranking_quality(spark, sf, queries=tables.vector_queries):
-    return _audit(spark, sf, queries).select("query_id", *[F.round(c, 9).alias(c) for c in ("recall", "ndcg", "mrr")])
+def ranking_quality(spark, sf):
+    return _audit(spark, sf).select("query_id", *[F.round(c, 9).alias(c) for c in ("recall", "ndcg", "mrr")])
 
 
-def report_grouping_sets(spark, sf, queries=tables.vector_queries):
-    rows = _audit(spark, sf, queries).select("recall", (F.col("query_id") % 3).alias("org"), T.parameter_bucket(F.col("query_id"), "none").alias("probes"))
+def report_grouping_sets(spark, sf):
+    rows = _audit(spark, sf).select("recall", (F.col("query_id") % 3).alias("org"), T.parameter_bucket(F.col("query_id"), "none").alias("probes"))
     return audit.report(rows, "recall", ["org", "probes"])
 
 
@@ -237,11 +230,8 @@ QUERIES = {name: _filter(node) for name, (node, _) in FILTERS.items()}
 QUERIES |= {f"knn_{m}": _knn(m) for m in V.METRICS}
 _LIVE = lambda v: serving_predicate({"op": "compare", "column": "label", "cmp": "le", "value": 4}, v.columns)
 QUERIES |= {"knn_filtered": _knn("l2", live=_LIVE)}
-#: The same over the whole query set.
-QUERIES |= {f"knn_{m}_all": _knn(m, tables.query_set) for m in V.METRICS} | {"knn_filtered_all": _knn("l2", tables.query_set, live=_LIVE)}
-QUERIES |= {f"{f.__name__}_all": partial(f, queries=tables.query_set) for f in (dedup_hits, ranking_quality, report_grouping_sets)}
 QUERIES |= {"bm25_or": _bm25("or"), "bm25_and": _bm25("and")}
-QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, term_stats, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, text_query_nodes, centroid_assign_metrics, hits_missing, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
+QUERIES |= {f.__name__: f for f in (default_projection, candidates_seen, normalised_rows, centroid_assign, partition_histogram, salted_partitions, ivf_probe, ivf_search, ivf_recall, token_freq, corpus_stats, bm25_multi_boost, phrase, phrase_slop, fuzzy_match, boolean_query, boost_query, text_query_tree, text_query_nodes, centroid_assign_metrics, hits_missing, rrf, weighted_fusion, hybrid_modes, hybrid_search, dedup_hits, ranking_quality, report_grouping_sets, param_buckets)}
 
 _DIST = {
     "l2": "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))",
@@ -274,7 +264,7 @@ def _top(body, k=10, digits=9):
 
 _AND = f"SELECT x.* FROM ({_bm25_sql()}) x JOIN (SELECT query_id, count(*) AS need FROM terms GROUP BY query_id) USING (query_id) WHERE matched = need"
 _TAG = ", tagtoks AS (SELECT record_id, regexp_extract_all(lower(lang || ' ' || source), '[\\p{L}\\p{M}\\p{N}_]+') AS toks FROM d), mt AS (SELECT CAST(query_id AS BIGINT) AS query_id, term FROM (VALUES (1, 'fr'), (1, 'license'), (2, 'src3'), (2, 'under')) AS t(query_id, term))"
-_LEGS = f""",, q3 AS (SELECT * FROM q WHERE query_id BETWEEN 1 AND 3), vl AS ({_knn_sql('l2', 20, queries='q3')}), tl AS ({_top(_bm25_sql(), 20)})"""
+_LEGS = f""",, vl AS ({_knn_sql('l2', 20)}), tl AS ({_top(_bm25_sql(), 20)})"""
 _LEG_VIEWS = ("v", "q", "toks", "terms")
 
 
@@ -303,9 +293,9 @@ ORACLES |= {
     "centroid_assign": sql(_PLACED, "v", "c"),
     "partition_histogram": sql(f"SELECT pid, count(*) AS n FROM ({_PLACED}) GROUP BY pid", "v", "c"),
     "salted_partitions": sql(f",, pl AS ({_PLACED}), h AS (SELECT pid, CAST(ceil(count(*) / 40) AS INTEGER) AS salts FROM pl GROUP BY pid) SELECT record_id, pid, CAST(CAST('0x' || substr(sha256(CAST(record_id AS VARCHAR)), 1, 8) AS BIGINT) % salts AS INTEGER) AS salt FROM pl JOIN h USING (pid)", "v", "c"),
-    "ivf_probe": sql(f""",, pl AS ({_PLACED}), near AS (SELECT query_id, pid FROM (SELECT q.query_id, c.pid, {_DIST['l2'].format('c.centroid', 'q.vector')} AS dd FROM q, c) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY dd, pid) <= 4)
+    "ivf_probe": sql(f""",, pl AS ({_PLACED}), near AS (SELECT query_id, pid FROM (SELECT q.query_id, c.pid, {_DIST['l2'].format('c.centroid', 'q.vector')} AS dd FROM q, c) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY dd, pid) <= 8)
 SELECT query_id, record_id, round(dd, 9) AS distance, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dd, record_id) AS rank FROM (SELECT q.query_id, v.record_id, {_DIST['l2'].format('v.vector', 'q.vector')} AS dd FROM near JOIN q USING (query_id) JOIN pl USING (pid) JOIN v ON v.record_id = pl.record_id)) WHERE rank <= 5""", "v", "q", "c"),
-    "token_freq": sql("SELECT term, count(*) AS n, count(DISTINCT record_id) AS df FROM (SELECT record_id, unnest(toks) AS term FROM toks) GROUP BY term HAVING df >= 5", "toks"),
+    "token_freq": sql("SELECT term, count(*) AS n, count(DISTINCT record_id) AS df FROM (SELECT record_id, unnest(toks) AS term FROM toks) GROUP BY term", "toks"),
     "corpus_stats": sql("SELECT count(*) AS n, round(avg(len(toks)), 9) AS avgdl FROM toks", "toks"),
     "bm25_or": sql(_top(_bm25_sql()), "toks", "terms"),
     "bm25_and": sql(_top(_AND), "toks", "terms"),
@@ -319,7 +309,7 @@ SELECT query_id, record_id, round(dd, 9) AS distance, rank FROM (SELECT *, row_n
     "rrf": sql(_LEGS + _top(_RRF, 10, 12), *_LEG_VIEWS),
     "weighted_fusion": sql(_LEGS + f" SELECT query_id, record_id, round(score, 9) AS score, rank FROM ({_top(_weighted_sql(0.8), 10, 12)})", *_LEG_VIEWS),
     "hybrid_modes": sql(_LEGS + " UNION ALL ".join(f" SELECT '{m}' AS mode, query_id, record_id, round(score, 9) AS score FROM ({_top(b, 10, 12)})" for m, b in (("semantic", _weighted_sql(0.8)), ("lexical", _weighted_sql(0.2)), ("balanced", _RRF))), *_LEG_VIEWS),
-    "hybrid_search": sql(f""",, q3 AS (SELECT * FROM q WHERE query_id BETWEEN 1 AND 3), vl AS ({_knn_sql('cosine', 20, 'NOT v.is_deleted', 'q3')}), lt AS (SELECT * FROM toks WHERE record_id % 11 <> 5), tl AS ({_top(_bm25_sql('lt'), 20)}) {_top(_RRF, 10, 12)}""", *_LEG_VIEWS),
+    "hybrid_search": sql(f""",, vl AS ({_knn_sql('cosine', 20, 'NOT v.is_deleted')}), lt AS (SELECT * FROM toks WHERE record_id % 11 <> 5), tl AS ({_top(_bm25_sql('lt'), 20)}) {_top(_RRF, 10, 12)}""", *_LEG_VIEWS),
     "dedup_hits": sql(f"SELECT query_id, record_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, record_id) AS rank FROM (SELECT query_id, record_id % 50 AS record_id, min(distance) AS score FROM ({_knn_sql('l2', 6)}) GROUP BY ALL)", "v", "q"),
     "ranking_quality": sql(_LISTS + " SELECT query_id, round(recall, 9) AS recall, round(ndcg, 9) AS ndcg, round(mrr, 9) AS mrr FROM graded", "v", "q"),
     "report_grouping_sets": sql(_LISTS + f""", g AS (SELECT recall, query_id % 3 AS org, {_BUCKET.format('query_id', 'none')} AS probes FROM graded)
@@ -328,7 +318,6 @@ FROM g GROUP BY GROUPING SETS ((), (org), (probes))""", "v", "q"),
     "param_buckets": f"SELECT {_BUCKET.format('x', 'default')} AS bucket, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 90 - 5 <> 50 THEN o_orderkey % 90 - 5 END AS x FROM orders) GROUP BY 1",
 }
 ORACLES["text_query_tree"] = ORACLES["boolean_query"]
-ORACLES |= {f"{name}_all": tables.over_query_set(ORACLES[name]) for name in (*(f"knn_{m}" for m in V.METRICS), "knn_filtered", "dedup_hits", "ranking_quality", "report_grouping_sets")}
 _NODES = {"must": _bm25_sql(terms=_ONE.format("'under', 'license'")), "positive": _bm25_sql(terms=_ONE.format("'version'")), "negative": _bm25_sql(terms=_ONE.format("'mit'"))}
 ORACLES["text_query_nodes"] = sql(f""",, lt AS (SELECT record_id, regexp_extract_all(lower(coalesce(lang, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS toks FROM d),
 a AS (SELECT query_id, record_id, 2.0::DOUBLE * score AS score FROM ({_NODES['must']}) WHERE matched = 2), b AS (SELECT p.query_id, p.record_id, CASE WHEN n.record_id IS NULL THEN p.score ELSE p.score * 0.25::DOUBLE END AS score FROM ({_NODES['positive']}) p LEFT JOIN ({_NODES['negative']}) n USING (query_id, record_id)),
@@ -339,5 +328,4 @@ ORACLES["centroid_assign_metrics"] = " UNION ALL ".join(
     "SELECT pid, count(*) AS n, CAST(sum(record_id) AS BIGINT) AS ids, '" + m + "' AS metric FROM (" + sql(f"SELECT record_id, arg_min(pid, (d, pid)) AS pid FROM (SELECT v.record_id, c.pid, {_DIST[m].format('v.vector', 'c.centroid')} AS d FROM v, c) GROUP BY record_id", "v", "c") + ") GROUP BY pid"
     for m in ("cosine", "dot")
 )
-ORACLES["hits_missing"] = "SELECT query_id, 6 - count(*) AS missing FROM (" + ORACLES["dedup_hits_all"] + ") GROUP BY query_id HAVING count(*) < 6"
-ORACLES["term_stats"] = sql("SELECT term, count(*) AS n, count(DISTINCT record_id) AS df FROM (SELECT record_id, unnest(toks) AS term FROM toks) GROUP BY term", "toks")
+ORACLES["hits_missing"] = "SELECT query_id, 6 - count(*) AS missing FROM (" + ORACLES["dedup_hits"] + ") GROUP BY query_id HAVING count(*) < 6"

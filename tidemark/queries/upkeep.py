@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance
@@ -12,17 +10,7 @@ from tidemark.queries.retrieval import _PLACED
 from tidemark.sources import samples, tables
 from tidemark.sources.tables import sql
 
-ROUTE = ("t1", "n1", "o5")
-
-
 def streamed_source_digest(spark, sf):
-    rows = Q.cdc.latest(Q._terminal(spark, sf), Q.KEYS)
-    for c, v in zip(("tenant_id", "namespace", "org_id"), ROUTE, strict=True):
-        rows = rows.where(F.col(c) == v)
-    return spark.createDataFrame([(maintenance.streamed_source_digest(rows, "record_id", "source_sequence", "event_digest", 4),)], "digest string")
-
-
-def streamed_source_digests(spark, sf):
     """The streamed digest of every route."""
     columns = ("tenant_id", "namespace", "org_id")
     rows = Q.cdc.latest(Q._terminal(spark, sf), Q.KEYS)
@@ -45,8 +33,8 @@ def trained_partitions(spark, sf):
     return maintenance.search.nearest_centroid(v, maintenance.train_centroids(v, 8)).groupBy("pid").agg(F.count("*").alias("n"))
 
 
-def captured_samples(spark, sf, queries=tables.vector_queries):
-    hits = maintenance.search.knn(tables.vectors(spark, sf), queries(spark, sf), 3, "l2").withColumn("distance", F.round("distance", 9))
+def captured_samples(spark, sf):
+    hits = maintenance.search.knn(tables.vectors(spark, sf), tables.vector_queries(spark, sf), 3, "l2").withColumn("distance", F.round("distance", 9))
     kept = samples.capture(hits, 3)
     return kept.select("query_id", "k", F.array_join(F.transform("result_ids", lambda x: x.cast("string")), ",").alias("ids"))
 
@@ -59,11 +47,9 @@ def sample_reasons(spark, sf):
     return samples.reasons(samples.parse(e))
 
 
-QUERIES = {f.__name__: f for f in (streamed_source_digest, streamed_source_digests, clustered_layout, trained_partitions, captured_samples, sample_reasons)}
-QUERIES |= {"captured_samples_all": partial(captured_samples, queries=tables.query_set)}
+QUERIES = {f.__name__: f for f in (streamed_source_digest, clustered_layout, trained_partitions, captured_samples, sample_reasons)}
 _KNN = "list_sum(list_transform(list_zip(v.vector, q.vector), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
 ORACLES = {
-    "streamed_source_digest": sql(Q._T + Q._L + f" SELECT sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l WHERE tenant_id = '{ROUTE[0]}' AND namespace = '{ROUTE[1]}' AND org_id = '{ROUTE[2]}'", "m"),
     "captured_samples": sql(f"SELECT query_id, 3 AS k, string_agg(CAST(record_id AS VARCHAR), ',' ORDER BY d, record_id) AS ids FROM (SELECT q.query_id, v.record_id, {_KNN} AS d FROM v, q QUALIFY row_number() OVER (PARTITION BY q.query_id ORDER BY d, v.record_id) <= 3) GROUP BY query_id", "v", "q"),
     "sample_reasons": """SELECT CASE WHEN event_id % 50 = 1 THEN 'unparsable' WHEN event_id % 10 < 1 THEN 'bad_k' WHEN event_id % 4 <> 0 AND event_id % 40 = 1 THEN 'unknown_type'
   WHEN event_id % 4 <> 0 AND event_id % 3 = 0 THEN 'missing_vector' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY 1""",
@@ -74,5 +60,4 @@ st AS (SELECT CAST(-1 AS BIGINT) AS pid, CAST(0 AS BIGINT) AS made, false AS ope
   CASE WHEN n <= 60 AND open AND size + n <= 60 THEN made - 1 ELSE made END, CASE WHEN n > 60 THEN CAST(ceil(n / 60) AS BIGINT) ELSE 1 END FROM st JOIN h ON h.pid = st.pid + 1),
 x AS (SELECT pl.pid, CAST(CAST('0x' || substr(sha256(CAST(record_id AS VARCHAR)), 1, 8) AS BIGINT) % salts AS INTEGER) AS salt, first FROM pl JOIN st USING (pid))
 SELECT CAST(first + salt AS INTEGER) AS bucket, count(*) AS n, min(pid) AS first, max(pid) AS last, max(salt) AS salt FROM x GROUP BY 1""", "v", "c", recursive=True)
-ORACLES["captured_samples_all"] = tables.over_query_set(ORACLES["captured_samples"])
-ORACLES["streamed_source_digests"] = sql(Q._T + Q._L + f" SELECT tenant_id, namespace, org_id, sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l GROUP BY tenant_id, namespace, org_id", "m")
+ORACLES["streamed_source_digest"] = sql(Q._T + Q._L + f" SELECT tenant_id, namespace, org_id, sha256(unhex('{Q.D.SOURCE_HEADER.encode().hex().upper()}' || string_agg({Q._TEXT.format('record_id')} || printf('%016X', source_sequence) || upper(event_digest), '' ORDER BY record_id))) AS digest FROM l GROUP BY tenant_id, namespace, org_id", "m")

@@ -44,13 +44,8 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("record_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("long").alias("label"), ((F.col("vec_id") % 7) == 3).alias("is_deleted"))
 
 
-def vector_queries(spark: SparkSession, sf_dir: str, n: int = 20) -> DataFrame:
-    """The given query set: the vectors with the first ids."""
-    return vectors(spark, sf_dir).where(F.col("record_id") < n).select(F.col("record_id").alias("query_id"), "vector")
-
-
-def query_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole query set, which grows with the table: the vectors whose ids are divisible by 100."""
+def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query set, which grows with the table: the vectors whose ids are divisible by 100."""
     return vectors(spark, sf_dir).where(F.col("record_id") % 100 == 0).select(F.col("record_id").alias("query_id"), "vector")
 
 
@@ -64,12 +59,15 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text", "lang", "source", "n_chars", ((F.col("doc_id") % 11) == 5).alias("is_deleted"))
 
 
-#: Query terms by query, as the text legs take them.
-TERMS = ((1, "the"), (1, "of"), (1, "thing"), (2, "license"), (2, "under"), (3, "que"), (3, "der"), (3, "license"))
+#: Query terms, which the queries take in turn.
+TERM_SETS = (("the", "of", "thing"), ("license", "under"), ("que", "der", "license"))
 
 
-def terms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TERMS), "query_id long, term string")
+def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, term) of the whole query set."""
+    sets = F.array(*[F.array(*[F.lit(t) for t in own]) for own in TERM_SETS])
+    turn = F.pmod(F.floor(F.col("query_id") / 100), F.lit(len(TERM_SETS))).cast("int")
+    return vector_queries(spark, sf_dir).select("query_id", F.explode(F.element_at(sets, turn + 1)).alias("term"))
 
 
 def work(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,11 +204,11 @@ VIEWS = {
   CASE event_type WHEN 'signup' THEN 'insert' WHEN 'purchase' THEN 'upsert' WHEN 'error' THEN 'delete' ELSE 'update' END AS op,
   ts, epoch_us(ts) AS ts_us, event_id AS source_sequence, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS window_seq, event_type AS kind, strftime(ts, '%Y-%m-%d') AS day, value AS amount FROM events""",
     "v": f"SELECT vec_id AS record_id, {_V} AS vector, CAST(label AS BIGINT) AS label, vec_id % 7 = 3 AS is_deleted FROM embeddings",
-    "q": f"SELECT vec_id AS query_id, {_V} AS vector FROM embeddings WHERE vec_id < 20",
+    "q": f"SELECT vec_id AS query_id, {_V} AS vector FROM embeddings WHERE vec_id % 100 = 0",
     "c": f"SELECT CAST(label AS BIGINT) AS pid, min_by({_V}, vec_id) AS centroid FROM embeddings GROUP BY label",
     "d": "SELECT doc_id AS record_id, text, lang, source, n_chars, doc_id % 11 = 5 AS is_deleted FROM documents",
     "toks": r"SELECT doc_id AS record_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}_]+') AS toks FROM documents",
-    "terms": "SELECT CAST(query_id AS BIGINT) AS query_id, term FROM (VALUES " + ", ".join(f"({q}, '{t}')" for q, t in TERMS) + ") AS t(query_id, term)",
+    "terms": "SELECT CAST(vec_id AS BIGINT) AS query_id, unnest(" + str([list(t) for t in TERM_SETS]) + f"[1 + vec_id // 100 % {len(TERM_SETS)}]) AS term FROM embeddings WHERE vec_id % 100 = 0",
     "w": """SELECT CAST(o_orderkey AS BIGINT) AS work_id, CAST(o_custkey AS BIGINT) AS dataset_id, CAST(o_custkey % 25 AS BIGINT) AS source_id,
   CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 97 AS BIGINT) END AS source_seq,
   CASE WHEN o_orderkey % 3 = 0 THEN 'PUBLISH' WHEN o_orderkey % 13 = 1 THEN 'REBUILD' ELSE 'INGEST' END AS kind,
@@ -250,8 +248,3 @@ def sql(body: str, *views: str, recursive: bool = False) -> str:
     """A query over the named views."""
     heads = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in views)
     return f"WITH {'RECURSIVE ' if recursive else ''}{heads}{',' if body.lstrip().startswith(',,') else ''}\n{body.lstrip().removeprefix(',,')}" if heads else body
-
-
-def over_query_set(text: str) -> str:
-    """A query over the view q with the whole query set in its place."""
-    return text.replace(f"q AS ({VIEWS['q']})", "q AS (" + VIEWS["q"].replace("vec_id < 20", "vec_id % 100 = 0") + ")")
