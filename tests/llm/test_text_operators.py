@@ -133,7 +133,7 @@ def test_common_shingles_reach_a_shard_once_a_block(spark, monkeypatch):
     """Small blocks, shards and hot keys everywhere change nothing."""
     from tidemark.llm import components
 
-    for module, name, n in ((ngram_join, "GATHER", 300), (ngram_join, "SHARD_SHINGLES", 500), (ngram_join, "BLOCK_SHINGLES", 300), (components, "HOT_ROWS", 1), (components, "HOT_SHARE", 1 << 40)):
+    for module, name, n in ((ngram_join, "GATHER", 300), (ngram_join, "SHARD_SHINGLES", 500), (ngram_join, "BLOCK_SHINGLES", 300), (components, "HOT_ROWS", 1), (components, "HOT_SHARE", 1 << 40), (components, "BROADCAST_NODES", 0)):
         monkeypatch.setattr(module, name, n)
     rows = [r for r in H.corpus(3) if len(r[1] or "") < 50_000]
     docs = spark.createDataFrame(rows, H.SCHEMA)
@@ -142,6 +142,20 @@ def test_common_shingles_reach_a_shard_once_a_block(spark, monkeypatch):
     assert sorted(r.doc_id for r in ngram_join.without_near_duplicates(docs).collect()) == sorted(i for i, (n, c) in want.items() if not n or i == c)
 
 
+@pytest.mark.parametrize("nodes", [0, 1 << 20])
+def test_components_of_chains_stars_and_rings(spark, monkeypatch, nodes):
+    from tidemark.llm import components
+    from tidemark.llm.runtime import Stored
+
+    monkeypatch.setattr(components, "BROADCAST_NODES", nodes)
+    monkeypatch.setattr(components, "HOT_ROWS", 5)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 240)] + [(300 + i, 300 + (i + 1) % 9) for i in range(9)] + [(50, 50), (1, 2), (2, 1)]
+    random.Random(1).shuffle(edges)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    got = {r.node: r.label for r in components.components(Stored(spark), df, "t").collect()}
+    assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in (7, *range(200, 240))} | {300 + i: 300 for i in range(9)} | {1: 1, 2: 1}
+
+
 def test_near_duplicates_with_the_operators_own_names(spark, rows):
     docs = spark.createDataFrame(rows, H.SCHEMA)
     for c in ("k_n", "k_hi", "k_lo", "k_id", "__k_n", "__hi", "__lo", "__words", "__k_id", "__c0"):

@@ -10,6 +10,8 @@ from tidemark.llm.runtime import Stored
 
 #: A key with more rows than this is hot, unless that many keys could be: then one with this share of all rows.
 HOT_ROWS, HOT_SHARE = 1000, 10_000
+#: Nodes whose labels are broadcast, 16 bytes each; those of larger graphs are joined by shuffle.
+BROADCAST_NODES = 500_000
 
 
 def join_hot(rows: DataFrame, keyed: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -57,25 +59,34 @@ def components(store: Stored, edges: DataFrame, name: str) -> DataFrame:
 
     Each partition's edges, of the size that adaptive execution gives a partition, are contracted
     first.  Each round takes the smallest label among neighbours and then the label's own
-    label, so paths shrink geometrically; rounds end when nothing changes.  Nodes with very many
-    neighbours, and labels of very many nodes, are joined by broadcast (``join_hot``).  Every
-    round is a written table, so lost executors cost one round at most.
+    label, so paths shrink geometrically; rounds end when nothing changes.  Labels of up to BROADCAST_NODES
+    nodes are broadcast; of more, only those of nodes with very many neighbours and those that very many
+    nodes have (``join_hot``).  Every round is a written table, so lost executors cost one round at most.
     """
     pairs = edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     pairs = store.put(f"{name}-edges", pairs.mapInArrow(_contract, "u long, v long").distinct())
     both = pairs.union(pairs.select("v", "u"))
     degree = both.groupBy(F.col("v").alias("node")).agg(F.count("*").alias("n"), F.min("u").alias("least"))
     labels = store.put(f"{name}-0", degree.select("node", F.least("node", "least").alias("label"), F.col("n").alias("degree")))
+    small = labels.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    ends = both.select("u", F.col("v").alias("node"))
     step = 0
     while True:
         step += 1
-        near = join_hot(both.select("u", F.col("v").alias("node")), labels.select("node", "label", F.col("degree").alias("n")), "node")
+        if small:
+            near = ends.join(F.broadcast(labels.select("node", "label")), "node")
+        else:
+            near = join_hot(ends, labels.select("node", "label", F.col("degree").alias("n")), "node")
         near = near.groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        low = labels.join(near, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("low"))
-        low = store.put(f"{name}-low-{step}", low)
-        up = low.groupBy("low").agg(F.count("*").alias("n")).join(labels.select(F.col("node").alias("low"), F.col("label").alias("up")), "low", "left")
-        new = join_hot(low, up, "low").select("node", "degree", "old", F.least("low", F.coalesce("up", "low")).alias("label"))
-        new = store.put(f"{name}-{step}", new)
+        own = F.broadcast(labels) if small else labels
+        low = near.join(own, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("low"))
+        ups = labels.select(F.col("node").alias("low"), F.col("label").alias("up"))
+        if small:
+            new = low.join(F.broadcast(ups), "low", "left")
+        else:
+            low = store.put(f"{name}-low-{step}", low)
+            new = join_hot(low, low.groupBy("low").agg(F.count("*").alias("n")).join(ups, "low", "left"), "low")
+        new = store.put(f"{name}-{step}", new.select("node", "degree", "old", F.least("low", F.coalesce("up", "low")).alias("label")))
         still = new.where("label <> old").isEmpty()
         store.drop(f"{name}-{step - 1}", f"{name}-low-{step}")
         labels = new.select("node", "label", "degree")
