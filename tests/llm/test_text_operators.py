@@ -156,6 +156,19 @@ def test_components_of_chains_stars_and_rings(spark, monkeypatch, nodes):
     assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in (7, *range(200, 240))} | {300 + i: 300 for i in range(9)} | {1: 1, 2: 1}
 
 
+def test_a_template_of_many_documents_connects_nothing(spark, monkeypatch):
+    """Documents that share four fifths of a template are no near duplicates, and blocks of them are no one family."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 900)
+    rng, frame = random.Random(6), H.words(random.Random(7), 100)
+    rows = [(i, " ".join([*frame, *H.words(rng, 24)]), "en", "s", 1) for i in range(120)] + [(200 + i, " ".join([*frame, *H.words(random.Random(1000 + i // 2), 24), "end" * (i % 2 + 1)]), "en", "s", 1) for i in range(6)]
+    seen = []
+    orig = ngram_join._region_join
+    monkeypatch.setattr(ngram_join, "_region_join", lambda store, family, sets, percent: seen.append(family.groupBy("label").count().agg({"count": "max"}).first()[0]) or orig(store, family, sets, percent))
+    got = by_id(ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, H.SCHEMA)), "n_shingles", "component_id")
+    assert got == H.components(rows) and len({c for _, c in got.values()}) == 123
+    assert seen[0] < 70  # not all 126
+
+
 def test_near_duplicates_with_the_operators_own_names(spark, rows):
     docs = spark.createDataFrame(rows, H.SCHEMA)
     for c in ("k_n", "k_hi", "k_lo", "k_id", "__k_n", "__hi", "__lo", "__words", "__k_id", "__c0"):

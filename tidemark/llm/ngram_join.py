@@ -7,8 +7,9 @@ by at most r in their distance to any pivot.  The join goes in these steps:
 2. Shared-shingle filter.  A class can only have a link if enough of its shingles
    occur in another class; shingles meet their like in shards, packed as arrays.
 3. Families.  Shingles are ordered by rarity; classes with no common shingle in
-   their prefixes are further than r apart.  What prefixes connect is a family, the
-   top level of regions: distances between families need never be computed.
+   their prefixes, or none in the shorter prefix of the smaller one, are further than r
+   apart.  What prefixes connect is a family, the top level of regions: distances between
+   families need never be computed.
 4. Voronoi regions.  Every family is cut by pivots, whatever its size.  A class goes to
    the region of its nearest pivot and, as a guest, to each region q with
    d(x, q) <= min(d(x, home) + 2r, radius(q) + r), outside of which the triangle
@@ -47,6 +48,8 @@ PIVOTS, LEAF = 8, 1
 #: A distributed cut that leaves more of the rows than this in regions beyond BLOCK is the last one.
 STALLED = 0.7
 #: Shingles gathered in a task before they are dealt to shards, and those that meet in a shard or a block: both follow the data.
+#: A task of a shuffle has SHARES shards and more on average, so that tasks are of even size.
+SHARES = 4
 GATHER = 4_000_000
 SHARD_SHINGLES = 4_000_000
 BLOCK_SHINGLES = 2_000_000
@@ -254,7 +257,7 @@ def _df_answers(t: pa.Table) -> pa.Table:
     return pa.Table.from_batches([table(_DF_SCHEMA, rows)])
 
 
-_STAR_SCHEMA = pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("keys", pa.binary())])
+_STAR_SCHEMA = pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("keys", pa.binary()), ("leads", pa.binary())])
 
 
 def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,7 +276,11 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 def _prefixes(percent: int, shards: int):
     """The necessary prefix of each set of a block, rarest shingles first.  Sets of the block that share a
-    prefix shingle are connected here (edges go to a negative shard); one of them goes to its shard."""
+    prefix shingle are connected here (edges go to a negative shard); one of them goes to its shard.
+
+    The smaller set of a link has a shared shingle within a shorter prefix, its lead: it has at least
+    2 * percent / (100 + percent) of its own shingles in common.  A shingle that leads nowhere connects no blocks.
+    """
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by([("rid", "ascending")])
@@ -294,12 +301,15 @@ def _prefixes(percent: int, shards: int):
         size = n[owner[at]]
         need = -(-percent * size // 100)
         take = np.clip(size - need + 1 - (size - count), 0, count)  # shingles no other class has come first
+        lead = np.clip(size - -(-2 * percent * size // (100 + percent)) + 1 - (size - count), 0, take)
         pick = spans(at, take)
+        leading = np.sort(k[spans(at, lead)])
         edges, k, ids = _star(k[pick], rid[owner[pick]])
-        rows = [(-1 - key[0].as_py(), blob(edges[0]), blob(edges[1]))] if edges.size else []
+        leads = np.searchsorted(leading, k, "right") > np.searchsorted(leading, k, "left")
+        rows = [(-1 - key[0].as_py(), blob(edges[0]), blob(edges[1]), b"")] if edges.size else []
         order, cut = by_shard(((k >> U64(32)) % U64(shards)).astype(np.int32), shards)
-        ids, k = ids[order], k[order]
-        rows += [(s, blob(ids[cut[s] : cut[s + 1]]), blob(k[cut[s] : cut[s + 1]])) for s in range(shards) if cut[s] < cut[s + 1]]
+        ids, k, leads = ids[order], k[order], leads[order]
+        rows += [(s, blob(ids[a:b]), blob(k[a:b]), blob(leads[a:b])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
         return pa.Table.from_batches([table(_STAR_SCHEMA, rows)])
 
     return run
@@ -309,7 +319,10 @@ def _stars(t: pa.Table) -> pa.Table:
     """An edge from the smallest class of each prefix shingle to the others, once."""
     if t.column("shard")[0].as_py() < 0:
         return pa.table({"u": joined(t.column("ids"), np.int64), "v": joined(t.column("keys"), np.int64)})
-    edges, _, _ = _star(joined(t.column("keys"), U64), joined(t.column("ids"), np.int64))
+    keys, ids, leads = joined(t.column("keys"), U64), joined(t.column("ids"), np.int64), joined(t.column("leads"), bool)
+    leading = np.sort(keys[leads])
+    some = np.searchsorted(leading, keys, "right") > np.searchsorted(leading, keys, "left")
+    edges, _, _ = _star(keys[some], ids[some])
     return pa.table({"u": edges[0], "v": edges[1]})
 
 
@@ -528,13 +541,13 @@ def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     ship(spark)
     store, least = Stored(spark), partitions(spark)
     all_rows = store.put("sketch", docs.mapInArrow(_sketches(width), _SKETCH).withColumn("row", F.monotonically_increasing_id()))
-    shards = max(least, -(-(all_rows.agg(F.sum("n_shingles")).first()[0] or 0) // SHARD_SHINGLES))
+    shards = max(SHARES * least, -(-(all_rows.agg(F.sum("n_shingles")).first()[0] or 0) // SHARD_SHINGLES))
     shared = docs.select("text").mapInArrow(_filter_asks(width, shards, least), _ASK).groupBy("shard").applyInArrow(_shared(least), _COUNT)
     shared = store.put("shared", shared.groupBy("part").applyInArrow(lambda t: _sum_shared(t), "fp_hi long, fp_lo long, shared long"))
     classes = all_rows.where("n_shingles > 0").groupBy("fp_hi", "fp_lo").agg(F.min("row").alias("rid"), F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.count("*").alias("copies"))
     able = store.put("able", classes.join(shared, ["fp_hi", "fp_lo"]).where(f"100 * shared >= {percent} * n").withColumn("frac", F.col("shared") / F.col("n")))
     shingles = able.agg(F.sum("n")).first()[0] or 0
-    shards, blocks = max(least, -(-shingles // SHARD_SHINGLES)), max(least, -(-shingles // BLOCK_SHINGLES))
+    shards, blocks = max(SHARES * least, -(-shingles // SHARD_SHINGLES)), max(SHARES * least, -(-shingles // BLOCK_SHINGLES))
     # rows without an id, which may be many, are all looked at; the sets that are not able go below
     text = docs.join(able.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").select("text").union(docs.where("doc_id is null").select("text"))
     sets = text.select("text").mapInArrow(_candidate_sets(width), "fp_hi long, fp_lo long, toks binary").dropDuplicates(["fp_hi", "fp_lo"])
@@ -542,7 +555,7 @@ def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     own = sets.select(F.pmod(F.xxhash64("rid"), F.lit(blocks)).cast("int").alias("block"), "rid", "n", "toks").groupBy("block")
     dfs = own.applyInArrow(_df_asks(shards), "shard int, block int, keys binary, counts binary")
     dfs = dfs.groupBy("shard").applyInArrow(lambda t: _df_answers(t), "shard int, block int, keys binary, counts binary")
-    prefix = own.cogroup(dfs.groupBy("block")).applyInArrow(_prefixes(percent, shards), "shard int, ids binary, keys binary")
+    prefix = own.cogroup(dfs.groupBy("block")).applyInArrow(_prefixes(percent, shards), "shard int, ids binary, keys binary, leads binary")
     stars = prefix.groupBy("shard").applyInArrow(lambda t: _stars(t), "u long, v long")
     family = components(store, stars, "family")
     edges = _region_join(store, family, sets, percent)
