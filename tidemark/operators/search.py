@@ -29,11 +29,13 @@ def top_k(rows: DataFrame, k: int, score: Column, by: str = "query_id", key: str
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= check_k(k)).withColumn("rank", F.col("rank").cast("long"))
 
 
-def in_blocks(queries: DataFrame) -> DataFrame:
-    """A query set to join with vectors: broadcast while it is one block, else dealt into blocks of about
-    QUERY_BLOCK rows, each of which meets each part of the vectors in a task of its own."""
+def in_blocks(queries: DataFrame, all_pairs: bool = True) -> DataFrame:
+    """A query set to join with vectors: broadcast while it is one block, else, if every query meets all vectors, dealt
+    into blocks of about QUERY_BLOCK rows, each of which meets each part of the vectors in a task of its own."""
     blocks = -(-queries.count() // QUERY_BLOCK)
-    return F.broadcast(queries) if blocks <= 1 else queries.repartition(blocks, "query_id").hint("shuffle_replicate_nl")
+    if blocks <= 1:
+        return F.broadcast(queries)
+    return queries.repartition(blocks, "query_id").hint("shuffle_replicate_nl") if all_pairs else queries
 
 
 def checked_distance(metric: str, a: Column, b: Column) -> Column:
@@ -76,7 +78,7 @@ def ivf_knn(vectors: DataFrame, centroids: DataFrame, queries: DataFrame, k: int
     The partitions are worked out here; ``vector_index`` keeps them."""
     near = knn(centroids.select(F.col("pid").alias("record_id"), F.col("centroid").alias("vector")), queries, probes, metric)
     wanted = near.select("query_id", F.col("record_id").alias("pid")).join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-    pairs = placed(vectors.select("record_id", "vector"), centroids, metric).join(in_blocks(wanted), "pid")  # probes rows a query
+    pairs = placed(vectors.select("record_id", "vector"), centroids, metric).join(in_blocks(wanted, False), "pid")  # probes rows a query
     return top_k(pairs.select("query_id", "record_id", checked_distance(metric, F.col("vector"), F.col("query_vector")).alias("distance")), k, F.col("distance"))
 
 

@@ -2,8 +2,9 @@
 
 A version of the index is a set of folders (the first a full build, the others deltas) of rows
 (bucket, term, record_id, tf, dl, positions), partitioned by bucket and sorted by term, so a
-query reads the buckets and row groups of its terms only.  Statistics of the corpus and
-the source files that the index covers are marks of the version.
+query reads the buckets and row groups of its terms only.  How many buckets there are follows
+the size of the first build.  They, statistics of the corpus and the source files that the
+index covers are marks of the version.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from tidemark.functions import text as T
 from tidemark.operators import search
 from tidemark.sources.versions import VersionedTable
 
-BUCKETS = 32
+#: Tokens of a bucket, about, and buckets at least and at most.
+BUCKET_TOKENS, FEWEST, MOST = 20_000_000, 32, 65_536
 #: Deltas beyond which they are merged, and terms that one query may have.
 MOST_DELTAS, MOST_TERMS = 4, 4096
 
@@ -24,19 +26,21 @@ class IndexCoverageError(RuntimeError):
     """The index covers source files that are gone, or not all that are there."""
 
 
-def _bucket(term):
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def _bucket(term, buckets: int):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 class TextIndex:
     def __init__(self, spark: SparkSession, path: str, column: str = "text"):
         self.spark, self.table, self.column = spark, VersionedTable(spark, path), column
 
-    def _postings(self, docs: DataFrame) -> DataFrame:
+    def _postings(self, docs: DataFrame, buckets: int) -> DataFrame:
         toks = docs.select("record_id", T.tokens(F.col(self.column)).alias("toks"))
         rows = toks.select("record_id", F.size("toks").alias("dl"), F.posexplode("toks").alias("pos", "term"))
-        rows = rows.groupBy("record_id", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-        return rows.withColumn("bucket", _bucket("term")).repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "term", "record_id")
+        # dealt by bucket before they are grouped: one shuffle for grouping and for the files
+        rows = rows.withColumn("bucket", _bucket("term", buckets)).repartition(buckets, "bucket")
+        rows = rows.groupBy("bucket", "term", "record_id", "dl").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
+        return rows.sortWithinPartitions("bucket", "term", "record_id")
 
     def _counts(self, docs: DataFrame) -> dict:
         n, tokens = docs.agg(F.count("*"), F.coalesce(F.sum(F.size(T.tokens(F.col(self.column)))), F.lit(0))).first()
@@ -44,7 +48,9 @@ class TextIndex:
 
     def build(self, docs: DataFrame, files: list[str] = ()) -> int:
         """Index all documents (record_id, text) anew."""
-        return self.table.write(self._postings(docs), self.table.current(), ("bucket",), self._counts(docs) | {"files": sorted(files)})
+        counts = self._counts(docs)
+        buckets = min(MOST, max(FEWEST, counts["tokens"] // BUCKET_TOKENS))
+        return self.table.write(self._postings(docs, buckets), self.table.current(), ("bucket",), counts | {"files": sorted(files), "buckets": buckets})
 
     def add(self, docs: DataFrame, files: list[str] = ()) -> int:
         """Index more documents as a delta; record ids must be new."""
@@ -53,7 +59,7 @@ class TextIndex:
             return self.build(docs, files)
         held, more = self.table.marks(base), self._counts(docs)
         marks = {"n": held["n"] + more["n"], "tokens": held["tokens"] + more["tokens"], "files": sorted({*held["files"], *files})}
-        return self.table.append(self._postings(docs), base, ("bucket",), marks)
+        return self.table.append(self._postings(docs, held["buckets"]), base, ("bucket",), marks)
 
     def deltas(self) -> int:
         base = self.table.current()
@@ -64,17 +70,19 @@ class TextIndex:
         if self.deltas() <= MOST_DELTAS:
             return None
         base = self.table.current()
-        rows = self.table.read(base).repartition(BUCKETS, "bucket").sortWithinPartitions("bucket", "term", "record_id")
+        rows = self.table.read(base).repartition(self.table.marks(base)["buckets"], "bucket").sortWithinPartitions("bucket", "term", "record_id")
         return self.table.write(rows, base, ("bucket",))
 
     def swap(self, docs: DataFrame, files: list[str], live: set[str]) -> int:
         """Replace the index by a new build of ``files``, unless one of them has gone while it was built."""
         base = self.table.current()
-        folder = self.table.stage(self._postings(docs), ("bucket",))
+        counts = self._counts(docs)
+        buckets = min(MOST, max(FEWEST, counts["tokens"] // BUCKET_TOKENS))
+        folder = self.table.stage(self._postings(docs, buckets), ("bucket",))
         if gone := set(files) - live:
             self.table._fs.delete(self.table._path(f"{self.table.path}/{folder}"), True)
             raise IndexCoverageError(f"gone since the build: {sorted(gone)}")
-        return self.table.publish([folder], base, self._counts(docs) | {"files": sorted(files)})
+        return self.table.publish([folder], base, counts | {"files": sorted(files), "buckets": buckets})
 
     def covered(self, files: list[str]) -> bool:
         """Whether the served version covers all these source files."""
@@ -86,8 +94,10 @@ class TextIndex:
         wanted = sorted(set(terms))
         if len(wanted) > MOST_TERMS:
             raise ValueError(f"more than {MOST_TERMS} terms")
-        buckets = [r[0] for r in self.spark.createDataFrame([(t,) for t in wanted], "term string").select(_bucket("term")).distinct().collect()] if wanted else []
-        rows = self.table.read().where(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
+        base = self.table.current()
+        own = _bucket("term", self.table.marks(base)["buckets"])
+        buckets = [r[0] for r in self.spark.createDataFrame([(t,) for t in wanted], "term string").select(own).distinct().collect()] if wanted else []
+        rows = self.table.read(base).where(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
         return rows.select("record_id", "dl", "term", "tf", "positions")
 
     def scores(self, terms: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ class VectorIndex:
         rows = self.table.read().where(F.col("pid").isin(pids))
         rows = rows if live is None else rows.where(live)
         wanted = near.join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-        pairs = rows.select("record_id", "vector", "pid").join(search.in_blocks(wanted), "pid")
+        pairs = rows.select("record_id", "vector", "pid").join(search.in_blocks(wanted, False), "pid")
         distance = search.checked_distance(config["metric"], F.col("vector"), F.col("query_vector"))
         return search.top_k(pairs.select("query_id", "record_id", distance.alias("distance")), k, F.col("distance"))
 
