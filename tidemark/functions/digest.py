@@ -58,20 +58,23 @@ def mapping_hex(fields: dict[str, tuple[Column, str]]) -> Column:
     return F.concat(*parts)
 
 
-@F.pandas_udf(T.StringType())
-def vector_hex(v: pd.Series) -> pd.Series:
+def vector_hex(v: Column) -> Column:
     """The body of a list of doubles: its length, then each as a tagged big-endian double."""
+    tag = TAGS["double"]
 
-    def one(x) -> str | None:
-        if x is None:
-            return None
-        a = np.asarray(x, np.float64)
-        if not np.isfinite(a).all():
-            raise ValueError("a vector with a value that is not finite has no digest")
-        raw = a.astype(">f8").tobytes().hex().upper()
-        return f"{len(a):016X}" + "".join([TAGS["double"] + raw[i : i + 16] for i in range(0, len(raw), 16)])
+    def encode(column: pd.Series) -> pd.Series:  # self-contained, so that executors need not have this package
+        def one(x) -> str | None:
+            if x is None:
+                return None
+            a = np.asarray(x, np.float64)
+            if not np.isfinite(a).all():
+                raise ValueError("a vector with a value that is not finite has no digest")
+            raw = a.astype(">f8").tobytes().hex().upper()
+            return f"{len(a):016X}" + "".join([tag + raw[i : i + 16] for i in range(0, len(raw), 16)])
 
-    return v.map(one)
+        return column.map(one)
+
+    return F.pandas_udf(encode, T.StringType(), functionType=F.PandasUDFType.SCALAR)(v)
 
 
 def event_digest(route: tuple[str, ...], key: str, op: Column, ts: str, fields: dict[str, tuple[Column, str]]) -> Column:

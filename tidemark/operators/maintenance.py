@@ -166,19 +166,19 @@ def commit_with_retries(commit: Callable[[], int], tries: int = 3, pause: float
     raise ValueError("tries must be positive")
 
 
-def _chunks(batches):
-    """Encodings of sorted rows, joined to one value a batch."""
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([b"".join(b.column(0).to_pylist())], pa.binary())], names=["chunk"])
-
-
 def streamed_source_digest(rows: DataFrame, key: str, sequence: str, digest: str, partitions: int | None = None) -> str:
     """The source digest of one route of any size: rows are dealt by ranges of the key's bytes, encoded where
     they are, and streamed in order through one hash, a partition at a time."""
+
+    def chunks(batches):
+        """Encodings of sorted rows, joined to one value a batch."""
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(b.column(0).to_pylist())], pa.binary())], names=["chunk"])
+
     entry = F.unhex(F.concat(text_hex(F.col(key)), long_hex(F.col(sequence)), F.upper(F.col(digest)))).alias("entry")
     n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.select(F.col(key).alias("key"), entry).repartitionByRange(n, "key").sortWithinPartitions("key").select("entry")
     h = hashlib.sha256(SOURCE_HEADER.encode())
-    for r in ordered.mapInArrow(_chunks, "chunk binary").toLocalIterator():
+    for r in ordered.mapInArrow(chunks, "chunk binary").toLocalIterator():
         h.update(r.chunk)
     return h.hexdigest()
