@@ -74,7 +74,7 @@ def vector_hex(v: Column) -> Column:
 
         return column.map(one)
 
-    return F.pandas_udf(encode, T.StringType(), functionType=F.PandasUDFType.SCALAR)(v)
+    return F.pandas_udf(encode, T.StringType())(v)
 
 
 def event_digest(route: tuple[str, ...], key: str, op: Column, ts: str, fields: dict[str, tuple[Column, str]]) -> Column:
