@@ -87,7 +87,7 @@ def score_samples(samples: DataFrame, vectors: DataFrame, texts: DataFrame, metr
     reason = F.coalesce(reason, F.when((F.col("query_type") == "hybrid") & ~F.coalesce(F.col("mode"), F.lit("balanced")).isin(*search.MODES), "fusion_replay"))
     samples = samples.withColumn("reason", reason)
     good = samples.where("reason is null")
-    v, t = vector_leg(good, vectors, metric), text_leg(good, texts)
+    v, t = vector_leg(good, vectors, metric).persist(), text_leg(good, texts).persist()  # k rows a sample, read by several fusions
     of = lambda kind: good.where(F.col("query_type") == kind).select(F.col("sample_id").alias("query_id"))
     legs = [leg.join(of(kind), "query_id", "left_semi") for kind, leg in (("vector", v), ("text", t), ("hybrid", hybrid_leg(good, v, t)))]
     truth = _ordered(legs[0].unionByName(legs[1]).unionByName(legs[2]), "score")

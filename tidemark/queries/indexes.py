@@ -107,7 +107,7 @@ def _samples(spark, sf):
 
 
 def recall_samples(spark, sf):
-    return recall.score_samples(_samples(spark, sf), tables.vectors(spark, sf), tables.texts(spark, sf)).select("sample_id", "query_type", *recall.GRADES, "skip")
+    return recall.score_samples(_samples(spark, sf).persist(), tables.vectors(spark, sf), tables.texts(spark, sf)).select("sample_id", "query_type", *recall.GRADES, "skip")
 
 
 def _diff_sides(spark, sf):
