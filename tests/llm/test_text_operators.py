@@ -491,6 +491,77 @@ def test_verdicts_against_paths_walked_one_by_one(spark, monkeypatch):
     assert sum(r.kept for r in got if r.doc_id % 10) >= 0.99 * 630 and not any(r.kept for r in got if r.doc_id % 10 == 0)
 
 
+def test_forest_and_threshold_come_from_all_labelled_rows(spark, monkeypatch):
+    """More than 20,000 labelled rows: every good one of a half is counted in the trees, every one of the other calibrates."""
+    seen = {}
+    grow, calibrate = rule_forest.grow, rule_forest.calibrate
+
+    def keep_forest(x, everything):
+        forest = grow(x, everything)
+        seen.update(forest=forest, grown=len(x) if isinstance(x, np.ndarray) else x.count())
+        return forest
+
+    def keep_split(scores, good):
+        seen.update(judged=len(good), good=int(good.sum()), threshold=calibrate(scores, good))
+        return seen["threshold"]
+
+    monkeypatch.setattr(rule_forest, "grow", keep_forest)
+    monkeypatch.setattr(rule_forest, "calibrate", keep_split)
+    rng = random.Random(8)
+    texts = [" ".join(H.words(rng, 24)) if i % 10 or i % 40 == 0 else " ".join("#" * rng.randint(0, 2) + w for w in H.words(rng, 24)) for i in range(24_000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], H.SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 10 != 0), 0, "x") for i in range(24_000)], LABELS)
+    got = rule_forest.quality_rules(docs, labels).where("not base_failed").toPandas()
+    half, good = np.array([zlib.crc32(str(i).encode()) % 2 for i in got["doc_id"]]), got["doc_id"].to_numpy() % 10 != 0
+    assert seen["grown"] == (good & (half == 0)).sum()
+    assert (seen["judged"], seen["good"]) == ((half == 1).sum(), (good & (half == 1)).sum())
+    assert np.isfinite(seen["threshold"]) and seen["threshold"] == calibrate(got["anomaly"].to_numpy()[half == 1], good[half == 1])
+    columns = rule_forest.STATS + rule_forest.EXTRA
+    buf = [x for _, _, b, off in kernel.text_slices(pa.array([texts[i] for i in got["doc_id"]], pa.large_string())) for x in [rule_forest.statistics(b, off)]]
+    x = rule_forest.features({n: np.concatenate([y[j] for y in buf]) for j, n in enumerate(columns)})
+    alone = grow(x[good & (half == 0)], x)
+    assert all((getattr(alone, a) == getattr(seen["forest"], a)).all() for a in ("feature", "cut", "length"))
+
+
+def test_tree_paths_end_where_the_rows_do():
+    """Lengths of the trees from rows counted one by one."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (700, 3))
+    forest = rule_forest.grow(x, x)
+    for feature, cut, length in list(zip(forest.feature, forest.cut, forest.length, strict=True))[:5]:
+        todo = [(0, 0, x)]
+        while todo:
+            node, depth, own = todo.pop()
+            share = len(own) * rule_forest.TREE_ROWS / 700
+            if share <= 1 or depth == rule_forest.DEPTH:
+                assert feature[node] == -1 and length[node] == pytest.approx(depth + rule_forest._expected(share))
+            else:
+                left = own[:, feature[node]] < cut[node]
+                todo += [(2 * node + 1, depth + 1, own[left]), (2 * node + 2, depth + 1, own[~left])]
+
+
+@pytest.mark.parametrize("lost", [0.001, 0.05, 0.4])
+@pytest.mark.parametrize("ties", [False, True])
+def test_gathered_scores_calibrate_as_all_scores(spark, monkeypatch, lost, ties):
+    monkeypatch.setattr(rule_forest, "LOST", lost)
+    rng = np.random.default_rng(4)
+    for n_good, n_bad in ((2000, 300), (700, 1), (1, 50), (300, 0), (0, 40), (0, 0)):
+        scores = np.concatenate([rng.uniform(0.3, 0.62, n_good), rng.uniform(0.4, 0.8, n_bad)])
+        scores = np.round(scores, 2) if ties else scores
+        good = np.arange(n_good + n_bad) < n_good
+        table = spark.createDataFrame(list(zip(scores.tolist(), good.astype(int).tolist(), strict=True)), "score double, y int")
+        few, kinds = rule_forest.gather(table)
+        assert (len(kinds), kinds.sum()) == (n_good + n_bad, n_good)
+        best, want = 0.0, np.inf
+        for c in np.unique(scores[~good]) if n_good else ():
+            dropped, caught = (scores[good] >= c).mean(), (scores[~good] >= c).mean()
+            if dropped <= lost and caught - dropped > best:
+                best, want = caught - dropped, c
+        if np.isfinite(want):
+            want = (want + scores[scores < want].max()) / 2
+        assert rule_forest.calibrate(few, kinds) == rule_forest.calibrate(scores, good) == want
+
+
 # 7
 
 

@@ -3,7 +3,9 @@
 Base rules look at a few statistics of a text.  The forest judges what passes them:
 random splits isolate odd documents on short paths, and the path length at which a
 document is dropped is calibrated on labelled rows.  Rows that grow trees and rows that
-calibrate are different ones, by a hash of the id.
+calibrate are different ones, by a hash of the id.  Of both kinds all rows count: a tree's
+splits are drawn in the box of all rows, then every row that grows it is counted at its
+nodes, and the threshold comes from the scores of every row that calibrates.
 """
 
 from __future__ import annotations
@@ -16,20 +18,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel as K
-from tidemark.llm.runtime import Stored, lowest, ship
+from tidemark.llm.runtime import Stored, ship
 
 U64 = np.uint64
 REPEAT_WORDS = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
-#: Labelled rows at most, those with the lowest hashes of their ids: of one half the good ones grow the
-#: forest, the other half calibrates it.  Where good ones are few, so many rows grow it, those with the lowest
-#: hashes of id and statistics.  The splits' range is that of all rows in any case.
-SAMPLE_ROWS = 20_000
-LABELLED_ROWS = 20_000
+#: Of no effect: no rows are sampled.  The names stay for those who set them.
+SAMPLE_ROWS = LABELLED_ROWS = None
+#: A node's share of the rows is told as that of TREE_ROWS rows; fewer good rows than that don't grow a forest alone.
 TREES, TREE_ROWS, DEPTH = 100, 256, 8
+NODES = (1 << (DEPTH + 1)) - 1
 #: Share of good labelled rows that the threshold may drop.
 LOST = 0.001
+#: Steps of the scores, to find about where LOST of the good rows lie; the threshold itself is exact.
+BINS = 1 << 16
 SEED = 17
 
 _SYMBOL = np.zeros(256, bool)
@@ -117,73 +120,102 @@ class Forest:
     length: np.ndarray
     threshold: float = np.inf
 
+    def ends(self, t: int, x: np.ndarray) -> np.ndarray:
+        """The node of tree t at which each row's path ends."""
+        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(DEPTH):
+            f = self.feature[t][node]
+            go = 2 * node + 1 + (x[rows, np.maximum(f, 0)] >= self.cut[t][node])
+            node = np.where(f >= 0, go, node)
+        return node
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """2 ** (-mean path / expected path): near 1 is odd."""
-        total, rows = np.zeros(len(x)), np.arange(len(x))
+        total = np.zeros(len(x))
         for t in range(len(self.feature)):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
-                f = self.feature[t][node]
-                go = 2 * node + 1 + (x[rows, np.maximum(f, 0)] >= self.cut[t][node])
-                node = np.where(f >= 0, go, node)
-            total += self.length[t][node]
+            total += self.length[t][self.ends(t, x)]
         return 2.0 ** (-total / max(1, len(self.feature)) / _expected(TREE_ROWS))
 
+    def visits(self, x: np.ndarray) -> np.ndarray:
+        """The number of rows whose path ends at each node, (trees, nodes)."""
+        return np.stack([np.bincount(self.ends(t, x), minlength=NODES) for t in range(len(self.feature))])
+
 
-def _expected(n: float) -> float:
-    """Mean path length of an unsuccessful search among n rows."""
-    return 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+def _expected(n):
+    """Mean path length of an unsuccessful search among n rows, which may be a mean number of rows."""
+    n = np.asarray(n, np.float64)
+    m = np.maximum(n, 1) - 0.5
+    return np.where(n > 1, 2 * (np.log(m) + np.euler_gamma + 1 / (24 * m * m)) - 2 * (n - 1) / np.maximum(n, 1), 0.0)
 
 
-def grow(x: np.ndarray, everything: np.ndarray) -> Forest:
-    """Trees on rows x whose random splits range over the box of ``everything``, so that a split can
-    fall where x has no rows: what lands there is isolated at once."""
+def split(everything: np.ndarray) -> Forest:
+    """Trees of full depth whose random splits range over the box of ``everything``."""
     rng = np.random.default_rng(SEED)
-    nodes = (1 << (DEPTH + 1)) - 1
-    feature, cut, length = np.full((TREES, nodes), -1), np.zeros((TREES, nodes)), np.zeros((TREES, nodes))
-    if not len(x):
-        return Forest(feature[:0], cut[:0], length[:0])
-    low, high = everything.min(0), everything.max(0)
-    for t in range(TREES):
-        todo = [(0, 0, x[rng.choice(len(x), min(TREE_ROWS, len(x)), replace=False)], low.copy(), high.copy())]
-        while todo:
-            node, depth, own, a, b = todo.pop()
-            wide = np.flatnonzero(b > a)
-            if depth == DEPTH or not len(wide) or len(own) <= 1:
-                length[t, node] = depth + _expected(len(own))
-                continue
-            f = int(rng.choice(wide))
-            c = rng.uniform(a[f], b[f])
-            left = own[:, f] < c
-            feature[t, node], cut[t, node] = f, c
-            b2, a2 = b.copy(), a.copy()
-            b2[f], a2[f] = c, c
-            todo += [(2 * node + 1, depth + 1, own[left], a, b2), (2 * node + 2, depth + 1, own[~left], a2, b)]
-    return Forest(feature, cut, length)
+    feature, cut = np.full((TREES, NODES), -1), np.zeros((TREES, NODES))
+    low, high = (np.tile(edge, (TREES, 1, 1)) for edge in (everything.min(0), everything.max(0)))
+    for depth in range(DEPTH):
+        at, wide = slice((1 << depth) - 1, (2 << depth) - 1), high > low
+        f = np.where(wide, rng.random(wide.shape), -1).argmax(-1)[..., None]
+        c = rng.uniform(np.take_along_axis(low, f, -1), np.take_along_axis(high, f, -1))
+        feature[:, at], cut[:, at] = np.where(wide.any(-1), f[..., 0], -1), c[..., 0]
+        own, shape = np.arange(low.shape[-1]) == f, (TREES, 2 << depth, low.shape[-1])
+        low, high = np.stack([low, np.where(own, c, low)], 2).reshape(shape), np.stack([np.where(own, c, high), high], 2).reshape(shape)
+    return Forest(feature, cut, np.zeros((TREES, NODES)))
+
+
+def grow(x: np.ndarray | DataFrame, everything: np.ndarray) -> Forest:
+    """Trees on all rows x, features or a table of statistics, whose random splits range over the box of
+    ``everything``, so that a split can fall where x has no rows: what lands there is isolated at once.
+
+    A path ends where one row or fewer of TREE_ROWS is left, which is what trees on draws of so many rows
+    have there on average.
+    """
+    if not len(everything):
+        return Forest(np.full((0, NODES), -1), np.zeros((0, NODES)), np.zeros((0, NODES)))
+    forest = split(everything)
+    n = forest.visits(x) if isinstance(x, np.ndarray) else visits(forest, x)
+    for node in range(NODES // 2 - 1, -1, -1):
+        n[:, node] += n[:, 2 * node + 1] + n[:, 2 * node + 2]
+    rows = int(n[0, 0])
+    if not rows:
+        return Forest(forest.feature[:0], forest.cut[:0], forest.length[:0])
+    share = n * min(1.0, TREE_ROWS / rows)
+    forest.feature[share <= 1] = -1
+    forest.length = np.where(forest.feature < 0, np.log2(np.arange(NODES) + 1).astype(np.int64) + _expected(share), 0.0)
+    return forest
 
 
 def calibrate(scores: np.ndarray, good: np.ndarray) -> float:
     """The score from which rows are dropped: the one with the best gap between the shares of bad
-    and good rows it drops, among those that drop at most LOST of the good rows."""
+    and good rows it drops, among those that drop at most LOST of the good rows.  It lies half way
+    between the least score it drops and the next one below."""
     if not good.any() or good.all():
         return np.inf
-    best, at = 0.0, np.inf
-    for c in np.unique(scores[~good]):
-        lost, caught = (scores[good] >= c).mean(), (scores[~good] >= c).mean()
-        if lost <= LOST and caught - lost > best:
-            best, at = caught - lost, c
-    return float(at)
+    well, ill = np.sort(scores[good]), np.sort(scores[~good])
+    at = np.unique(ill)
+    lost, caught = ((len(s) - np.searchsorted(s, at)) / len(s) for s in (well, ill))
+    gap = np.where(lost <= LOST, caught - lost, 0.0)
+    if not gap.max() > 0:
+        return np.inf
+    least = at[gap.argmax()]
+    below = scores[scores < least].max(initial=-np.inf)
+    middle = (below + least) / 2
+    return float(middle if middle > below else least)
 
 
 _DDL = "doc_id long, " + ", ".join(f"{s} long" for s in STATS + EXTRA)
 
 
+def _features(b: pa.RecordBatch) -> np.ndarray:
+    return features({n: b.column(b.schema.get_field_index(n)).to_numpy() for n in STATS + EXTRA})
+
+
 def _edges(batches):
     """The least and the greatest of each feature over a task's rows, if it has any."""
     low = high = None
     for b in batches:
         if b.num_rows:
-            x = features({n: b.column(b.schema.get_field_index(n)).to_numpy() for n in STATS + EXTRA})
+            x = _features(b)
             low = x.min(0) if low is None else np.minimum(low, x.min(0))
             high = x.max(0) if high is None else np.maximum(high, x.max(0))
     if low is not None:
@@ -198,6 +230,69 @@ def box(rows: DataFrame) -> np.ndarray:
     return np.array([ends[:k], ends[k:]], np.float64) if ends[0] is not None else np.zeros((0, k))
 
 
+def _visits(shared):
+    def run(batches):
+        n = sum(shared.value.visits(_features(b)) for b in batches if b.num_rows)
+        if np.ndim(n):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.ravel()[at])], names=["at", "n"])
+
+    return run
+
+
+def visits(forest: Forest, rows: DataFrame) -> np.ndarray:
+    """Forest.visits of all rows of a table; a number for each node comes to the driver."""
+    shared = rows.sparkSession.sparkContext.broadcast(forest)
+    got = rows.mapInArrow(_visits(shared), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(forest.feature.size, np.int64)
+    n[got["at"].to_numpy()] = got["n"].to_numpy()
+    return n.reshape(forest.feature.shape)
+
+
+def _score(shared):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value.scores(_features(b))), b.column(b.schema.get_field_index("y"))], names=["score", "y"])
+
+    return run
+
+
+def _between(shared):
+    """How many scores lie between one good row's and the next one's, and the least of them."""
+
+    def run(batches):
+        for b in batches:
+            s = np.sort(b.column(0).to_numpy())
+            at, first, n = np.unique(np.searchsorted(shared.value, s), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(s[first]), pa.array(n)], names=["at", "score", "n"])
+
+    return run
+
+
+def gather(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of all rows, and whether they are good, that ``calibrate`` takes for those of the table
+    (score double, y int).
+
+    A threshold has at most LOST of the good rows above it, so only their scores come to the driver, a few
+    more with them, and of the bad rows between two of them the number and the least score, as no other one there
+    can be the least to drop.  The other good rows are told by their number.
+    """
+    good = scored.where("y = 1")
+    bins = good.groupBy(F.floor(F.col("score") * BINS).alias("bin")).count().toArrow().to_pandas().sort_values("bin", ascending=False)
+    total = int(bins["count"].sum())
+    top, n_top = np.zeros(0), np.zeros(0, np.int64)
+    if total:
+        edge = bins["bin"][bins["count"].cumsum() / total > LOST].iloc[0] / BINS  # more than LOST from here on
+        got = good.where(F.col("score") >= float(edge)).groupBy("score").count().toArrow().to_pandas().sort_values("score")
+        top, n_top = got["score"].to_numpy(), got["count"].to_numpy()
+    shared = scored.sparkSession.sparkContext.broadcast(top)
+    bad = scored.where("y = 0").select("score").mapInArrow(_between(shared), "at long, score double, n long")
+    bad = bad.groupBy("at").agg(F.min("score").alias("score"), F.sum("n").alias("n")).toArrow().to_pandas()
+    below = np.full(total - int(n_top.sum()), top.min(initial=np.inf))
+    scores = [np.repeat(top, n_top), below, np.repeat(bad["score"].to_numpy(np.float64), bad["n"].to_numpy(np.int64))]
+    return np.concatenate(scores), np.arange(sum(map(len, scores))) < total
+
+
 def _judge(shared):
     def run(batches):
         forest = shared.value
@@ -216,30 +311,28 @@ def quality_rules(docs: DataFrame, labels: DataFrame, label: str = "quality") ->
 
     Returns a row for each input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, anomaly (0 to 1).  Null and empty texts have no words
-    and fail the base rules.  Without labels of both kinds the forest drops nothing.  Rows
+    and fail the base rules.  Of the labelled rows that pass them, one half by a hash of the id
+    calibrates, and all good ones of the other grow the forest; where those are fewer than TREE_ROWS, all
+    rows that pass grow it.  Without labels of both kinds the forest drops nothing.  Rows
     with one id, and equal rows, are judged each by its own text; null labels and null ids are not
     learnt from.  An empty table gives no rows.  Other columns are not looked at.
     """
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    stats = Stored(spark).put("rules", docs.mapInArrow(_stats, _DDL))
+    stored = Stored(spark)
+    stats = stored.put("rules", docs.mapInArrow(_stats, _DDL))
     passed = stats.where(f"n_words >= {LEAST_WORDS} and 100 * n_repeat_words <= {MOST_REPEATED} * n_words")
-    columns = ("doc_id", *STATS, *EXTRA)
+    columns = STATS + EXTRA
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
-    known = lowest(known.groupBy("doc_id").agg(F.max("y").alias("y")), F.xxhash64("doc_id"), LABELLED_ROWS, "doc_id")
-    rows = passed.join(F.broadcast(known), "doc_id").withColumn("half", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2)
-    rows = rows.groupBy("doc_id", "y", "half").agg(*(F.min(F.struct(*columns[1:])).getField(c).alias(c) for c in columns[1:]))  # of an id's rows one
-    rows = rows.toArrow().to_pandas()  # LABELLED_ROWS at most
-    grown, judged = rows[(rows["half"] == 0) & (rows["y"] == 1)], rows[rows["half"] == 1]
-    good = features({n: grown[n].to_numpy() for n in STATS + EXTRA})
-    if len(good) < TREE_ROWS:
-        some = lowest(passed, F.xxhash64(*columns), SAMPLE_ROWS, *columns).toArrow().to_pandas()
-        good = features({n: some[n].to_numpy() for n in STATS + EXTRA})
-    good = good[np.lexsort(good.T)]  # the same forest in whatever order rows come
-    forest = grow(good, box(passed))
-    if len(judged):
-        forest.threshold = calibrate(forest.scores(features({n: judged[n].to_numpy() for n in STATS + EXTRA})), judged["y"].to_numpy() == 1)
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2).alias("half"))
+    rows = passed.where("doc_id is not null").groupBy("doc_id").agg(*(F.min(F.struct(*columns)).getField(c).alias(c) for c in columns))  # of an id's rows one
+    rows = stored.put("labelled", rows.join(known, "doc_id"))
+    grown = rows.where("half = 0 and y = 1")
+    forest = grow(grown if grown.count() >= TREE_ROWS else passed, box(passed))
+    scored = stored.put("scored", rows.where("half = 1").mapInArrow(_score(spark.sparkContext.broadcast(forest)), "score double, y int"))
+    forest.threshold = calibrate(*gather(scored))
+    stored.drop("labelled", "scored")
     ddl = "doc_id long, " + ", ".join(f"{s} long" for s in STATS) + ", base_failed boolean, kept boolean, anomaly double"
     return stats.mapInArrow(_judge(spark.sparkContext.broadcast(forest)), ddl)
 
