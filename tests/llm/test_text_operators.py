@@ -110,6 +110,23 @@ def test_join_with_many_regions(spark, monkeypatch):
     assert by_id(ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, H.SCHEMA)), "n_shingles", "component_id") == H.components(rows)
 
 
+def test_no_plan_of_the_join_holds_all_levels_of_cuts(spark, monkeypatch):
+    """What the driver plans and runs at once is bounded, however many levels there are."""
+    from tidemark.llm.runtime import Stored
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    exchanges, put = {}, Stored.put
+
+    def counted(store, name, df):
+        exchanges[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        return put(store, name, df)
+
+    monkeypatch.setattr(Stored, "put", counted)
+    rows = H.corpus(11)
+    assert by_id(ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, H.SCHEMA)), "n_shingles", "component_id") == H.components(rows)
+    assert "pivots-0" in exchanges and max(exchanges.values()) <= 16, exchanges
+
+
 @pytest.mark.parametrize("seed, own", [(1, 25), (2, 12), (3, 40), (4, 5)])
 def test_regions_give_all_links(seed, own):
     """Clusters around several centres, with links inside and sets between them: cuts, windows and exact joins."""

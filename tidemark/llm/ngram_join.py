@@ -474,7 +474,8 @@ def _cut(store: Stored, members: DataFrame, sets: DataFrame, radius: float, leve
     dealt = own.groupBy("region", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("rid"), "rid")).getField("rid").alias("pivot"))
     picked = central.select("region", "pivot").union(dealt.select("region", "pivot")).distinct()
     picked = picked.join(sets.select(F.col("rid").alias("pivot"), "toks"), "pivot").groupBy("region").agg(F.sort_array(F.collect_list(F.struct("pivot", "toks"))).alias("p"))
-    salts = members.groupBy("region").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
+    picked = store.put(f"picked-{level}", picked)
+    salts = store.put(f"salts-{level}", members.groupBy("region").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")))
     spread = picked.join(salts, "region").select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "salts", "p")
     rows = join_hot(members, salts, "region").select("region", "rid", "home", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int").alias("salt"))
     rows = rows.join(sets.select("rid", "toks"), "rid").join(spread, ["region", "salt"])
@@ -491,7 +492,11 @@ def _cut(store: Stored, members: DataFrame, sets: DataFrame, radius: float, leve
 
 
 def _region_join(store: Stored, family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (u, v) that connect all classes that links connect; family: (node, label)."""
+    """Edges (u, v) that connect all classes that links connect; family: (node, label).
+
+    Where there are regions to cut, every kind of edges of every level is a written table: the driver never
+    holds the plan, tasks and exchanges of all of them at once.
+    """
     radius = 1 - percent / 100
     size = family.groupBy("label").agg(F.count("*").alias("n"))
     sized = store.put("families", join_hot(family, size, "label").select(F.col("node").alias("rid"), F.col("label").alias("region"), F.col("n").alias("size")))
@@ -507,29 +512,33 @@ def _region_join(store: Stored, family: DataFrame, sets: DataFrame, percent: int
         if not left:
             return out
         if before and left > STALLED * before:  # windows that hold everything: no cut makes regions smaller
-            return out.union(_blocks(many, sets, task))
+            return out.union(_blocks(store, many, sets, task, level))
+        if not level:
+            out = store.put("few", out)
         done, links = _cut(store, many, sets, radius, level)
         out = out.union(links)
-        big = done.where("home").groupBy("region").count().where(f"count > {BLOCK}").select("region")
-        out = out.union(_blocks(done.join(big, "region", "left_anti"), sets, task))
+        big = store.put(f"big-{level}", done.where("home").groupBy("region").count().where(f"count > {BLOCK}").select("region"))
+        out = out.union(_blocks(store, done.join(big, "region", "left_anti"), sets, task, level))
         many = store.put(f"many-{level}", done.join(big, "region", "left_semi"))
         level += 1
 
 
-def _blocks(members: DataFrame, sets: DataFrame, task) -> DataFrame:
+def _blocks(store: Stored, members: DataFrame, sets: DataFrame, task, level: int) -> DataFrame:
     """Join regions block against block.  Members that are linked to the region's pivot have blocks of
     their own, which only meet blocks of the others; guests only meet blocks of those at home."""
     kind = F.when(F.col("linked").isNotNull(), 0).otherwise(1) + F.when(F.col("home"), 0).otherwise(2)
     rows = members.withColumn("kind", kind)
-    count = rows.groupBy("region", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    count = store.put(f"kinds-{level}", rows.groupBy("region", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")))
     rows = rows.join(count, ["region", "kind"]).select("region", "kind", "rid", "linked", F.pmod(F.xxhash64("rid"), F.col("n")).cast("int").alias("block"))
     block = count.select("region", "kind", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"))
     other = block.select("region", F.col("kind").alias("kind2"), F.col("block").alias("block2"))
     pairs = block.join(other, "region").where("struct(kind, block) <= struct(kind2, block2) and kind < 2 and not (kind in (0, 2) and kind2 in (0, 2))")
     key = F.concat_ws("-", "region", "kind", "block", "kind2", "block2").alias("task")
     ends = pairs.select("region", "kind", "block", key).union(pairs.select("region", F.col("kind2"), F.col("block2"), key)).distinct()
+    ends = store.put(f"ends-{level}", ends)
     sent = rows.join(ends, ["region", "kind", "block"]).select("task", "region", "rid", "linked")
-    return sent.join(sets.select("rid", "toks"), "rid").groupBy("task").applyInArrow(lambda t: task(t), "u long, v long")
+    found = sent.join(sets.select("rid", "toks"), "rid").groupBy("task").applyInArrow(lambda t: task(t), "u long, v long")
+    return store.put(f"found-{level}", found)
 
 
 def _linked_classes(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
