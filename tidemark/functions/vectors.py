@@ -21,6 +21,11 @@ def norm(a: Column) -> Column:
     return F.sqrt(_sum(F.transform(a, lambda x: x * x)))
 
 
+def check_metric(metric: str) -> None:
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}")
+
+
 def distance(metric: str, a: Column, b: Column) -> Column:
     """Squared l2; 1 - cosine (1 for a zero vector); negated dot product; count of different components."""
     if metric == "l2":

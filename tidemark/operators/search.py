@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.functions import vectors as V
 from tidemark.functions.predicates import check_k
+from tidemark.operators import nearest
 
 RRF_K = 60
-#: Rows of a query set that meet the vectors in one task, and that are broadcast at most.
+#: Rows of a query set that meet a chunk of vectors at once, and that are broadcast at most.
 QUERY_BLOCK = 1_000
 K1, B = 1.2, 0.75
 #: Distinct terms of a batch of queries, at most.
@@ -29,15 +30,6 @@ def top_k(rows: DataFrame, k: int, score: Column, by: str = "query_id", key: str
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= check_k(k)).withColumn("rank", F.col("rank").cast("long"))
 
 
-def in_blocks(queries: DataFrame, all_pairs: bool = True) -> DataFrame:
-    """A query set to join with vectors: broadcast while it is one block, else, if every query meets all vectors, dealt
-    into blocks of about QUERY_BLOCK rows, each of which meets each part of the vectors in a task of its own."""
-    blocks = -(-queries.count() // QUERY_BLOCK)
-    if blocks <= 1:
-        return F.broadcast(queries)
-    return queries.repartition(blocks, "query_id").hint("shuffle_replicate_nl") if all_pairs else queries
-
-
 def checked_distance(metric: str, a: Column, b: Column) -> Column:
     """The distance; vectors of different dimensions are an error when the row is computed."""
     return F.when(F.size(a) == F.size(b), V.distance(metric, a, b)).otherwise(F.raise_error(F.lit("vectors of different dimensions")).cast("double"))
@@ -46,15 +38,37 @@ def checked_distance(metric: str, a: Column, b: Column) -> Column:
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str, live: Column | None = None) -> DataFrame:
     """(query_id, record_id, distance, rank) of each query's k nearest vectors.
 
-    Null vectors are passed over.  Every vector is compared with all queries, as an exact scan must,
-    a block of queries at a time; each task keeps k rows a query (a partial group limit), so little
-    is shuffled.
-    """
+    Null vectors are passed over.  Every vector is compared with all queries, as an exact scan must, in array code: chunks
+    of vectors are dealt evenly and meet blocks of QUERY_BLOCK queries, of which one is broadcast, and more meet each
+    part of the vectors in a task of their own.  Each task keeps k rows a query, so little is shuffled."""
+    V.check_metric(metric)
     rows = vectors if live is None else vectors.where(live)
-    rows = rows.where("vector is not null").select("record_id", "vector")
-    pairs = rows.join(in_blocks(queries.select("query_id", F.col("vector").alias("query_vector"))))
-    scored = pairs.select("query_id", "record_id", checked_distance(metric, F.col("vector"), F.col("query_vector")).alias("distance"))
-    return top_k(scored, k, F.col("distance"))
+    spread = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    chunks = nearest.chunks(rows.where("vector is not null").select(F.lit(0).cast("long").alias("key"), "record_id", "vector")).repartition(spread)
+    wanted = queries.select(F.lit(0).cast("long").alias("key"), "query_id", "vector")
+    parts = -(-queries.count() // QUERY_BLOCK)
+    if parts <= 1:
+        pairs = chunks.drop("key").join(F.broadcast(nearest.blocks(wanted.repartition(1), QUERY_BLOCK).drop("key")))
+    else:
+        pairs = chunks.drop("key").join(nearest.blocks(wanted.repartition(parts, "query_id"), QUERY_BLOCK).drop("key").hint("shuffle_replicate_nl"))
+    return top_k(nearest.scan(pairs, check_k(k), metric), k, F.col("distance"))
+
+
+def knn_probed(vectors: DataFrame, queries: DataFrame, probed: DataFrame, partitions: int, k: int, metric: str) -> DataFrame:
+    """As ``knn``, each query over the vectors (pid, record_id, vector) of those of the partitions that probed(query_id, pid) names for it.
+
+    Vectors and queries meet by partition, packed as in ``knn``; the chunks of a partition are dealt over tasks where there
+    are fewer partitions than those."""
+    V.check_metric(metric)
+    spread = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    together = lambda rows: rows.repartition(spread, "key").sortWithinPartitions("key")
+    slots = max(1, spread // max(1, partitions))
+    chunks = nearest.chunks(together(vectors.where("vector is not null").select(F.col("pid").cast("long").alias("key"), "record_id", "vector")))
+    chunks = chunks.withColumn("slot", F.pmod(F.monotonically_increasing_id(), F.lit(slots)).cast("int"))
+    wanted = probed.join(queries.select("query_id", "vector"), "query_id").select(F.col("pid").cast("long").alias("key"), "query_id", "vector")
+    blocks = nearest.blocks(together(wanted), QUERY_BLOCK).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    pairs = chunks.repartition(spread, "key", "slot").join(blocks.repartition(spread, "key", "slot").hint("merge"), ["key", "slot"])
+    return top_k(nearest.scan(pairs, check_k(k), metric), k, F.col("distance"))
 
 
 def placed(vectors: DataFrame, centroids: DataFrame, metric: str = "l2") -> DataFrame:
@@ -77,9 +91,7 @@ def ivf_knn(vectors: DataFrame, centroids: DataFrame, queries: DataFrame, k: int
 
     The partitions are worked out here; ``vector_index`` keeps them."""
     near = knn(centroids.select(F.col("pid").alias("record_id"), F.col("centroid").alias("vector")), queries, probes, metric)
-    wanted = near.select("query_id", F.col("record_id").alias("pid")).join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-    pairs = placed(vectors.select("record_id", "vector"), centroids, metric).join(in_blocks(wanted, False), "pid")  # probes rows a query
-    return top_k(pairs.select("query_id", "record_id", checked_distance(metric, F.col("vector"), F.col("query_vector")).alias("distance")), k, F.col("distance"))
+    return knn_probed(placed(vectors.select("record_id", "vector"), centroids, metric), queries, near.select("query_id", F.col("record_id").alias("pid")), centroids.count(), k, metric)
 
 
 def postings(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -87,10 +87,7 @@ class VectorIndex:
         pids = [r[0] for r in near.select("pid").distinct().collect()]  # partitions of the index, which prune the scan
         rows = self.table.read().where(F.col("pid").isin(pids))
         rows = rows if live is None else rows.where(live)
-        wanted = near.join(queries.select("query_id", F.col("vector").alias("query_vector")), "query_id")
-        pairs = rows.select("record_id", "vector", "pid").join(search.in_blocks(wanted, False), "pid")
-        distance = search.checked_distance(config["metric"], F.col("vector"), F.col("query_vector"))
-        return search.top_k(pairs.select("query_id", "record_id", distance.alias("distance")), k, F.col("distance"))
+        return search.knn_probed(rows.select("pid", "record_id", "vector"), queries, near, len(pids), k, config["metric"])
 
     def query(self, queries: DataFrame, k: int, probes: int | None = None, bypass: bool = False, fast_search: bool | None = None, files: list[str] | None = None, live=None) -> DataFrame:
         """(query_id, record_id, distance, rank) of each query's k nearest vectors.
