@@ -267,3 +267,27 @@ def test_a_batch_that_loses_to_another_writer_is_merged_again(spark, tmp_path, m
     monkeypatch.setattr(VersionedTable, "stage", late)
     fold.merge_batch(state(spark, [("b", 2, "d2", False, "x")]), 1)
     assert {r.k for r in fold.state.read().collect()} == {"a", "b"} and fold.state.versions() == [1, 2, 3]
+
+
+def test_documents_are_scored_once_a_set_of_terms(spark):
+    docs = spark.createDataFrame([(i, f"common word{i % 3} {'rare ' * (i % 4)}") for i in range(40)] + [(40, None)], "record_id long, text string")
+    asked = {0: ["common", "rare"], 1: ["word1"], 2: ["rare", "common", "rare"], 3: ["absent"], 4: ["word1", None], 5: ["word1"]}
+    terms = spark.createDataFrame([(q, t) for q, ts in asked.items() for t in ts], "query_id long, term string")
+    assert dict(map(tuple, search.same_terms(terms).collect())) == {0: 0, 1: 1, 2: 0, 3: 3, 4: 4, 5: 1}
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for operator in ("or", "and"):
+        got = search.bm25(docs, terms, 5, operator)
+        assert rows(got) == rows(search.best(search.bm25_scores(docs, terms), terms, 5, operator))
+        assert {r.query_id for r in got.collect()} == ({0, 1, 2, 4, 5} if operator == "or" else {0, 1, 2, 5})
+    counted = {r.query_id: r.matched for r in search.bm25_counted(docs, terms, 5).collect()}
+    assert counted == {0: 40, 1: 13, 2: 40, 4: 13, 5: 13}
+
+
+def test_bm25_reads_the_documents_once(spark, tmp_path):
+    spark.range(50).selectExpr("id as record_id", "concat('common word', id % 3) as text").write.parquet(f"file://{tmp_path}/d")
+    docs = spark.read.parquet(f"file://{tmp_path}/d")
+    terms = spark.createDataFrame([(q, f"word{q % 3}") for q in range(30)], "query_id long, term string")
+    for df in (search.bm25(docs, terms, 5), search.bm25_counted(docs, terms, 5)):
+        assert len(df.collect()) == 150
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet") == 1

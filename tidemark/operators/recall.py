@@ -57,11 +57,11 @@ def vector_leg(samples: DataFrame, vectors: DataFrame, metric: str) -> DataFrame
 
 
 def text_leg(samples: DataFrame, texts: DataFrame) -> DataFrame:
-    """(query_id, record_id, score, rank): the best k by BM25 over the whole corpus."""
+    """(query_id, record_id, score, rank, matched): the best k by BM25 over the whole corpus, and how many documents have a term."""
     own = samples.where("query_type in ('text', 'hybrid')").select(F.col("sample_id").alias("query_id"), "terms", "k")
     most = own.agg(F.max("k")).first()[0] or 1
-    hits = search.bm25(texts, own.select("query_id", F.explode("terms").alias("term")), most)
-    return hits.join(own.select("query_id", "k"), "query_id").where("rank <= k").select("query_id", "record_id", "score", "rank")
+    hits = search.bm25_counted(texts, own.select("query_id", F.explode("terms").alias("term")), most)
+    return hits.join(own.select("query_id", "k"), "query_id").where("rank <= k").select("query_id", "record_id", "score", "rank", "matched")
 
 
 def hybrid_leg(samples: DataFrame, vector: DataFrame, text: DataFrame) -> DataFrame:
@@ -90,9 +90,9 @@ def score_samples(samples: DataFrame, vectors: DataFrame, texts: DataFrame, metr
     v, t = vector_leg(good, vectors, metric).persist(), text_leg(good, texts).persist()  # k rows a sample, read by several fusions
     of = lambda kind: good.where(F.col("query_type") == kind).select(F.col("sample_id").alias("query_id"))
     legs = [leg.join(of(kind), "query_id", "left_semi") for kind, leg in (("vector", v), ("text", t), ("hybrid", hybrid_leg(good, v, t)))]
-    truth = _ordered(legs[0].unionByName(legs[1]).unionByName(legs[2]), "score")
+    truth = _ordered(legs[0].unionByName(legs[1].drop("matched")).unionByName(legs[2]), "score")
     live = vectors.where("vector is not null").agg(F.count("*").alias("live"))
-    matched = search.bm25_scores(texts, good.where("query_type = 'text'").select(F.col("sample_id").alias("query_id"), F.explode("terms").alias("term"))).groupBy("query_id").agg(F.count("*").alias("matched"))
+    matched = legs[1].groupBy("query_id").agg(F.max("matched").alias("matched"))
     rows = samples.join(truth.withColumnRenamed("query_id", "sample_id"), "sample_id", "left").join(matched.withColumnRenamed("query_id", "sample_id"), "sample_id", "left").join(live)
     count = F.when(F.col("query_type") == "vector", F.col("live")).when(F.col("query_type") == "text", F.coalesce("matched", F.lit(0))).otherwise(F.coalesce(F.size("ids"), F.lit(0)))
     rows = rows.withColumn("candidates", F.when(F.col("reason").isNull(), count.cast("long"))).withColumn("skip", F.coalesce("reason", F.when(F.col("candidates") == 0, "empty_candidate_set")))

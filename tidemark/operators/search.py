@@ -6,6 +6,8 @@ which makes every cut deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,11 +106,14 @@ def corpus_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.agg(F.count("*").alias("n"), F.coalesce(F.avg(F.size(T.tokens(F.col(text)))), F.lit(1.0)).alias("avgdl"))
 
 
-def score_postings(tf: DataFrame, terms: DataFrame, n: Column, avgdl: Column) -> DataFrame:
+def score_postings(tf: DataFrame, df: DataFrame, terms: DataFrame, n: Column, avgdl: Column) -> DataFrame:
     """(query_id, record_id, score, matched): BM25 of rows (query_id, term) over the postings (record_id, dl, term, tf) of
-    their terms, in a corpus of n documents of mean length avgdl."""
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))  # a row a query term
-    rows = tf.join(df.join(terms, "term"), "term")
+    their terms, which df(term, df) documents have, in a corpus of n documents of mean length avgdl.
+
+    Terms are joined null-safe: the filter that goes with a plain join would reach the scan on one side only, and keep
+    postings and their counts from sharing it."""
+    wanted = df.join(terms.withColumnRenamed("term", "_term"), F.col("term").eqNullSafe(F.col("_term"))).select("_term", "df", "query_id")
+    rows = tf.join(wanted, F.col("term").eqNullSafe(F.col("_term")))
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
     return rows.withColumn("part", part).groupBy("query_id", "record_id").agg(F.sum("part").alias("score"), F.count("*").alias("matched"))
@@ -132,10 +137,26 @@ def bm25_scores(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFr
     length = F.array(entry(none("string"), none(key), none("int"), F.col("dl").cast("long")))
     rows = toks.select(F.explode(F.concat(F.transform("own", lambda t: entry(t, F.col("record_id"), F.col("dl"), none("bigint"))), length)).alias("e"))
     rows = rows.groupBy("e.term", "e.record_id", "e.dl").agg(F.count("*").alias("tf"), F.sum("e.length").alias("tokens"))
-    totals = rows.where("tokens is not null").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
-    totals = totals.select("n", F.when(F.col("tokens") > 0, F.col("tokens") / F.col("n")).otherwise(1.0).alias("avgdl"))
+    stats = rows.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("n"), F.sum("tokens").alias("tokens"))  # a row a query term, and the lengths'
+    totals = stats.where("tokens is not null").select("n", F.when(F.col("tokens") > 0, F.col("tokens") / F.col("n")).otherwise(1.0).alias("avgdl"))
     tf = rows.where("tokens is null").select("record_id", "dl", "term", "tf").join(F.broadcast(totals))  # one row
-    return score_postings(tf, terms, F.col("n"), F.col("avgdl"))
+    df = stats.where("tokens is null and n > 0").select("term", "df")  # n, as in all readers of rows, so that they share its shuffle
+    return score_postings(tf, df, terms, F.col("n"), F.col("avgdl"))
+
+
+def same_terms(terms: DataFrame) -> DataFrame:
+    """(query_id, same): each query with the least id among those that ask for the same terms."""
+    own = terms.select("query_id", "term").distinct().groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term"))).alias("own"))
+    return own.join(own.groupBy("own").agg(F.min("query_id").alias("same")), "own").select("query_id", "same")
+
+
+def once_a_set(terms: DataFrame, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows (query_id, ...) that ``answer`` gives for terms (query_id, term), worked out once for queries that ask for the
+    same terms: documents are scored once a set of terms, however many queries there are."""
+    same = same_terms(terms)
+    firsts = terms.join(same.where("query_id = same").select("query_id"), "query_id", "left_semi")
+    rows = answer(firsts)
+    return same.join(rows.withColumnRenamed("query_id", "same"), "same").select(*rows.columns)
 
 
 def best(scores: DataFrame, terms: DataFrame, k: int, operator: str = "or", digits: int = 9) -> DataFrame:
@@ -149,7 +170,18 @@ def best(scores: DataFrame, terms: DataFrame, k: int, operator: str = "or", digi
 
 def bm25(docs: DataFrame, terms: DataFrame, k: int, operator: str = "or", text: str = "text", digits: int = 9) -> DataFrame:
     """The k best documents of each query by BM25 over all documents."""
-    return best(bm25_scores(docs, terms, text), terms, k, operator, digits)
+    return once_a_set(terms, lambda own: best(bm25_scores(docs, own, text), own, k, operator, digits))
+
+
+def bm25_counted(docs: DataFrame, terms: DataFrame, k: int) -> DataFrame:
+    """As ``bm25``, with ``matched``: how many documents have any of the query's terms."""
+
+    def answer(own: DataFrame) -> DataFrame:
+        scores = bm25_scores(docs, own)
+        n = scores.groupBy("query_id").agg(F.count("score").alias("matched"))  # of scores, so that both read one shuffle
+        return best(scores, own, k).join(n, "query_id")
+
+    return once_a_set(terms, answer)
 
 
 def phrase(docs: DataFrame, words: list[str], slop: int = 0, text: str = "text") -> DataFrame:

@@ -106,11 +106,12 @@ class TextIndex:
         known = [r[0] for r in terms.select("term").distinct().limit(MOST_TERMS + 1).collect()]
         marks = self.table.marks()
         mean = marks["tokens"] / marks["n"] if marks["n"] and marks["tokens"] else 1.0
-        return search.score_postings(self.hits(known).drop("positions"), terms, F.lit(marks["n"]), F.lit(mean))
+        rows = self.hits(known).drop("positions")
+        return search.score_postings(rows, rows.groupBy("term").agg(F.count("*").alias("df")), terms, F.lit(marks["n"]), F.lit(mean))
 
     def bm25(self, terms: DataFrame, k: int, operator: str = "or") -> DataFrame:
         """The k best documents of each query, as ``search.bm25``."""
-        return search.best(self.scores(terms), terms, k, operator)
+        return search.once_a_set(terms, lambda own: search.best(self.scores(own), own, k, operator))
 
     def phrase(self, words: list[str], slop: int = 0) -> DataFrame:
         """(record_id, places) as ``search.phrase``, from the stored positions of the words only."""
