@@ -178,3 +178,21 @@ def test_round_robin_salts_are_even(spark):
 def test_tags_must_be_dates(spark):
     tags = spark.createDataFrame([(1, "20240101T000000Z"), (1, "20240102T000000Z"), (1, "20249999T000000Z"), (1, "x")], "dataset_id long, tag string")
     assert [r.tag for r in layout.prunable_tags(tags, 1).collect()] == ["20240101T000000Z"]
+
+
+def test_text_index_makes_no_row_a_token(spark, tmp_path):
+    texts = ["a b a", "b B b c", "", None, "c a " * 500, "é_1 é_1 x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "record_id long, text string").coalesce(1)
+    index = TextIndex(spark, f"file://{tmp_path}/i")
+    index.build(docs)
+    stored = index.table.read()
+    assert stored.count() == stored.select("term").distinct().count() == 5
+    marks = index.table.marks()
+    assert (marks["n"], marks["tokens"]) == (6, 3 + 4 + 1000 + 3)
+    want = search.postings(docs).join(docs.select("record_id", F.size(search.T.tokens(F.col("text"))).alias("dl")), "record_id")
+    got = index.hits(["a", "b", "c", "é_1", "x"])
+    assert sorted(map(tuple, got.select("record_id", "term", "tf", "dl").collect())) == sorted(map(tuple, want.select("record_id", "term", "tf", "dl").collect()))
+    places = {(r.record_id, r.term): r.positions for r in got.collect()}
+    assert places[0, "a"] == [0, 2] and places[1, "b"] == [0, 1, 2] and places[4, "a"] == list(range(1, 1000, 2)) and places[5, "x"] == [2]
+    scan = index.hits(["a"], False)._jdf.queryExecution().executedPlan().toString().split("ReadSchema:")[1]
+    assert "positions" not in scan
